@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, mpeg_audio, token_counts
+from . import mixing, mpeg_audio, packing, token_counts
 from .common import table
 
 
@@ -22,5 +22,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op5_mpeg_audio, op6_token_counts)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op5_mpeg_audio, op6_token_counts, op9_packing)}
 ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.ORACLE}

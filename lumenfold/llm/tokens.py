@@ -83,13 +83,14 @@ class ByteIds:
     def batch(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t or OTHER.search(t) else BYTES.findall(t) for t in texts]
         out: list[bytes] = []
-        group = 64
-        for at in range(0, len(texts), group):
-            part = split[at : at + group]
-            known = self.cache.fill(set().union(*(x for x in part if x is not None)))
-            for k, words in enumerate(part):
+        for at in range(0, len(texts), 64):
+            part, get = split[at : at + 64], self.cache.known.get
+            found = [None if words is None else list(map(get, words)) for words in part]
+            new = {w for words, ids in zip(part, found, strict=True) if words is not None and None in ids for w, x in zip(words, ids, strict=True) if x is None}
+            get = self.cache.fill(new).get
+            for k, (words, ids) in enumerate(zip(part, found, strict=True)):
                 if words is None:
                     out.append(self.np.asarray(self.full.encode(texts[at + k], add_special_tokens=False).ids, dtype="<u4").tobytes())
                 else:
-                    out.append(b"".join(map(known.__getitem__, words)))
+                    out.append(b"".join([get(w) if x is None else x for w, x in zip(words, ids, strict=True)] if None in ids else ids))
         return out
