@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, mpeg_audio, packing, token_counts
+from . import mixing, mpeg_audio, neardup, packing, token_counts
 from .common import table
 
 
@@ -26,5 +26,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op5_mpeg_audio, op6_token_counts, op9_packing)}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op5_mpeg_audio, op6_token_counts, op9_packing, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.ORACLE}
