@@ -160,15 +160,17 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, ca
     def run(batches):
         ids = ByteIds(tokenizer)
         for pdf in batches:
-            doc, rows = [], []
-            for key, raw in zip(pdf["doc_id"], ids.batch([t if isinstance(t, str) else "" for t in pdf["text"]]), strict=True):
-                raw += end
-                view = memoryview(raw)
-                for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
-                    doc.append(key)
-                    rows.append((k, s, n, zlib.crc32(view[4 * s : 4 * (s + n)])))
+            at, rows = [], []
+            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
+            for first in range(0, len(texts), 256):
+                for d, raw in enumerate(ids.batch(texts[first : first + 256]), first):
+                    raw += end
+                    view = memoryview(raw)
+                    for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
+                        at.append(d)
+                        rows.append((k, s, n, zlib.crc32(view[4 * s : 4 * (s + n)])))
             out = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
-            out.insert(0, "doc_id", pd.Series(doc, dtype=pdf["doc_id"].dtype))
+            out.insert(0, "doc_id", pdf["doc_id"].iloc[at].reset_index(drop=True))
             yield out
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -24,7 +24,7 @@ def load(name: str):
 class Pieces:
     """Cached results per pre-token, bounded: a full cache is emptied."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 250_000):
         self.make, self.limit, self.known = make, limit, {}
 
     def fill(self, words) -> dict:
@@ -81,10 +81,9 @@ class ByteIds:
         self.cache = Pieces(lambda words: [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.full.encode_batch_fast(list(words), add_special_tokens=False)])
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        split = [None if "<|" in t or OTHER.search(t) else BYTES.findall(t) for t in texts]
         out: list[bytes] = []
         for at in range(0, len(texts), 64):
-            part, get = split[at : at + 64], self.cache.known.get
+            part, get = [None if "<|" in t or OTHER.search(t) else BYTES.findall(t) for t in texts[at : at + 64]], self.cache.known.get
             found = [None if words is None else list(map(get, words)) for words in part]
             new = {w for words, ids in zip(part, found, strict=True) if words is not None and None in ids for w, x in zip(words, ids, strict=True) if x is None}
             get = self.cache.fill(new).get
