@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, mpeg_audio, neardup, packing, token_counts
+from . import linededup, mixing, mpeg_audio, neardup, packing, token_counts
 from .common import table
 
 
@@ -30,5 +31,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op5_mpeg_audio, op6_token_counts, op9_packing, op10_minhash)}
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op5_mpeg_audio, op6_token_counts, op8_line_dedup, op9_packing, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.ORACLE}
