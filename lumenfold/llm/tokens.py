@@ -12,7 +12,6 @@ import public_tokenizers
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 OTHER = re.compile(rf"[^\t\n\x0b\x0c\r -~{LATIN}–—‘-”…«»¡¿]")
 WORDS = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LATIN}]+|[0-9]|[^\s{LATIN}0-9]+")
-BYTES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
 
 
 def load(name: str):
@@ -21,23 +20,6 @@ def load(name: str):
     return Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
 
 
-class Pieces:
-    """Cached results per pre-token, bounded: a full cache is emptied."""
-
-    def __init__(self, make, limit: int = 250_000):
-        self.make, self.limit, self.known = make, limit, {}
-
-    def fill(self, words) -> dict:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.known.update(zip(part, self.make(part), strict=True))
-        return self.known
-
-
 class WordSplitter:
     """Pre-tokens of the word_bpe file: normalised, split by its pattern; special strings count apart."""
 
@@ -71,25 +53,40 @@ class WordSplitter:
         return lambda words: [len(e) for e in plain.encode_batch_fast(list(words), add_special_tokens=False)]
 
 
+def _byte_letters() -> dict[str, int]:
+    """The byte each letter of a byte-level vocabulary stands for: printable ones for themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 class ByteIds:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes, one library call per distinct pre-token."""
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes.
+
+    Where ids and merges of the file are in the same order, merging by lowest rank over bytes gives the library's
+    ids, and texts of the fast pattern's characters go that way; all other texts go through the library.
+    """
 
     def __init__(self, name: str):
         import numpy as np
+        import tiktoken
 
-        self.np, self.full = np, load(name)
-        self.cache = Pieces(lambda words: [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.full.encode_batch_fast(list(words), add_special_tokens=False)])
+        self.np, self.full, self.fast = np, load(name), None
+        spec = json.loads(self.full.to_str())
+        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
+        in_order = [vocab[x] for x in joined]
+        if in_order == list(range(in_order[0], in_order[0] + len(in_order))) and in_order[0] == 256:
+            letters = _byte_letters()
+            special = {x["content"] for x in spec["added_tokens"]}
+            ranks = {bytes(letters[c] for c in w): k for w, k in vocab.items() if w not in special}
+            self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            part, get = [None if "<|" in t or OTHER.search(t) else BYTES.findall(t) for t in texts[at : at + 64]], self.cache.known.get
-            found = [None if words is None else list(map(get, words)) for words in part]
-            new = {w for words, ids in zip(part, found, strict=True) if words is not None and None in ids for w, x in zip(words, ids, strict=True) if x is None}
-            get = self.cache.fill(new).get
-            for k, (words, ids) in enumerate(zip(part, found, strict=True)):
-                if words is None:
-                    out.append(self.np.asarray(self.full.encode(texts[at + k], add_special_tokens=False).ids, dtype="<u4").tobytes())
-                else:
-                    out.append(b"".join([get(w) if x is None else x for w, x in zip(words, ids, strict=True)] if None in ids else ids))
+        out = []
+        for t in texts:
+            if self.fast is None or "<|" in t or OTHER.search(t):
+                out.append(self.np.asarray(self.full.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
+            else:
+                out.append(self.fast.encode_to_numpy(t, disallowed_special=()).astype("<u4", copy=False).tobytes())
         return out
