@@ -23,7 +23,7 @@ from .common import Scratch
 from .tokens import ByteIds
 
 TOKENIZER, END_ID, CAPACITY = "byte_bpe_50k.json", 2, 1024
-STEP, RATE, POWER = 0.5, 0.3, 1.1
+STEPS, RATE, POWER = (1.0, 0.5), 0.3, 1.1
 SALT_ROWS = 20_000
 
 Config = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -51,12 +51,12 @@ def best_config(value: np.ndarray) -> tuple[Config, float]:
     return tuple(sorted(found.items(), reverse=True)), float(best[capacity])
 
 
-def solve(demand: np.ndarray) -> dict[Config, float]:
+def solve(demand: np.ndarray, share: float = STEPS[-1]) -> dict[Config, float]:
     """Fractional amounts of configurations that together hold the demand (index = length) exactly.
 
     A length's price starts at a power of the length just above 1, so long lengths find partners while there
     are short ones, and falls exponentially with the share of its demand already covered. Each round buys the
-    best configuration until it has covered STEP of the demand of its scarcest length; a covered length costs nothing.
+    best configuration until it has covered ``share`` of the demand of its scarcest length; a covered length costs nothing.
     """
     b, left = demand.astype(float), demand.astype(float)
     left[0] = 0
@@ -64,7 +64,7 @@ def solve(demand: np.ndarray) -> dict[Config, float]:
     x: dict[Config, float] = {}
     while left.any():
         config, _ = best_config(np.where(left > 0, base * np.exp(RATE * (left / np.maximum(b, 1) - 1)), 0))
-        step = min(min(left[k] / a for k, a in config), STEP * min(b[k] / a for k, a in config))
+        step = min(min(left[k] / a for k, a in config), share * min(b[k] / a for k, a in config))
         x[config] = x.get(config, 0) + step
         for k, a in config:
             left[k] = 0 if left[k] - a * step < 1e-6 else left[k] - a * step
@@ -124,7 +124,7 @@ class Plan:
     """Where the pieces of each length go: segments of ranks, found by binary search."""
 
     def __init__(self, demand: np.ndarray):
-        made = round_down(solve(demand), demand)
+        made = min((round_down(solve(demand, share), demand) for share in STEPS), key=lambda m: sum(n for _, n in m))
         self.bound = -(-int((demand * np.arange(len(demand))).sum()) // (len(demand) - 1))
         used, first, rows = Counter(), 0, []
         for config, times in made:
