@@ -14,7 +14,9 @@ from .shingles import U, bands, occurrences, one_permutation, rolling
 from .similar import linked
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
-ROWS, BANDS = 5, 14
+ROWS, BANDS, BITS = 5, 12, 6
+SKETCH = 1 << 22
+SEEN = 300_000
 GROUP_CHARS = 400_000
 
 
@@ -23,15 +25,14 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, hash) of the distinct five-character shingles of each line; every line has at least five characters."""
+def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, hash) of the five-character shingles of each line; every line has at least five characters."""
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(U)
     owner = np.repeat(np.arange(len(lines)), sizes)
     n = len(flat) - SHINGLE + 1
     whole = owner[:n] == owner[SHINGLE - 1 :]
-    doc, h, _ = occurrences(owner[:n][whole], rolling(flat, SHINGLE)[whole])
-    return doc, h
+    return owner[:n][whole], rolling(flat, SHINGLE)[whole]
 
 
 def _groups(lines: list[str]):
@@ -49,46 +50,79 @@ def _line_node(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def occurrences_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, tnode, pos, node, size, bands) of every line of at least ``min_chars`` characters when normalised."""
+def _lines(pdf: pd.DataFrame, min_chars: int):
+    """(row, position, normalised line) of the lines long enough."""
+    for k, text in enumerate(pdf["text"]):
+        for p, raw in enumerate(text.split("\n") if isinstance(text, str) else ()):
+            if len(raw) >= min_chars and len(line := normal(raw)) >= min_chars:
+                yield k, p, line
+
+
+def places_of(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, tnode, pos, node) of every line of at least ``min_chars`` characters when normalised."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for pdf in batches:
-            at, pos, lines = [], [], []
-            for k, text in enumerate(pdf["text"]):
-                for p, raw in enumerate(text.split("\n") if isinstance(text, str) else ()):
-                    if len(raw) >= min_chars and len(line := normal(raw)) >= min_chars:
-                        at.append(k)
-                        pos.append(p)
-                        lines.append(line)
-            sizes, found = [], []
-            for part in _groups(lines):
-                doc, h = shingle_sets(part)
-                sizes.append(np.bincount(doc, minlength=len(part)))
-                found.append(bands(one_permutation(doc, h, len(part), ROWS * BANDS), ROWS))
-            if not lines:
-                continue
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at].reset_index(drop=True), "tnode": pdf["tnode"].to_numpy()[at], "pos": pos, "node": [_line_node(x) for x in lines], "size": np.concatenate(sizes), "bands": list(np.concatenate(found))})
-
-    return docs.mapInPandas(run, f"doc_id {kind}, tnode long, pos int, node long, size long, bands array<long>")
-
-
-def _sets(docs: DataFrame, asked: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, units) of the lines asked for, from the first place where each stands."""
-    place = rows.select("node", F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "tnode", "pos").alias("p")).join(asked, "node", "left_semi").groupBy("node").agg(F.min("p").alias("p"))
-    wanted = place.groupBy(F.col("p.id").alias("_id"), F.col("p.tnode").alias("tnode")).agg(F.collect_set("p.pos").alias("at"))
+            found = [(k, p, _line_node(x)) for k, p, x in _lines(pdf, min_chars)]
+            if found:
+                at, pos, node = (list(x) for x in zip(*found, strict=True))
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at].reset_index(drop=True), "tnode": pdf["tnode"].to_numpy()[at], "pos": pos, "node": node})
+
+    return docs.mapInPandas(run, f"doc_id {kind}, tnode long, pos int, node long")
+
+
+def signatures_of(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(node, bands array<long>) of every distinct line; a task leaves out lines it has just seen, the grouping the rest."""
+    names = [f"b{k}" for k in range(BANDS)]
+
+    def run(batches):
+        seen: set[int] = set()
+        for pdf in batches:
+            new: dict[int, str] = {}
+            for _, _, line in _lines(pdf, min_chars):
+                if (n := _line_node(line)) not in seen:
+                    seen.add(n)
+                    new[n] = line
+            if len(seen) > SEEN:
+                seen.clear()
+            lines = list(new.values())
+            if lines:
+                rows = [bands(one_permutation(*shingles(part), len(part), BITS), ROWS)[:, :BANDS] for part in _groups(lines)]
+                yield pd.DataFrame(np.concatenate(rows), columns=names).assign(node=list(new))
+
+    found = docs.select("text").mapInPandas(run, ", ".join(f"{n} long" for n in names) + ", node long")
+    return found.groupBy("node").agg(*[F.min(n).alias(n) for n in names]).select("node", F.array(*names).alias("bands"))
+
+
+def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
+    """(node, units) of the lines asked for.
+
+    A sketch of fixed size, one bit per residue of a node, goes to the tasks and lets most other lines be left out early; the
+    join takes exactly those asked for."""
+    bits = np.zeros(SKETCH, dtype=bool)
+    bits[asked.select(F.pmod(F.col("node"), F.lit(SKETCH)).cast("int").alias("r")).distinct().toPandas()["r"].to_numpy(dtype=np.int64)] = True  # at most SKETCH numbers
+    sketch = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches):
+        on, seen = np.unpackbits(sketch.value).astype(bool), set()
         for pdf in batches:
-            lines = [normal(parts[p]) for text, at in zip(pdf["text"], pdf["at"], strict=True) for parts in [text.split("\n")] for p in at]
-            for part in _groups(lines):
-                doc, h = shingle_sets(part)
+            new: dict[int, str] = {}
+            for _, _, line in _lines(pdf, min_chars):
+                n = _line_node(line)
+                if on[n % SKETCH] and n not in seen:
+                    seen.add(n)
+                    new[n] = line
+            if len(seen) > SEEN:
+                seen.clear()
+            nodes, at = list(new), 0
+            for part in _groups(list(new.values())):
+                doc, h, _ = occurrences(*shingles(part))
                 cut = np.searchsorted(doc, np.arange(len(part) + 1))
-                yield pd.DataFrame({"node": [_line_node(x) for x in part], "units": [h[a:b].view(np.int64) for a, b in zip(cut[:-1], cut[1:], strict=True)]})
+                yield pd.DataFrame({"node": nodes[at : at + len(part)], "units": [h[a:b].view(np.int64) for a, b in zip(cut[:-1], cut[1:], strict=True)]})
+                at += len(part)
 
-    texts = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return texts.join(wanted, ["_id", "tnode"]).select("text", "at").mapInPandas(run, "node long, units array<long>").dropDuplicates(["node"])
+    return docs.select("text").mapInPandas(run, "node long, units array<long>").join(asked, "node", "left_semi").dropDuplicates(["node"])
 
 
 def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -101,11 +135,8 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
     """
     scratch = Scratch(docs.sparkSession, "lines")
     base = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tnode"))
-    rows = scratch.keep(occurrences_of(base, min_chars))
-    items = rows.groupBy("node").agg(F.min("size").alias("size"), F.min("bands").alias("bands"))
-    comp = linked(scratch, items, lambda asked: _sets(base, asked, rows), threshold)
-    places = scratch.keep(rows.select("doc_id", "tnode", "pos", "node").join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
-    scratch.drop(rows)
+    comp = linked(scratch, signatures_of(base, min_chars), lambda asked: sets_of(base, asked, min_chars), threshold)
+    places = scratch.keep(places_of(base, min_chars).join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tnode", "pos")
     first = places.groupBy("c").agg(F.min(spot).alias("keep"), F.count("*").alias("n")).where("n > 1").select("c", "keep")
     extra = places.join(first, "c").where(~((F.col("tnode") == F.col("keep.tnode")) & (F.col("pos") == F.col("keep.pos")) & F.col("doc_id").eqNullSafe(F.col("keep.doc_id"))))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .shingles import U, WordHash, bag_minhash, bands, mix64, units, word_shingles
+from .shingles import WordHash, bag_minhash, bands, units, word_shingles
 from .similar import linked
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -75,7 +75,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
     base = with_node(docs.select("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = scratch.keep(base.mapInPandas(signatures, f"node long, doc_id {kind}, size long, bands array<long>"))
-    nodes = rows.groupBy("node").agg(F.min("size").alias("size"), F.min("bands").alias("bands"))
+    nodes = rows.where("size > 0").groupBy("node").agg(F.min("bands").alias("bands"))
 
     def sets_of(asked: DataFrame) -> DataFrame:
         one = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_id"))
@@ -83,7 +83,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
         met = texts.join(one.withColumnRenamed("node", "_node"), ["_node", "_id"], "left_semi")
         return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>").dropDuplicates(["node"])
 
-    comp = linked(scratch, nodes.where("size > 0"), sets_of, threshold)
+    comp = linked(scratch, nodes, sets_of, threshold)
     named = rows.select("node", "doc_id").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
     ids = scratch.keep(named.groupBy("c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
     return scratch, named.join(ids, "c").select("node", "doc_id", "class_id", "class_size")

@@ -123,24 +123,24 @@ def bag_minhash(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> np.ndarr
     return sig.reshape(n_docs, m).view(U)
 
 
-def one_permutation(doc: np.ndarray, h: np.ndarray, n_docs: int, k: int) -> np.ndarray:
-    """MinHash signatures, n_docs x k, by one permutation: the least hash in each of k bins; an empty bin copies a full one, found by the same probes everywhere."""
-    full = U(0xFFFFFFFFFFFFFFFF)
+def one_permutation(doc: np.ndarray, h: np.ndarray, n_docs: int, bits: int) -> np.ndarray:
+    """MinHash signatures, n_docs x 2^bits, by one permutation: the least hash in each of the bins its leading bits choose;
+    an empty bin copies a full one, found by the same probes everywhere. Repeated hashes change nothing."""
+    full, k = U(0xFFFFFFFFFFFFFFFF), 1 << bits
     sig = np.full(n_docs * k, full, dtype=U)
-    np.minimum.at(sig, doc * k + ((h >> U(40)) % U(k)).astype(np.int64), mix64(h))
+    np.minimum.at(sig, doc * k + (h >> U(64 - bits)).astype(np.int64), h)
     sig = sig.reshape(n_docs, k)
     filled = sig != full
-    todo = filled.any(axis=1) & ~filled.all(axis=1)
-    rows = np.flatnonzero(todo)
-    old, new, open_ = sig[rows], sig[rows].copy(), ~filled[rows]
-    columns, probe = np.arange(k, dtype=U), 0
-    while open_.any():
-        probe += 1
-        src = (mix64(columns * U(0x10001) + U(probe)) % U(k)).astype(np.int64)
-        use = open_ & (old[:, src] != full)
-        new[use] = mix64(old[:, src] + U(probe))[use]
-        open_ &= ~use
-        if probe > 64 * k:  # each probe is random; a full bin is met long before
-            break
-    sig[rows] = new
+    rows = np.flatnonzero(filled.any(axis=1) & ~filled.all(axis=1))
+    columns = np.arange(k, dtype=U)
+    for first in range(0, len(rows), 4096):
+        part = rows[first : first + 4096]
+        old, new, open_, probe = sig[part], sig[part], ~filled[part], 0
+        while open_.any() and probe <= 64 * k:  # each probe is random; a full bin is met long before
+            probe += 1
+            src = (mix64(columns * U(0x10001) + U(probe)) & U(k - 1)).astype(np.int64)
+            r, c = np.nonzero(open_ & (old[:, src] != full))
+            new[r, c] = old[r, src[c]] ^ mix64(np.full(1, probe, dtype=U))
+            open_[r, c] = False
+        sig[part] = new
     return sig

@@ -15,17 +15,22 @@ STARS = 3
 def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """Rows (node, component) of the items with links: Jaccard similarity >= threshold between bucket mates.
 
-    items: (node long, size long, bands array<long>), a row per node. sets_of(nodes) gives (node, units
+    items: (node long, bands array<long>), a row per node. sets_of(nodes) gives (node, units
     array<long>) for the nodes asked for. First every bucket mate is compared with three of its bucket's
-    nodes, chosen by three hash orders; the links found form components. Then, in buckets that still hold
-    several components, every node outside the component of the bucket's first node is compared with all
-    nodes of other components in the bucket. So each pair of bucket mates is either compared or already in
-    one component: components lose no link, and pairs stay few where most mates are alike.
+    nodes, those with most bucket mates overall in each of three hash classes; the links found form components. Then,
+    in buckets that still hold several components, nodes outside the component of the bucket's first node
+    are compared with nodes of other components in the bucket. Two bounds, which lose no link, keep those
+    pairs few: sizes must be close, and what either node shares with any other node left must reach the
+    overlap that the threshold asks of the pair. So each pair of bucket mates is compared, in one
+    component already, or too different by its own units.
     """
-    flat = items.select("node", "size", F.explode("bands").alias("bucket"))
-    shared = flat.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    mates = scratch.keep(flat.join(shared, "bucket"))
-    sets = scratch.keep(sets_of(mates.select("node").distinct()))
+    flat = items.select("node", F.explode("bands").alias("bucket"))
+    shared = flat.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    found = scratch.keep(flat.join(shared, "bucket"))
+    sets = scratch.keep(sets_of(found.select("node").distinct()))
+    mass = found.groupBy("node").agg(F.sum("n").alias("mass"))
+    mates = scratch.keep(found.join(sets.select("node", F.size("units").alias("size")).join(mass, "node"), "node"))
+    scratch.drop(found)
     close = (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9)
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -38,8 +43,9 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
         return pairs.where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
 
     mate = F.struct("node", "size")
-    stars = mates.groupBy("bucket").agg(*[F.min_by(mate, F.xxhash64("node", F.lit(k))).alias(f"r{k}") for k in range(STARS)])
-    star = mates.join(stars, "bucket").select("node", "size", F.explode(F.array(*[f"r{k}" for k in range(STARS)])).alias("r"))
+    heavy = [F.max_by(mate, F.when(F.pmod(F.xxhash64("node"), F.lit(STARS)) == k, F.struct("mass", F.xxhash64("node", F.lit(k))))).alias(f"r{k}") for k in range(STARS)]
+    stars = mates.groupBy("bucket").agg(*heavy)
+    star = mates.join(stars, "bucket").select("node", "size", F.explode(F.array_compact(F.array(*[f"r{k}" for k in range(STARS)]))).alias("r"))
     tried = scratch.keep(ordered(star.select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("r.node").alias("y"), F.col("r.size").alias("sb"))))
     edges = scratch.keep(verified(tried))
     comp = components(scratch, edges)
@@ -48,11 +54,17 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     head = F.min_by("c", F.xxhash64("node", F.lit(0)))
     mixed = named.groupBy("bucket").agg(head.alias("head"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket", "head")
     inside = scratch.keep(named.join(mixed, "bucket"))
+    # What a node shares with any node left bounds its overlap with each of them.
+    units = scratch.keep(sets.join(inside.select("node").distinct(), "node", "left_semi").select("node", F.explode("units").alias("unit")))
+    common = units.groupBy("unit").agg(F.count("*").alias("k")).where("k > 1").select("unit")
+    able = units.join(common, "unit", "left_semi").groupBy("node").agg(F.count("*").alias("own"))
+    inside = scratch.keep(inside.join(able, "node").where(F.col("own") >= threshold * F.col("size") - 1e-9))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.
-    left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("c").alias("cx"))
-    right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
-    rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close)
+    left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("c").alias("cx"))
+    right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
+    reach = F.least("oa", "ob") * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
+    rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & reach)
     more = scratch.keep(verified(ordered(rest.select("x", "sa", "y", "sb")).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
-    scratch.drop(mates, sets, tried, inside)
+    scratch.drop(mates, sets, tried, units, inside)
     return out
