@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_hash_mod
+from .common import Scratch, id_hash_mod, most_frequent
 
 STATES, TOP, COMMON, COMMON_BYTES = 8, 16_384, 150_000, 48
 ROUNDS, PRIOR = 4, 100.0
@@ -155,9 +155,10 @@ def score(docs: DataFrame, folds: int = 10, states: int = STATES, top: int = TOP
     counts = counts.where(F.length("word") > 0)
     total, types = n_words + n_docs, n_types + (n_docs > 0)
     below = total + 0.1 * (types + 1)
-    frequent = counts.where(F.length("word") <= COMMON_BYTES).orderBy(F.desc("n"), "word").limit(common).select("word", "n").collect()
-    words = {bytes(r["word"]): k for k, r in enumerate(frequent)}
-    n = np.array([r["n"] for r in frequent], dtype=float)
+    frequent = most_frequent(counts.where(F.length("word") <= COMMON_BYTES), "n", common).select("word", "n").toPandas()
+    frequent = frequent.assign(word=frequent["word"].map(bytes)).sort_values(["n", "word"], ascending=[False, True])
+    words = dict(zip(frequent["word"], range(len(frequent)), strict=True))
+    n = frequent["n"].to_numpy(dtype=float)
     top = min(top, len(n))
     end, rare = top, top + 1
     prob = (n + 0.1) / below

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, most_frequent
 from .tokens import WordSplitter
 
 TOKENIZER, LIMIT = "word_bpe_49k.json", 2048
@@ -47,7 +47,7 @@ def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
 
     words = docs.select("text").mapInPandas(gather, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = scratch.keep(words.mapInPandas(encode, "word string, n long, pieces long"))
-    top = counted.where(F.length("word") <= COMMON_CHARS).orderBy(F.desc("n"), "word").limit(common).select("word", "pieces").toPandas()
+    top = most_frequent(counted.where(F.length("word") <= COMMON_CHARS), "n", common).select("word", "pieces").toPandas()
     shared = spark.sparkContext.broadcast(dict(zip(top["word"], top["pieces"].astype(int), strict=True)))
 
     def frequencies(batches):
