@@ -96,7 +96,7 @@ def signatures_of(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
-    """(node, units) of the lines asked for.
+    """(node, item, size) of the lines asked for: the normalised line and how many distinct shingles it has.
 
     A sketch of fixed size, one bit per residue of a node, goes to the tasks and lets most other lines be left out early; the
     join takes exactly those asked for."""
@@ -115,14 +115,54 @@ def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
                     new[n] = line
             if len(seen) > SEEN:
                 seen.clear()
-            nodes, at = list(new), 0
-            for part in _groups(list(new.values())):
-                doc, h, _ = occurrences(*shingles(part))
-                cut = np.searchsorted(doc, np.arange(len(part) + 1))
-                yield pd.DataFrame({"node": nodes[at : at + len(part)], "units": [h[a:b].view(np.int64) for a, b in zip(cut[:-1], cut[1:], strict=True)]})
-                at += len(part)
+            parts = [np.bincount(shingles_once(part)[0], minlength=len(part)) for part in _groups(list(new.values()))]
+            if parts:
+                yield pd.DataFrame({"node": list(new), "item": list(new.values()), "size": np.concatenate(parts)})
 
-    return docs.select("text").mapInPandas(run, "node long, units array<long>").join(asked, "node", "left_semi").dropDuplicates(["node"])
+    return docs.select("text").mapInPandas(run, "node long, item string, size long").join(asked, "node", "left_semi").groupBy("node").agg(F.min("item").alias("item"), F.min("size").alias("size"))
+
+
+def shingles_once(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, hash) of the distinct shingles of each line, in order."""
+    doc, h, _ = occurrences(*shingles(lines))
+    return doc, h
+
+
+def _sets(lines: list[str]):
+    """The sorted distinct shingle hashes of each line."""
+    for part in _groups(lines):
+        doc, h = shingles_once(part)
+        cut = np.searchsorted(doc, np.arange(len(part) + 1))
+        yield from (h[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True))
+
+
+def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the pairs of lines whose Jaccard similarity, computed from their texts, reaches the threshold."""
+
+    def run(batches):
+        for pdf in batches:
+            for first in range(0, len(pdf), 2000):
+                part = pdf.iloc[first : first + 2000]
+                text = list(dict.fromkeys([*part["ia"], *part["ib"]]))
+                of = dict(zip(text, _sets(text), strict=True))
+                ok = []
+                for a, b in zip(part["ia"], part["ib"], strict=True):
+                    x, y = of[a], of[b]
+                    met = len(np.intersect1d(x, y, assume_unique=True))
+                    ok.append(met >= threshold * (len(x) + len(y) - met) - 1e-9)
+                yield part.loc[ok, ["a", "b"]]
+
+    return pairs.mapInPandas(run, "a long, b long")
+
+
+def line_units(rows: DataFrame) -> DataFrame:
+    def run(batches):
+        for pdf in batches:
+            lines = pdf["item"].tolist()
+            for node, h in zip(pdf["node"], _sets(lines), strict=True):
+                yield pd.DataFrame({"node": node, "unit": h.view(np.int64)})
+
+    return rows.mapInPandas(run, "node long, unit long")
 
 
 def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -135,7 +175,7 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
     """
     scratch = Scratch(docs.sparkSession, "lines")
     base = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tnode"))
-    comp = linked(scratch, signatures_of(base, min_chars), lambda asked: sets_of(base, asked, min_chars), threshold)
+    comp = linked(scratch, signatures_of(base, min_chars), lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
     places = scratch.keep(places_of(base, min_chars).join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tnode", "pos")
     first = places.groupBy("c").agg(F.min(spot).alias("keep"), F.count("*").alias("n")).where("n > 1").select("c", "keep")

@@ -81,7 +81,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
         one = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_id"))
         texts = base.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
         met = texts.join(one.withColumnRenamed("node", "_node"), ["_node", "_id"], "left_semi")
-        return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>").dropDuplicates(["node"])
+        return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>").dropDuplicates(["node"]).select("node", F.col("units").alias("item"), F.size("units").alias("size"))
 
     comp = linked(scratch, nodes, sets_of, threshold)
     named = rows.select("node", "doc_id").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))

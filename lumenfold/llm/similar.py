@@ -9,35 +9,45 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, components
 
-STARS = 3
+STARS, PARTS = 3, 32
 
 
-def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def array_links(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the pairs (a, b, ia, ib) whose items, arrays without repeats, are similar."""
+    met, total = F.size(F.array_intersect("ia", "ib")), F.size("ia") + F.size("ib")
+    return pairs.where(met >= threshold * (total - met) - 1e-9).select("a", "b")
+
+
+def array_units(rows: DataFrame) -> DataFrame:
+    return rows.select("node", F.explode("item").alias("unit"))
+
+
+def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
     """Rows (node, component) of the items with links: Jaccard similarity >= threshold between bucket mates.
 
-    items: (node long, bands array<long>), a row per node. sets_of(nodes) gives (node, units
-    array<long>) for the nodes asked for. First every bucket mate is compared with three of its bucket's
+    items: (node long, bands array<long>), a row per node. sets_of(nodes) gives (node, item,
+    size) for the nodes asked for: what is compared, and of how many units it is; links and units_of read items. First every bucket mate is compared with three of its bucket's
     nodes, those with most bucket mates overall in each of three hash classes; the links found form components. Then,
     in buckets that still hold several components, nodes outside the component of the bucket's first node
-    are compared with nodes of other components in the bucket. Two bounds, which lose no link, keep those
-    pairs few: sizes must be close, and what either node shares with any other node left must reach the
-    overlap that the threshold asks of the pair. So each pair of bucket mates is compared, in one
+    are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
+    sizes must be close; what either node shares with any other node left must reach the overlap that the
+    threshold asks of the pair; and so must the sum, over 32 hash classes of those shared units, of the smaller
+    of the two nodes' counts. So each pair of bucket mates is compared, in one
     component already, or too different by its own units.
     """
     flat = items.select("node", F.explode("bands").alias("bucket"))
-    shared = flat.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    found = scratch.keep(flat.join(shared, "bucket"))
+    # counted by a 32-bit hash, which moves less; its rare collisions only add candidates
+    shared = flat.groupBy(F.hash("bucket").alias("key")).agg(F.count("*").alias("n")).where("n > 1")
+    found = scratch.keep(flat.join(shared, F.hash("bucket") == F.col("key")).drop("key"))
     sets = scratch.keep(sets_of(found.select("node").distinct()))
     mass = found.groupBy("node").agg(F.sum("n").alias("mass"))
-    mates = scratch.keep(found.join(sets.select("node", F.size("units").alias("size")).join(mass, "node"), "node"))
+    mates = scratch.keep(found.join(sets.select("node", "size").join(mass, "node"), "node"))
     scratch.drop(found)
     close = (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(sets.select(F.col("node").alias("a"), F.col("units").alias("ua")), "a")
-        both = one.join(sets.select(F.col("node").alias("b"), F.col("units").alias("ub")), "b")
-        met = F.size(F.array_intersect("ua", "ub"))
-        return both.select("a", "b", met.alias("met"), (F.size("ua") + F.size("ub")).alias("all")).where(F.col("met") >= threshold * (F.col("all") - F.col("met")) - 1e-9).select("a", "b")
+        one = pairs.join(sets.select(F.col("node").alias("a"), F.col("item").alias("ia")), "a")
+        return links(one.join(sets.select(F.col("node").alias("b"), F.col("item").alias("ib")), "b").select("a", "b", "ia", "ib"), threshold)
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
@@ -55,14 +65,16 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     mixed = named.groupBy("bucket").agg(head.alias("head"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket", "head")
     inside = scratch.keep(named.join(mixed, "bucket"))
     # What a node shares with any node left bounds its overlap with each of them.
-    units = scratch.keep(sets.join(inside.select("node").distinct(), "node", "left_semi").select("node", F.explode("units").alias("unit")))
+    units = scratch.keep(units_of(sets.join(inside.select("node").distinct(), "node", "left_semi").select("node", "item")))
     common = units.groupBy("unit").agg(F.count("*").alias("k")).where("k > 1").select("unit")
-    able = units.join(common, "unit", "left_semi").groupBy("node").agg(F.count("*").alias("own"))
+    able = units.join(common, "unit", "left_semi").groupBy("node").agg(F.count("*").alias("own"), F.array(*[F.count_if(F.pmod(F.col("unit"), F.lit(PARTS)) == k).cast("int") for k in range(PARTS)]).alias("parts"))
     inside = scratch.keep(inside.join(able, "node").where(F.col("own") >= threshold * F.col("size") - 1e-9))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.
-    left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("c").alias("cx"))
-    right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
+    left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("parts").alias("pa"), F.col("c").alias("cx"))
+    right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("parts").alias("pb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
     reach = F.least("oa", "ob") * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
+    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    reach = reach & (most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9)
     rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & reach)
     more = scratch.keep(verified(ordered(rest.select("x", "sa", "y", "sb")).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
