@@ -101,7 +101,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[
     """(posterior, fire[2, voters], weight, groups) of the latent class model over votes (rows x voters, boolean).
 
     gold: 1, 0 or -1 (none) per row; it is a voter that is taken to be right in 98 of 100 rows. After a first fit,
-    voters whose residuals correlate by more than 0.5 form groups, and each member's evidence is divided by
+    voters whose residuals correlate by more than 0.5, or votes by more than 0.9, form groups, and each member's evidence is divided by
     the size of its group; then the model is fitted again.
     """
     n, m = votes.shape
@@ -124,8 +124,9 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[
             res = v - (post[:, None] * on[0] + (1 - post)[:, None] * on[1])
             sd = np.sqrt((res**2).mean(axis=0)) + 1e-9
             corr = (res.T @ res) / n / np.outer(sd, sd)
+            flat = (v - v.mean(axis=0)) / (v.std(axis=0) + 1e-9)  # near copies may have made the class their own
             home = np.arange(m)
-            for a, b in zip(*np.nonzero(np.triu(corr > 0.5, 1)), strict=True):
+            for a, b in zip(*np.nonzero(np.triu((corr > 0.5) | ((flat.T @ flat) / n > 0.9), 1)), strict=True):
                 x, y = home[a], home[b]
                 if x != y:
                     home[home == max(x, y)] = min(x, y)
