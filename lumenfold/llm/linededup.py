@@ -158,9 +158,11 @@ def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
 def line_units(rows: DataFrame) -> DataFrame:
     def run(batches):
         for pdf in batches:
-            lines = pdf["item"].tolist()
-            for node, h in zip(pdf["node"], _sets(lines), strict=True):
-                yield pd.DataFrame({"node": node, "unit": h.view(np.int64)})
+            first, nodes = 0, pdf["node"].to_numpy()
+            for part in _groups(pdf["item"].tolist()):
+                at, h = shingles_once(part)
+                yield pd.DataFrame({"node": nodes[first + at], "unit": h.view(np.int64)})
+                first += len(part)
 
     return rows.mapInPandas(run, "node long, unit long")
 

@@ -43,28 +43,6 @@ def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"))
 
 
-def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document how many lines it has and loses, and the positions of those it loses."""
-    docs = table(spark, sf_dir, "documents")
-    node = F.xxhash64(F.coalesce("text", F.lit("")))
-    lines = docs.select("doc_id", node.alias("tnode"), F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"))
-    gone = linededup.dropped_lines(docs).select(F.col("doc_id").alias("_d"), F.col("tnode").alias("_t"), "drop")
-    met = lines.join(gone, (F.col("tnode") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
-    return met.select("doc_id", "n_lines", F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), F.array_sort(F.coalesce("drop", F.array().cast("array<int>"))).alias("dropped"))
-
-
-def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
-
-
-def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
-
-
-def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hmm.score(table(spark, sf_dir, "documents"))
-
-
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))

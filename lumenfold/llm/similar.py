@@ -28,7 +28,7 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     items: (node long, bands array<long>), a row per node. sets_of(nodes) gives (node, item,
     size) for the nodes asked for: what is compared, and of how many units it is; links and units_of read items. First every bucket mate is compared with three of its bucket's
     nodes, those with most bucket mates overall in each of three hash classes; the links found form components. Then,
-    in buckets that still hold several components, nodes outside the component of the bucket's first node
+    in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
     sizes must be close; what either node shares with any other node left must reach the overlap that the
     threshold asks of the pair; and so must the sum, over 32 hash classes of those shared units, of the smaller
@@ -62,7 +62,9 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
 
     named = mates.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     head = F.min_by("c", F.xxhash64("node", F.lit(0)))
-    mixed = named.groupBy("bucket").agg(head.alias("head"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket", "head")
+    # where all nodes but one at most were medoids, each pair has been tried
+    medoids = F.expr(f"bit_count(bit_or(shiftleft(1, int(pmod(xxhash64(node), {STARS})))))")
+    mixed = named.groupBy("bucket").agg(head.alias("head"), F.min("c").alias("lo"), F.max("c").alias("hi"), (F.count("*") - medoids).alias("others")).where("lo <> hi and others > 1").select("bucket", "head")
     inside = scratch.keep(named.join(mixed, "bucket"))
     # What a node shares with any node left bounds its overlap with each of them.
     units = scratch.keep(units_of(sets.join(inside.select("node").distinct(), "node", "left_semi").select("node", "item")))
