@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from .shingles import U, bands, occurrences, one_permutation, rolling
 from .similar import linked
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
-ROWS, BANDS, BITS = 5, 12, 6
+ROWS, BANDS, BITS = 7, 18, 7
 SKETCH = 1 << 22
 SEEN = 300_000
 GROUP_CHARS = 400_000
@@ -50,49 +51,45 @@ def _line_node(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _lines(pdf: pd.DataFrame, min_chars: int):
+def _lines(texts, min_chars: int):
     """(row, position, normalised line) of the lines long enough."""
-    for k, text in enumerate(pdf["text"]):
+    for k, text in enumerate(texts):
         for p, raw in enumerate(text.split("\n") if isinstance(text, str) else ()):
             if len(raw) >= min_chars and len(line := normal(raw)) >= min_chars:
                 yield k, p, line
 
 
-def places_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, tnode, pos, node) of every line of at least ``min_chars`` characters when normalised."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        for pdf in batches:
-            found = [(k, p, _line_node(x)) for k, p, x in _lines(pdf, min_chars)]
-            if found:
-                at, pos, node = (list(x) for x in zip(*found, strict=True))
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at].reset_index(drop=True), "tnode": pdf["tnode"].to_numpy()[at], "pos": pos, "node": node})
-
-    return docs.mapInPandas(run, f"doc_id {kind}, tnode long, pos int, node long")
-
+def scan_of(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, tnode, pos, node, bands array<long>) of every line of at least ``min_chars`` characters when normalised.
 
-def signatures_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(node, bands array<long>) of every distinct line; a task leaves out lines it has just seen, the grouping the rest."""
-    names = [f"b{k}" for k in range(BANDS)]
+    bands is null where the task has just seen the line; several tasks may give one line's bands, which are the same."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         seen: set[int] = set()
-        for pdf in batches:
-            new: dict[int, str] = {}
-            for _, _, line in _lines(pdf, min_chars):
-                if (n := _line_node(line)) not in seen:
+        for batch in batches:
+            at, pos, node, fresh, new = [], [], [], [], []
+            for k, p, line in _lines(batch.column("text").to_pylist(), min_chars):
+                n = _line_node(line)
+                at.append(k)
+                pos.append(p)
+                node.append(n)
+                fresh.append(n not in seen)
+                if fresh[-1]:
                     seen.add(n)
-                    new[n] = line
+                    new.append(line)
             if len(seen) > SEEN:
                 seen.clear()
-            lines = list(new.values())
-            if lines:
-                rows = [bands(one_permutation(*shingles(part), len(part), BITS), ROWS)[:, :BANDS] for part in _groups(lines)]
-                yield pd.DataFrame(np.concatenate(rows), columns=names).assign(node=list(new))
+            if not at:
+                continue
+            rows = [bands(one_permutation(*shingles(part), len(part), BITS), ROWS)[:, :BANDS] for part in _groups(new)]
+            flat, mask = pa.array(np.concatenate(rows).ravel() if rows else np.zeros(0, dtype=np.int64)), np.array(fresh)
+            ends = np.concatenate([[0], np.cumsum(mask) * BANDS]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(~mask))
+            rows_at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows_at), batch.column("tnode").take(rows_at), pa.array(pos, pa.int32()), pa.array(node, pa.int64()), lists], ["doc_id", "tnode", "pos", "node", "bands"])
 
-    found = docs.select("text").mapInPandas(run, ", ".join(f"{n} long" for n in names) + ", node long")
-    return found.groupBy("node").agg(*[F.min(n).alias(n) for n in names]).select("node", F.array(*names).alias("bands"))
+    return docs.mapInArrow(run, f"doc_id {kind}, tnode long, pos int, node long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
@@ -108,7 +105,7 @@ def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
         on, seen = np.unpackbits(sketch.value).astype(bool), set()
         for pdf in batches:
             new: dict[int, str] = {}
-            for _, _, line in _lines(pdf, min_chars):
+            for _, _, line in _lines(pdf["text"], min_chars):
                 n = _line_node(line)
                 if on[n % SKETCH] and n not in seen:
                     seen.add(n)
@@ -177,8 +174,9 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
     """
     scratch = Scratch(docs.sparkSession, "lines")
     base = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tnode"))
-    comp = linked(scratch, signatures_of(base, min_chars), lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
-    places = scratch.keep(places_of(base, min_chars).join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
+    scan = scratch.keep(scan_of(base, min_chars))
+    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
+    places = scratch.keep(scan.drop("bands").join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tnode", "pos")
     first = places.groupBy("c").agg(F.min(spot).alias("keep"), F.count("*").alias("n")).where("n > 1").select("c", "keep")
     extra = places.join(first, "c").where(~((F.col("tnode") == F.col("keep.tnode")) & (F.col("pos") == F.col("keep.pos")) & F.col("doc_id").eqNullSafe(F.col("keep.doc_id"))))

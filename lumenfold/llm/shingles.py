@@ -133,14 +133,12 @@ def one_permutation(doc: np.ndarray, h: np.ndarray, n_docs: int, bits: int) -> n
     filled = sig != full
     rows = np.flatnonzero(filled.any(axis=1) & ~filled.all(axis=1))
     columns = np.arange(k, dtype=U)
-    for first in range(0, len(rows), 4096):
-        part = rows[first : first + 4096]
-        old, new, open_, probe = sig[part], sig[part], ~filled[part], 0
-        while open_.any() and probe <= 64 * k:  # each probe is random; a full bin is met long before
-            probe += 1
-            src = (mix64(columns * U(0x10001) + U(probe)) & U(k - 1)).astype(np.int64)
-            r, c = np.nonzero(open_ & (old[:, src] != full))
-            new[r, c] = old[r, src[c]] ^ mix64(np.full(1, probe, dtype=U))
-            open_[r, c] = False
-        sig[part] = new
+    r, c = np.nonzero(~filled[rows])
+    r, probe = rows[r], 0
+    while len(r) and probe <= 64 * k:  # each probe is random; a full bin is met long before
+        probe += 1
+        src = (mix64(columns * U(0x10001) + U(probe)) & U(k - 1)).astype(np.int64)[c]
+        met = filled[r, src]
+        sig[r[met], c[met]] = sig[r[met], src[met]] ^ mix64(np.full(1, probe, dtype=U))
+        r, c = r[~met], c[~met]
     return sig

@@ -25,7 +25,7 @@ def array_units(rows: DataFrame) -> DataFrame:
 def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
     """Rows (node, component) of the items with links: Jaccard similarity >= threshold between bucket mates.
 
-    items: (node long, bands array<long>), a row per node. sets_of(nodes) gives (node, item,
+    items: (node long, bands array<long>), a row per node or several that agree. sets_of(nodes) gives (node, item,
     size) for the nodes asked for: what is compared, and of how many units it is; links and units_of read items. First every bucket mate is compared with three of its bucket's
     nodes, those with most bucket mates overall in each of three hash classes; the links found form components. Then,
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
@@ -36,11 +36,12 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     component already, or too different by its own units.
     """
     flat = items.select("node", F.explode("bands").alias("bucket"))
-    # counted by a 32-bit hash, which moves less; its rare collisions only add candidates
-    shared = flat.groupBy(F.hash("bucket").alias("key")).agg(F.count("*").alias("n")).where("n > 1")
-    found = scratch.keep(flat.join(shared, F.hash("bucket") == F.col("key")).drop("key"))
+    # Two nodes in a bucket are told apart by 32-bit hashes, which move less; 2^-32 of pairs are not. The keys are a table of their own: Spark broadcasts it while it is small.
+    shared = scratch.keep(flat.groupBy("bucket").agg(F.min(F.hash("node")).alias("lo"), F.max(F.hash("node")).alias("hi")).where("lo <> hi").select("bucket"))
+    found = scratch.keep(flat.join(shared, "bucket", "left_semi").distinct())
+    scratch.drop(shared)
     sets = scratch.keep(sets_of(found.select("node").distinct()))
-    mass = found.groupBy("node").agg(F.sum("n").alias("mass"))
+    mass = found.join(found.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("mass"))
     mates = scratch.keep(found.join(sets.select("node", "size").join(mass, "node"), "node"))
     scratch.drop(found)
     close = (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9)
