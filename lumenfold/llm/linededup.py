@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .shingles import U, bands, occurrences, one_permutation, rolling
+from .shingles import U, bands, one_permutation, rolling
 from .similar import linked
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
 ROWS, BANDS, BITS = 7, 18, 7
 SKETCH = 1 << 22
 SEEN = 300_000
-GROUP_CHARS = 400_000
+GROUP_CHARS, GROUP_LINES = 400_000, 60_000
 
 
 def normal(line: str) -> str:
@@ -40,7 +40,7 @@ def _groups(lines: list[str]):
     first, size = 0, 0
     for k, x in enumerate(lines):
         size += len(x)
-        if size >= GROUP_CHARS:
+        if size >= GROUP_CHARS or k - first + 1 >= GROUP_LINES:
             yield lines[first : k + 1]
             first, size = k + 1, 0
     if first < len(lines):
@@ -120,9 +120,11 @@ def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
 
 
 def shingles_once(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, hash) of the distinct shingles of each line, in order."""
-    doc, h, _ = occurrences(*shingles(lines))
-    return doc, h
+    """(line number, 48-bit hash) of the distinct shingles of each of at most GROUP_LINES lines, in order."""
+    doc, h = shingles(lines)
+    key = np.sort((doc.astype(U) << U(48)) | (h >> U(16)))
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+    return (key >> U(48)).astype(np.int64), key & U((1 << 48) - 1)
 
 
 def _sets(lines: list[str]):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, components
 
-STARS, PARTS = 3, 32
+STARS, PARTS = 3, 128
 
 
 def array_links(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -31,7 +31,7 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
     sizes must be close; what either node shares with any other node left must reach the overlap that the
-    threshold asks of the pair; and so must the sum, over 32 hash classes of those shared units, of the smaller
+    threshold asks of the pair; and so must the sum, over 128 hash classes of those shared units, of the smaller
     of the two nodes' counts. So each pair of bucket mates is compared, in one
     component already, or too different by its own units.
     """
