@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, components
 
-STARS, PARTS = 3, 128
+STARS, PARTS, FIELD = 3, 192, 21  # three counters of FIELD bits in a long
 
 
 def array_links(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -31,7 +31,7 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
     sizes must be close; what either node shares with any other node left must reach the overlap that the
-    threshold asks of the pair; and so must the sum, over 128 hash classes of those shared units, of the smaller
+    threshold asks of the pair; and so must the sum, over 192 hash classes of those shared units, of the smaller
     of the two nodes' counts. So each pair of bucket mates is compared, in one
     component already, or too different by its own units.
     """
@@ -70,14 +70,20 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     # What a node shares with any node left bounds its overlap with each of them.
     units = scratch.keep(units_of(sets.join(inside.select("node").distinct(), "node", "left_semi").select("node", "item")))
     common = units.groupBy("unit").agg(F.count("*").alias("k")).where("k > 1").select("unit")
-    able = units.join(common, "unit", "left_semi").groupBy("node").agg(F.count("*").alias("own"), F.array(*[F.count_if(F.pmod(F.col("unit"), F.lit(PARTS)) == k).cast("int") for k in range(PARTS)]).alias("parts"))
+    part = F.pmod(F.col("unit"), F.lit(PARTS)).cast("int")
+    add = F.expr(f"shiftleft(1L, part % 3 * {FIELD})")
+    packed = [F.sum(F.when(F.expr("part div 3") == k, add).otherwise(F.lit(0).cast("long"))) for k in range(PARTS // 3)]
+    able = units.join(common, "unit", "left_semi").select("node", part.alias("part")).groupBy("node").agg(F.count("*").alias("own"), F.array(*packed).alias("packed"))
+    field = lambda x, n: F.shiftrightunsigned(x, n * FIELD).bitwiseAND(F.lit((1 << FIELD) - 1)).cast("int")
+    able = able.select("node", "own", F.flatten(F.transform("packed", lambda x: F.array(field(x, 0), field(x, 1), field(x, 2)))).alias("parts"))
     inside = scratch.keep(inside.join(able, "node").where(F.col("own") >= threshold * F.col("size") - 1e-9))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.
     left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("parts").alias("pa"), F.col("c").alias("cx"))
     right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("parts").alias("pb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
     reach = F.least("oa", "ob") * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
     most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    reach = reach & (most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9)
+    large = F.greatest("sa", "sb") >= 1 << FIELD  # their counters may have run over
+    reach = reach & (large | (most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9))
     rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & reach)
     more = scratch.keep(verified(ordered(rest.select("x", "sa", "y", "sb")).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
