@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, hmm, linededup, mixing, mpeg_audio, neardup, packing, token_counts, toxicity
+from . import covertree, hmm, linededup, mixing, mpeg_audio, neardup, packing, quality, token_counts, toxicity
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.grade(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.link(table(spark, sf_dir, "embeddings"))
 
@@ -48,5 +52,5 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op3_cover_tree, op4_toxicity, op5_mpeg_audio, op6_token_counts, op7_hmm, op8_line_dedup, op9_packing, op10_minhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_ordinal_quality, op3_cover_tree, op4_toxicity, op5_mpeg_audio, op6_token_counts, op7_hmm, op8_line_dedup, op9_packing, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.ORACLE}
