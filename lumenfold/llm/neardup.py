@@ -63,10 +63,11 @@ def shingle_sets(batches):
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, DataFrame]:
-    """Rows (node, doc_id, class_id, class_size) per row of docs, and the scratch that holds them.
+    """Rows (node, doc_id, component, class_id, class_size) per row of docs, and the scratch that holds them.
 
     Two texts are linked if the weighted Jaccard similarity of their multisets of five-word shingles is at
-    least ``threshold``; classes are the components of those links. class_id is the smallest doc_id of a class.
+    least ``threshold``; classes are the components of those links. component is a text hash and the class's key. class_id is the smallest
+    doc_id of a class, which other classes may share where ids are repeated or null.
     A text of fewer than five words is one shingle; texts without words (null, empty, blank) have none and
     are linked to equal texts only. Repeated rows share a class; null ids are in their class but never name
     it unless all ids there are null.
@@ -84,21 +85,21 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
         return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>").dropDuplicates(["node"]).select("node", F.col("units").alias("item"), F.size("units").alias("size"))
 
     comp = linked(scratch, nodes, sets_of, threshold)
-    named = rows.select("node", "doc_id").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    ids = scratch.keep(named.groupBy("c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
-    return scratch, named.join(ids, "c").select("node", "doc_id", "class_id", "class_size")
+    named = rows.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ids = scratch.keep(named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
+    return scratch, named.join(ids, "component").select("node", "doc_id", "component", "class_id", "class_size")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, class_size, kept (whether the row's id names its class) per row of docs; see ``classes``."""
+    """doc_id, component, class_id, class_size, kept (whether the row's id names its class) per row of docs; see ``classes``."""
     _, found = classes(docs, threshold)
-    return found.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "component", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of docs per class, with its columns: a row whose id names the class."""
     _, found = classes(docs, threshold)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias("_n"))
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("component").agg(F.min("node").alias("_n"), F.first("class_id").alias("class_id"))
     names = docs.columns
     rows = with_node(docs.select(F.struct(*names).alias("_row"), "doc_id", "text")).drop("text")
     key = F.col("_node").eqNullSafe(F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("class_id"))

@@ -88,6 +88,14 @@ def test_near_duplicates_odd_rows(odd, nothing):
     assert kept.columns == odd.columns and ids.count(0) == 1 and 1 not in ids and 12 not in ids and 3 in ids and 4 not in ids
 
 
+def test_classes_with_the_same_id_or_none_stay_apart(spark):
+    rows = [(None, prose(k, 30)) for k in range(3)] + [(7, prose(k, 30)) for k in (3, 4)] + [(None, prose(0, 30)), (7, prose(3, 30)), (9, prose(4, 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs).collect()
+    assert len({r.component for r in found}) == 5 and sorted(r.class_size for r in found) == [1, 1, 2, 2, 2, 2, 2, 2]
+    assert sorted(r.text for r in neardup.without_near_duplicates(docs).collect()) == sorted(prose(k, 30) for k in range(5))
+
+
 def test_lines_match_brute_force(spark):
     r, rows = random.Random(8), []
     pool = [prose(k + 50, 14) for k in range(15)]
