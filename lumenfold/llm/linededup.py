@@ -15,7 +15,7 @@ from .shingles import U, bands, one_permutation, rolling
 from .similar import linked
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
-ROWS, BANDS, BITS = 7, 18, 7
+ROWS, BANDS, BITS = 5, 14, 7
 SKETCH = 1 << 22
 SEEN = 300_000
 GROUP_CHARS, GROUP_LINES = 400_000, 60_000

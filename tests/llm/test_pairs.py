@@ -96,6 +96,15 @@ def test_classes_with_the_same_id_or_none_stay_apart(spark):
     assert sorted(r.text for r in neardup.without_near_duplicates(docs).collect()) == sorted(prose(k, 30) for k in range(5))
 
 
+def test_similar_lines_share_a_band():
+    rng, n, total = np.random.default_rng(5), 6000, 50
+    h = rng.integers(0, 2**64, (n, total), dtype=np.uint64)
+    a, b = h[:, :45], np.hstack([h[:, :40], h[:, 45:]])  # Jaccard similarity 0.8
+    doc = np.repeat(np.arange(2 * n), 45)
+    found = shingles.bands(shingles.one_permutation(doc, np.concatenate([a.ravel(), b.ravel()]), 2 * n, linededup.BITS), linededup.ROWS)[:, : linededup.BANDS]
+    assert (found[:n] == found[n:]).any(axis=1).mean() > 0.993
+
+
 def test_lines_match_brute_force(spark):
     r, rows = random.Random(8), []
     pool = [prose(k + 50, 14) for k in range(15)]
