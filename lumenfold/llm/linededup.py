@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 from .shingles import U, bands, one_permutation, rolling
-from .similar import linked
+from .similar import linked, marks
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
 ROWS, BANDS, BITS = 5, 14, 7
@@ -93,7 +93,7 @@ def scan_of(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
-    """(node, item, size) of the lines asked for: the normalised line and how many distinct shingles it has.
+    """(node, item, size, marks) of the lines asked for: the normalised line, how many distinct shingles it has and where they hash to.
 
     A sketch of fixed size, one bit per residue of a node, goes to the tasks and lets most other lines be left out early; the
     join takes exactly those asked for."""
@@ -112,43 +112,41 @@ def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
                     new[n] = line
             if len(seen) > SEEN:
                 seen.clear()
-            parts = [np.bincount(shingles_once(part)[0], minlength=len(part)) for part in _groups(list(new.values()))]
-            if parts:
-                yield pd.DataFrame({"node": list(new), "item": list(new.values()), "size": np.concatenate(parts)})
+            nodes = list(new)
+            for part in _groups(list(new.values())):
+                at, h = shingles_once(part)
+                yield pd.DataFrame({"node": nodes[: len(part)], "item": part, "size": np.bincount(at, minlength=len(part)), "marks": marks(at, h, len(part))})
+                nodes = nodes[len(part) :]
+
+    found = docs.select("text").mapInPandas(run, "node long, item string, size long, marks array<long>").join(asked, "node", "left_semi")
+    return found.groupBy("node").agg(F.min("item").alias("item"), F.min("size").alias("size"), F.min("marks").alias("marks"))
+
 
-    return docs.select("text").mapInPandas(run, "node long, item string, size long").join(asked, "node", "left_semi").groupBy("node").agg(F.min("item").alias("item"), F.min("size").alias("size"))
+def grams(line: str) -> set[str]:
+    """The distinct shingles of a line themselves."""
+    return {line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)}
 
 
 def shingles_once(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, 48-bit hash) of the distinct shingles of each of at most GROUP_LINES lines, in order."""
+    """(line number, 48-bit hash) of the distinct shingles of each of at most GROUP_LINES lines, in order; they feed bounds only."""
     doc, h = shingles(lines)
     key = np.sort((doc.astype(U) << U(48)) | (h >> U(16)))
     key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
     return (key >> U(48)).astype(np.int64), key & U((1 << 48) - 1)
 
 
-def _sets(lines: list[str]):
-    """The sorted distinct shingle hashes of each line."""
-    for part in _groups(lines):
-        doc, h = shingles_once(part)
-        cut = np.searchsorted(doc, np.arange(len(part) + 1))
-        yield from (h[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True))
-
-
 def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of the pairs of lines whose Jaccard similarity, computed from their texts, reaches the threshold."""
+    """(a, b) of the pairs of lines whose sets of shingles, the strings themselves, reach the threshold."""
 
     def run(batches):
         for pdf in batches:
             for first in range(0, len(pdf), 2000):
                 part = pdf.iloc[first : first + 2000]
-                text = list(dict.fromkeys([*part["ia"], *part["ib"]]))
-                of = dict(zip(text, _sets(text), strict=True))
+                of = {x: grams(x) for c in ("ia", "ib") for x in part[c].unique()}
                 ok = []
                 for a, b in zip(part["ia"], part["ib"], strict=True):
-                    x, y = of[a], of[b]
-                    met = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(met >= threshold * (len(x) + len(y) - met) - 1e-9)
+                    met = len(of[a] & of[b])
+                    ok.append(met >= threshold * (len(of[a]) + len(of[b]) - met) - 1e-9)
                 yield part.loc[ok, ["a", "b"]]
 
     return pairs.mapInPandas(run, "a long, b long")
@@ -177,7 +175,7 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
     scratch = Scratch(docs.sparkSession, "lines")
     base = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tnode"))
     scan = scratch.keep(scan_of(base, min_chars))
-    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
+    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), BANDS, lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
     places = scratch.keep(scan.drop("bands").join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tnode", "pos")
     first = places.groupBy("c").agg(F.min(spot).alias("keep"), F.count("*").alias("n")).where("n > 1").select("c", "keep")

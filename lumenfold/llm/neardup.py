@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 from .shingles import WordHash, bag_minhash, bands, units, word_shingles
-from .similar import linked
+from .similar import linked, marks
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 4, 16
@@ -59,7 +59,7 @@ def shingle_sets(batches):
         for first, part in _groups(texts):
             doc, value = units(*word_shingles(part, known, SHINGLE))
             at = np.searchsorted(doc, np.arange(len(part) + 1))
-            yield pd.DataFrame({"node": pdf["_node"].to_numpy()[first : first + len(part)], "units": [value[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)]})
+            yield pd.DataFrame({"node": pdf["_node"].to_numpy()[first : first + len(part)], "units": [value[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)], "marks": marks(doc, value, len(part))})
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, DataFrame]:
@@ -82,9 +82,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
         one = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_id"))
         texts = base.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
         met = texts.join(one.withColumnRenamed("node", "_node"), ["_node", "_id"], "left_semi")
-        return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>").dropDuplicates(["node"]).select("node", F.col("units").alias("item"), F.size("units").alias("size"))
+        return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>, marks array<long>").dropDuplicates(["node"]).select("node", F.col("units").alias("item"), F.size("units").alias("size"), "marks")
 
-    comp = linked(scratch, nodes, sets_of, threshold)
+    nodes = scratch.keep(nodes)
+    comp = linked(scratch, nodes, BANDS, sets_of, threshold)
+    scratch.drop(nodes)
     named = rows.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = scratch.keep(named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
     return scratch, named.join(ids, "component").select("node", "doc_id", "component", "class_id", "class_size")

@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, components
 
-STARS, PARTS, FIELD = 3, 192, 21  # three counters of FIELD bits in a long
+STARS, SLOTS = 3, 1024  # medoids a bucket; bits of the marks of an item
+RANGE_KEYS, CHUNK_KEYS, SKETCH_BITS = 4_000_000, 1_000_000, 1 << 26
+U = np.uint64
+
+
+def marks(owner: np.ndarray, unit: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per item a bitmap of SLOTS bits, as longs, of the places its units hash to; owner is in order."""
+    out, place = [], (unit.view(U) % U(SLOTS)).astype(np.int64)
+    for first in range(0, n, 4096):
+        a, b = np.searchsorted(owner, [first, first + 4096])
+        bits = np.zeros((min(4096, n - first), SLOTS), dtype=bool)
+        bits[owner[a:b] - first, place[a:b]] = True
+        out += list(np.packbits(bits, axis=1).view(np.int64))
+    return out
 
 
 def array_links(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -22,24 +37,92 @@ def array_units(rows: DataFrame) -> DataFrame:
     return rows.select("node", F.explode("item").alias("unit"))
 
 
-def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
+def _flat(batch) -> tuple[np.ndarray, np.ndarray]:
+    """(node, key) of every band of a batch."""
+    lists = batch.column("bands")
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(batch.column("node").to_numpy(), sizes), lists.flatten().to_numpy()
+
+
+def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
+    """Distinct (node, bucket) of the buckets that hold at least two nodes.
+
+    A task sorts its keys and sends, per range of keys, packed arrays of the least and greatest node of each key, so a key with any
+    number of nodes is at most two entries of a task. The number of ranges follows the number of keys. A range finds its shared
+    keys by one sort, and a bitmap of them: all bitmaps together have SKETCH_BITS bits at any size, go to the tasks and let most
+    other keys be left out before the exact join with the shared keys."""
+    keys = items.count() * n_bands
+    power = min(20, max(6, int(keys // RANGE_KEYS).bit_length()))
+    slots = max(8, SKETCH_BITS >> power)
+
+    def packed(node, key):
+        order = np.argsort(key.view(U), kind="stable")
+        key, node = key[order], node[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        low, high, key = np.minimum.reduceat(node, first), np.maximum.reduceat(node, first), key[first]
+        both = 1 + (low != high).astype(np.int64)
+        key, node = np.repeat(key, both), np.repeat(low, both)
+        node[np.cumsum(both) - 1] = high
+        cut = np.searchsorted((key.view(U) >> U(64 - power)).astype(np.int64), np.arange((1 << power) + 1))
+        there = np.flatnonzero(np.diff(cut))
+        blobs = [[x[cut[r] : cut[r + 1]].tobytes() for r in there] for x in (key, node)]
+        return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["range", "keys", "nodes"])
+
+    def spread(batches):
+        held, size = [], 0
+        for b in batches:
+            held.append(_flat(b))
+            size += len(held[-1][1])
+            if size >= CHUNK_KEYS:
+                yield packed(*map(np.concatenate, zip(*held, strict=True)))
+                held, size = [], 0
+        if size:
+            yield packed(*map(np.concatenate, zip(*held, strict=True)))
+
+    def shared(part):
+        key, node = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.int64) for c in ("keys", "nodes"))
+        order = np.argsort(key, kind="stable")
+        key, node = key[order], node[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        met = key[first[np.minimum.reduceat(node, first) != np.maximum.reduceat(node, first)]]
+        bits = np.zeros(slots, dtype=bool)
+        bits[(met.view(U) % U(slots)).astype(np.int64)] = True
+        return pa.table({"range": part.column("range").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()), "keys": pa.array([met], pa.list_(pa.int64()))})
+
+    found = scratch.keep(items.mapInArrow(spread, "range int, keys binary, nodes binary").groupBy("range").applyInArrow(shared, "range int, bits binary, keys array<long>"))
+    sketch = np.zeros((1 << power, slots // 8), dtype=np.uint8)
+    for r in found.select("range", "bits").toLocalIterator():
+        sketch[r["range"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    known = items.sparkSession.sparkContext.broadcast(sketch)
+
+    def probe(batches):
+        for b in batches:
+            node, key = _flat(b)
+            k = key.view(U)
+            at = (k % U(slots)).astype(np.int64)
+            on = (known.value[(k >> U(64 - power)).astype(np.int64), at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+            yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(key[on])], ["node", "bucket"])
+
+    some = items.mapInArrow(probe, "node long, bucket long").distinct()
+    out = scratch.keep(some.join(found.select(F.explode("keys").alias("bucket")), "bucket", "left_semi"))
+    scratch.drop(found)
+    return out
+
+
+def linked(scratch: Scratch, items: DataFrame, n_bands: int, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
     """Rows (node, component) of the items with links: Jaccard similarity >= threshold between bucket mates.
 
     items: (node long, bands array<long>), a row per node or several that agree. sets_of(nodes) gives (node, item,
-    size) for the nodes asked for: what is compared, and of how many units it is; links and units_of read items. First every bucket mate is compared with three of its bucket's
+    size, marks) for the nodes asked for: what is compared, of how many units it is, and the bitmap of their places; links and units_of
+    read items. First every bucket mate is compared with three of its bucket's
     nodes, those with most bucket mates overall in each of three hash classes; the links found form components. Then,
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
     sizes must be close; what either node shares with any other node left must reach the overlap that the
-    threshold asks of the pair; and so must the sum, over 192 hash classes of those shared units, of the smaller
-    of the two nodes' counts. So each pair of bucket mates is compared, in one
-    component already, or too different by its own units.
+    threshold asks of the pair; and so must each one's size less the places only it has marked. So each pair of bucket mates is
+    compared, in one component already, or too different by its own units.
     """
-    flat = items.select("node", F.explode("bands").alias("bucket"))
-    # Two nodes in a bucket are told apart by 32-bit hashes, which move less; 2^-32 of pairs are not. The keys are a table of their own: Spark broadcasts it while it is small.
-    shared = scratch.keep(flat.groupBy("bucket").agg(F.min(F.hash("node")).alias("lo"), F.max(F.hash("node")).alias("hi")).where("lo <> hi").select("bucket"))
-    found = scratch.keep(flat.join(shared, "bucket", "left_semi").distinct())
-    scratch.drop(shared)
+    found = bucket_mates(scratch, items, n_bands)
     sets = scratch.keep(sets_of(found.select("node").distinct()))
     mass = found.join(found.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("mass"))
     mates = scratch.keep(found.join(sets.select("node", "size").join(mass, "node"), "node"))
@@ -67,25 +150,19 @@ def linked(scratch: Scratch, items: DataFrame, sets_of: Callable[[DataFrame], Da
     medoids = F.expr(f"bit_count(bit_or(shiftleft(1, int(pmod(xxhash64(node), {STARS})))))")
     mixed = named.groupBy("bucket").agg(head.alias("head"), F.min("c").alias("lo"), F.max("c").alias("hi"), (F.count("*") - medoids).alias("others")).where("lo <> hi and others > 1").select("bucket", "head")
     inside = scratch.keep(named.join(mixed, "bucket"))
-    # What a node shares with any node left bounds its overlap with each of them.
-    units = scratch.keep(units_of(sets.join(inside.select("node").distinct(), "node", "left_semi").select("node", "item")))
-    common = units.groupBy("unit").agg(F.count("*").alias("k")).where("k > 1").select("unit")
-    part = F.pmod(F.col("unit"), F.lit(PARTS)).cast("int")
-    add = F.expr(f"shiftleft(1L, part % 3 * {FIELD})")
-    packed = [F.sum(F.when(F.expr("part div 3") == k, add).otherwise(F.lit(0).cast("long"))) for k in range(PARTS // 3)]
-    able = units.join(common, "unit", "left_semi").select("node", part.alias("part")).groupBy("node").agg(F.count("*").alias("own"), F.array(*packed).alias("packed"))
-    field = lambda x, n: F.shiftrightunsigned(x, n * FIELD).bitwiseAND(F.lit((1 << FIELD) - 1)).cast("int")
-    able = able.select("node", "own", F.flatten(F.transform("packed", lambda x: F.array(field(x, 0), field(x, 1), field(x, 2)))).alias("parts"))
-    inside = scratch.keep(inside.join(able, "node").where(F.col("own") >= threshold * F.col("size") - 1e-9))
+    # What a node shares with any node left bounds its overlap with each of them: its size less the units that only it has.
+    left_sets = scratch.keep(sets.join(inside.select("node").distinct(), "node", "left_semi"))
+    alone = units_of(left_sets.select("node", "item")).groupBy("unit").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    able = left_sets.select("node", "size", "marks").join(alone, "node", "left").select("node", "marks", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("own"), "size").where(F.col("own") >= threshold * F.col("size") - 1e-9).drop("size")
+    inside = scratch.keep(inside.join(able, "node"))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.
-    left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("parts").alias("pa"), F.col("c").alias("cx"))
-    right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("parts").alias("pb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
-    reach = F.least("oa", "ob") * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
-    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    large = F.greatest("sa", "sb") >= 1 << FIELD  # their counters may have run over
-    reach = reach & (large | (most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9))
+    left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("marks").alias("ma"), F.col("c").alias("cx"))
+    right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("marks").alias("mb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
+    only = lambda x, y: sum((F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(1, SLOTS // 64)), F.bit_count(F.col(x)[0].bitwiseAND(F.bitwise_not(F.col(y)[0]))))
+    enough = lambda most: most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
+    reach = enough(F.least("oa", "ob")) & enough(F.col("sa") - only("ma", "mb")) & enough(F.col("sb") - only("mb", "ma"))
     rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & reach)
     more = scratch.keep(verified(ordered(rest.select("x", "sa", "y", "sb")).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
-    scratch.drop(mates, sets, tried, units, inside)
+    scratch.drop(mates, sets, left_sets, tried, inside, edges, more)
     return out
