@@ -5,17 +5,27 @@ from __future__ import annotations
 import atexit
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores added until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
@@ -63,6 +73,21 @@ def most_frequent(counts: DataFrame, n: str, limit: int) -> DataFrame:
     return counts.where(rank >= least) if least is not None else counts.limit(0)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES):
+    """Python workers get their rows in batches of about ``size`` bytes while this holds, however long the texts are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 class Scratch:
     """Tables written to the shared folder; they cut lineage and survive lost executors.
 
@@ -77,7 +102,8 @@ class Scratch:
         self.n += 1
         path = f"{self.root}/{self.n}"
         _live[path] = self.spark
-        df.write.mode("overwrite").parquet(path)
+        with small_batches(self.spark):
+            df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

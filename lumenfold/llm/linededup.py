@@ -10,15 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
-from .shingles import U, bands, one_permutation, rolling
+from .common import Scratch, fresh
+from .shingles import U, bands, one_permutation, rolling, six_bytes
 from .similar import linked, marks
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
-ROWS, BANDS, BITS = 5, 14, 7
+ROWS, BANDS, BITS, SLOTS = 6, 21, 7, 256
 SKETCH = 1 << 22
 SEEN = 300_000
-GROUP_CHARS, GROUP_LINES = 400_000, 60_000
+GROUP_CHARS, GROUP_LINES = 400_000, 20_000
 
 
 def normal(line: str) -> str:
@@ -60,7 +60,7 @@ def _lines(texts, min_chars: int):
 
 
 def scan_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, tnode, pos, node, bands array<long>) of every line of at least ``min_chars`` characters when normalised.
+    """(doc_id, tnode, pos, node, bands binary) of every line of at least ``min_chars`` characters when normalised.
 
     bands is null where the task has just seen the line; several tasks may give one line's bands, which are the same."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -83,13 +83,13 @@ def scan_of(docs: DataFrame, min_chars: int) -> DataFrame:
             if not at:
                 continue
             rows = [bands(one_permutation(*shingles(part), len(part), BITS), ROWS)[:, :BANDS] for part in _groups(new)]
-            flat, mask = pa.array(np.concatenate(rows).ravel() if rows else np.zeros(0, dtype=np.int64)), np.array(fresh)
-            ends = np.concatenate([[0], np.cumsum(mask) * BANDS]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(~mask))
+            flat, mask = six_bytes(np.concatenate(rows)).tobytes() if rows else b"", np.array(fresh)
+            ends = np.concatenate([[0], np.cumsum(mask) * 6 * BANDS]).astype(np.int32)
+            keys = pa.Array.from_buffers(pa.binary(), len(at), [pa.array(mask).buffers()[1], pa.py_buffer(ends.tobytes()), pa.py_buffer(flat)])
             rows_at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows_at), batch.column("tnode").take(rows_at), pa.array(pos, pa.int32()), pa.array(node, pa.int64()), lists], ["doc_id", "tnode", "pos", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows_at), batch.column("tnode").take(rows_at), pa.array(pos, pa.int32()), pa.array(node, pa.int64()), keys], ["doc_id", "tnode", "pos", "node", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, tnode long, pos int, node long, bands array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, tnode long, pos int, node long, bands binary")
 
 
 def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
@@ -115,7 +115,7 @@ def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
             nodes = list(new)
             for part in _groups(list(new.values())):
                 at, h = shingles_once(part)
-                yield pd.DataFrame({"node": nodes[: len(part)], "item": part, "size": np.bincount(at, minlength=len(part)), "marks": marks(at, h, len(part))})
+                yield pd.DataFrame({"node": nodes[: len(part)], "item": part, "size": np.bincount(at, minlength=len(part)), "marks": marks(at, h, len(part), SLOTS)})
                 nodes = nodes[len(part) :]
 
     found = docs.select("text").mapInPandas(run, "node long, item string, size long, marks array<long>").join(asked, "node", "left_semi")
@@ -175,7 +175,7 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
     scratch = Scratch(docs.sparkSession, "lines")
     base = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tnode"))
     scan = scratch.keep(scan_of(base, min_chars))
-    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), BANDS, lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
+    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), BANDS, SLOTS, lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
     places = scratch.keep(scan.drop("bands").join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tnode", "pos")
     first = places.groupBy("c").agg(F.min(spot).alias("keep"), F.count("*").alias("n")).where("n > 1").select("c", "keep")
@@ -185,7 +185,7 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of docs, the text without dropped lines (n_chars, where there is one, follows), and
-    ``_lines`` and ``_dropped``: how many lines the text had and lost. Null texts stay null, a text whose lines all go is empty."""
+    ``_lines`` and ``_dropped`` (with underscores added where docs has such names): how many lines the text had and lost. Null texts stay null, a text whose lines all go is empty."""
     names = docs.columns
     gone = dropped_lines(docs, threshold, min_chars).select(F.col("doc_id").alias("_d"), F.col("tnode").alias("_t"), "drop")
     rows = docs.select(F.struct(*names).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_node"))
@@ -194,4 +194,4 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int =
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("drop", i)), "\n")
     out = met.select("_row", F.when(F.col("drop").isNull(), F.col("_row.text")).otherwise(left).alias("_text"), F.when(F.col("_row.text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias("_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("_dropped"))
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return out.select(*[(new[c] if c in new else F.col("_row")[c]).alias(c) for c in names], "_lines", "_dropped")
+    return out.select(*[(new[c] if c in new else F.col("_row")[c]).alias(c) for c in names], *[F.col(c).alias(fresh(docs, c)) for c in ("_lines", "_dropped")])

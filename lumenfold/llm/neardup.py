@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .shingles import WordHash, bag_minhash, bands, units, word_shingles
+from .shingles import WordHash, bag_minhash, bands, six_bytes, units, word_shingles
 from .similar import linked, marks
 
 SHINGLE, THRESHOLD = 5, 0.8
-ROWS, BANDS = 4, 16
+ROWS, BANDS, SLOTS = 4, 16, 1024
 GROUP_WORDS = 300_000
 
 
@@ -49,7 +49,7 @@ def signatures(batches):
             size[first : first + len(part)] = np.bincount(doc, minlength=len(part))
             found.append(bands(bag_minhash(doc, h, len(part), ROWS * BANDS), ROWS))
         rows = np.concatenate(found) if found else np.zeros((0, BANDS), dtype=np.int64)
-        yield pd.DataFrame({"node": pdf["_node"].to_numpy(), "doc_id": pdf["doc_id"], "size": size, "bands": [r if n else r[:0] for r, n in zip(rows, size, strict=True)]})
+        yield pd.DataFrame({"node": pdf["_node"].to_numpy(), "doc_id": pdf["doc_id"], "size": size, "bands": [six_bytes(r).tobytes() if n else b"" for r, n in zip(rows, size, strict=True)]})
 
 
 def shingle_sets(batches):
@@ -59,7 +59,7 @@ def shingle_sets(batches):
         for first, part in _groups(texts):
             doc, value = units(*word_shingles(part, known, SHINGLE))
             at = np.searchsorted(doc, np.arange(len(part) + 1))
-            yield pd.DataFrame({"node": pdf["_node"].to_numpy()[first : first + len(part)], "units": [value[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)], "marks": marks(doc, value, len(part))})
+            yield pd.DataFrame({"node": pdf["_node"].to_numpy()[first : first + len(part)], "units": [value[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)], "marks": marks(doc, value, len(part), SLOTS)})
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, DataFrame]:
@@ -75,7 +75,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
     scratch = Scratch(docs.sparkSession, "neardup")
     base = with_node(docs.select("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = scratch.keep(base.mapInPandas(signatures, f"node long, doc_id {kind}, size long, bands array<long>"))
+    rows = scratch.keep(base.mapInPandas(signatures, f"node long, doc_id {kind}, size long, bands binary"))
     nodes = rows.where("size > 0").groupBy("node").agg(F.min("bands").alias("bands"))
 
     def sets_of(asked: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, Dat
         return met.select("_node", "text").mapInPandas(shingle_sets, "node long, units array<long>, marks array<long>").dropDuplicates(["node"]).select("node", F.col("units").alias("item"), F.size("units").alias("size"), "marks")
 
     nodes = scratch.keep(nodes)
-    comp = linked(scratch, nodes, BANDS, sets_of, threshold)
+    comp = linked(scratch, nodes, BANDS, SLOTS, sets_of, threshold)
     scratch.drop(nodes)
     named = rows.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = scratch.keep(named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))

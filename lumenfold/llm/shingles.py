@@ -77,6 +77,17 @@ def units(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return doc[which], np.where(nth > 0, mix64(h[which] ^ (nth.astype(U) * _G)), h[which])
 
 
+def six_bytes(x: np.ndarray) -> np.ndarray:
+    """The low 48 bits of each 64-bit number, six bytes a row."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def from_six_bytes(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    return out.view(np.int64).ravel()
+
+
 def bands(sig: np.ndarray, rows: int) -> np.ndarray:
     """One int64 per band of ``rows`` signature columns; the band number is part of it."""
     n = sig.shape[1] // rows

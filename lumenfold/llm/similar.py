@@ -10,18 +10,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, components
+from .shingles import from_six_bytes, six_bytes
 
-STARS, SLOTS = 3, 1024  # medoids a bucket; bits of the marks of an item
+STARS = 8  # medoids a bucket
 RANGE_KEYS, CHUNK_KEYS, SKETCH_BITS = 4_000_000, 1_000_000, 1 << 26
+MASK = np.int64((1 << 48) - 1)
 U = np.uint64
 
 
-def marks(owner: np.ndarray, unit: np.ndarray, n: int) -> list[np.ndarray]:
-    """Per item a bitmap of SLOTS bits, as longs, of the places its units hash to; owner is in order."""
-    out, place = [], (unit.view(U) % U(SLOTS)).astype(np.int64)
+def marks(owner: np.ndarray, unit: np.ndarray, n: int, slots: int) -> list[np.ndarray]:
+    """Per item a bitmap of so many bits, as longs, of the places its units hash to; owner is in order."""
+    out, place = [], (unit.view(U) % U(slots)).astype(np.int64)
     for first in range(0, n, 4096):
         a, b = np.searchsorted(owner, [first, first + 4096])
-        bits = np.zeros((min(4096, n - first), SLOTS), dtype=bool)
+        bits = np.zeros((min(4096, n - first), slots), dtype=bool)
         bits[owner[a:b] - first, place[a:b]] = True
         out += list(np.packbits(bits, axis=1).view(np.int64))
     return out
@@ -38,17 +40,16 @@ def array_units(rows: DataFrame) -> DataFrame:
 
 
 def _flat(batch) -> tuple[np.ndarray, np.ndarray]:
-    """(node, key) of every band of a batch."""
-    lists = batch.column("bands")
-    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return np.repeat(batch.column("node").to_numpy(), sizes), lists.flatten().to_numpy()
+    """(node, key) of every band of a batch; bands are six bytes a key."""
+    cells = batch.column("bands").to_pylist()
+    return np.repeat(batch.column("node").to_numpy(), [len(c or b"") // 6 for c in cells]), from_six_bytes(b"".join(c for c in cells if c))
 
 
 def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
     """Distinct (node, bucket) of the buckets that hold at least two nodes.
 
-    A task sorts its keys and sends, per range of keys, packed arrays of the least and greatest node of each key, so a key with any
-    number of nodes is at most two entries of a task. The number of ranges follows the number of keys. A range finds its shared
+    A task sorts its keys and sends, per range of keys, packed arrays of the least and greatest node of each key (48 bits of both), so a
+    key with any number of nodes is at most two entries of a task. The number of ranges follows the number of keys. A range finds its shared
     keys by one sort, and a bitmap of them: all bitmaps together have SKETCH_BITS bits at any size, go to the tasks and let most
     other keys be left out before the exact join with the shared keys."""
     keys = items.count() * n_bands
@@ -56,16 +57,16 @@ def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
     slots = max(8, SKETCH_BITS >> power)
 
     def packed(node, key):
-        order = np.argsort(key.view(U), kind="stable")
-        key, node = key[order], node[order]
+        order = np.argsort(key, kind="stable")
+        key, node = key[order], node[order] & MASK
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         low, high, key = np.minimum.reduceat(node, first), np.maximum.reduceat(node, first), key[first]
         both = 1 + (low != high).astype(np.int64)
         key, node = np.repeat(key, both), np.repeat(low, both)
         node[np.cumsum(both) - 1] = high
-        cut = np.searchsorted((key.view(U) >> U(64 - power)).astype(np.int64), np.arange((1 << power) + 1))
+        cut = np.searchsorted(key >> (48 - power), np.arange((1 << power) + 1))
         there = np.flatnonzero(np.diff(cut))
-        blobs = [[x[cut[r] : cut[r + 1]].tobytes() for r in there] for x in (key, node)]
+        blobs = [[six_bytes(x[cut[r] : cut[r + 1]]).tobytes() for r in there] for x in (key, node)]
         return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["range", "keys", "nodes"])
 
     def spread(batches):
@@ -80,13 +81,13 @@ def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
             yield packed(*map(np.concatenate, zip(*held, strict=True)))
 
     def shared(part):
-        key, node = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.int64) for c in ("keys", "nodes"))
+        key, node = (from_six_bytes(b"".join(part.column(c).to_pylist())) for c in ("keys", "nodes"))
         order = np.argsort(key, kind="stable")
         key, node = key[order], node[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         met = key[first[np.minimum.reduceat(node, first) != np.maximum.reduceat(node, first)]]
         bits = np.zeros(slots, dtype=bool)
-        bits[(met.view(U) % U(slots)).astype(np.int64)] = True
+        bits[met % slots] = True
         return pa.table({"range": part.column("range").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()), "keys": pa.array([met], pa.list_(pa.int64()))})
 
     found = scratch.keep(items.mapInArrow(spread, "range int, keys binary, nodes binary").groupBy("range").applyInArrow(shared, "range int, bits binary, keys array<long>"))
@@ -98,9 +99,8 @@ def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
     def probe(batches):
         for b in batches:
             node, key = _flat(b)
-            k = key.view(U)
-            at = (k % U(slots)).astype(np.int64)
-            on = (known.value[(k >> U(64 - power)).astype(np.int64), at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+            at = key % slots
+            on = (known.value[key >> (48 - power), at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
             yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(key[on])], ["node", "bucket"])
 
     some = items.mapInArrow(probe, "node long, bucket long").distinct()
@@ -109,38 +109,40 @@ def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
     return out
 
 
-def linked(scratch: Scratch, items: DataFrame, n_bands: int, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
+def linked(scratch: Scratch, items: DataFrame, n_bands: int, slots: int, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
     """Rows (node, component) of the items with links: Jaccard similarity >= threshold between bucket mates.
 
-    items: (node long, bands array<long>), a row per node or several that agree. sets_of(nodes) gives (node, item,
+    items: (node long, bands binary, six bytes a band), a row per node or several that agree. sets_of(nodes) gives (node, item,
     size, marks) for the nodes asked for: what is compared, of how many units it is, and the bitmap of their places; links and units_of
-    read items. First every bucket mate is compared with three of its bucket's
-    nodes, those with most bucket mates overall in each of three hash classes; the links found form components. Then,
+    read items. First every bucket mate is compared with STARS of its bucket's
+    nodes, those with most bucket mates overall in each of as many hash classes; the links found form components. Then,
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
-    sizes must be close; what either node shares with any other node left must reach the overlap that the
-    threshold asks of the pair; and so must each one's size less the places only it has marked. So each pair of bucket mates is
+    sizes must be close; each one's size less the places only it has marked must reach the overlap that the threshold asks of
+    the pair; and so must, in the second part, what either node shares with any other node left. So each pair of bucket mates is
     compared, in one component already, or too different by its own units.
     """
     found = bucket_mates(scratch, items, n_bands)
     sets = scratch.keep(sets_of(found.select("node").distinct()))
     mass = found.join(found.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("mass"))
-    mates = scratch.keep(found.join(sets.select("node", "size").join(mass, "node"), "node"))
+    mates = scratch.keep(found.join(sets.select("node", "size", "marks").join(mass, "node"), "node"))
     scratch.drop(found)
-    close = (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9)
+    only = lambda x, y: sum((F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(1, slots // 64)), F.bit_count(F.col(x)[0].bitwiseAND(F.bitwise_not(F.col(y)[0]))))
+    enough = lambda most: most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
+    close = (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9) & enough(F.col("sa") - only("ma", "mb")) & enough(F.col("sb") - only("mb", "ma"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = pairs.join(sets.select(F.col("node").alias("a"), F.col("item").alias("ia")), "a")
         return links(one.join(sets.select(F.col("node").alias("b"), F.col("item").alias("ib")), "b").select("a", "b", "ia", "ib"), threshold)
 
     def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
+        return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
 
-    mate = F.struct("node", "size")
+    mate = F.struct("node", "size", "marks")
     heavy = [F.max_by(mate, F.when(F.pmod(F.xxhash64("node"), F.lit(STARS)) == k, F.struct("mass", F.xxhash64("node", F.lit(k))))).alias(f"r{k}") for k in range(STARS)]
     stars = mates.groupBy("bucket").agg(*heavy)
-    star = mates.join(stars, "bucket").select("node", "size", F.explode(F.array_compact(F.array(*[f"r{k}" for k in range(STARS)]))).alias("r"))
-    tried = scratch.keep(ordered(star.select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("r.node").alias("y"), F.col("r.size").alias("sb"))))
+    star = mates.join(stars, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.explode(F.array_compact(F.array(*[f"r{k}" for k in range(STARS)]))).alias("r"))
+    tried = scratch.keep(ordered(star.select("x", "sa", "ma", F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb")).where("x <> y").where(close)))
     edges = scratch.keep(verified(tried))
     comp = components(scratch, edges)
 
@@ -153,16 +155,13 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, sets_of: Callable[[
     # What a node shares with any node left bounds its overlap with each of them: its size less the units that only it has.
     left_sets = scratch.keep(sets.join(inside.select("node").distinct(), "node", "left_semi"))
     alone = units_of(left_sets.select("node", "item")).groupBy("unit").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    able = left_sets.select("node", "size", "marks").join(alone, "node", "left").select("node", "marks", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("own"), "size").where(F.col("own") >= threshold * F.col("size") - 1e-9).drop("size")
+    able = left_sets.select("node", "size").join(alone, "node", "left").select("node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("own"), "size").where(F.col("own") >= threshold * F.col("size") - 1e-9).drop("size")
     inside = scratch.keep(inside.join(able, "node"))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.
     left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("marks").alias("ma"), F.col("c").alias("cx"))
     right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("marks").alias("mb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
-    only = lambda x, y: sum((F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(1, SLOTS // 64)), F.bit_count(F.col(x)[0].bitwiseAND(F.bitwise_not(F.col(y)[0]))))
-    enough = lambda most: most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
-    reach = enough(F.least("oa", "ob")) & enough(F.col("sa") - only("ma", "mb")) & enough(F.col("sb") - only("mb", "ma"))
-    rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & reach)
-    more = scratch.keep(verified(ordered(rest.select("x", "sa", "y", "sb")).join(tried, ["a", "b"], "left_anti")))
+    rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & enough(F.least("oa", "ob")))
+    more = scratch.keep(verified(ordered(rest).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
     scratch.drop(mates, sets, left_sets, tried, inside, edges, more)
     return out
