@@ -1,9 +1,9 @@
 """Exact cosine threshold links between embeddings of one label by dual traversal of cover trees.
 
-On unit vectors cosine >= t is distance <= sqrt(2 - 2t). A bounded sample gives the top levels: nested balls of
-radius 1, 1/2 and 1/4 around points with many neighbours. Every vector goes to the deepest ball that holds it, and
-balls are dealt into chunks of bounded size. Chunk pairs whose covering radii keep them apart are pruned; each
-other pair is one small task, in which trees with halving radii are built over both chunks and traversed
+On unit vectors cosine >= t is distance <= sqrt(2 - 2t). A bounded sample of each label gives the top levels, a tree with
+halving radii, grown until a leaf stands for about a chunk of vectors. Every vector goes down to its leaf by the nearest child and the
+leaf's radius is that of all its vectors. Leaves are dealt into chunks of bounded size. Pairs of leaves whose covering
+radii keep them apart are pruned; each other pair of chunks is one small task, in which trees with halving radii are built over both chunks and traversed
 together: a node pair is dropped if too far, taken whole if close enough, and else opened, down to blocks compared
 exactly in double precision. Tasks return link counts and spanning edges, never all pairs.
 """
@@ -14,14 +14,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, components
 
 THRESHOLD = 0.98
-RADII, DENSE, MAX_BALLS = (1.0, 0.5, 0.25), 0.02, 16
-SAMPLE_ROWS = 8192
+SAMPLE_ROWS = 8192  # of all labels; it shapes the leaves only, every vector is placed and compared
 CHUNK, LEAF, FAN, EPS = 2000, 128, 16, 1e-9
 
 
@@ -37,13 +37,13 @@ def distance(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sqrt(((x - c) ** 2).sum(axis=-1))
 
 
-def tree(x: np.ndarray, at: np.ndarray | None = None) -> Node:
+def tree(x: np.ndarray, at: np.ndarray | None = None, leaf: int = LEAF) -> Node:
     """A tree over the rows of x: each node's children cover it with at most half its radius, or, where FAN
     centres cannot, with the radius they reach."""
     at = np.arange(len(x)) if at is None else at
     d = distance(x[at], x[at[0]])
     node = Node(x[at[0]], float(d.max()), at)
-    if len(at) <= LEAF or node.radius == 0:
+    if len(at) <= leaf or node.radius == 0:
         return node
     near, own, centers = d, np.zeros(len(at), dtype=int), [0]
     while len(centers) < FAN and near.max() > node.radius / 2:
@@ -56,7 +56,7 @@ def tree(x: np.ndarray, at: np.ndarray | None = None) -> Node:
             mine = at[own == k]
             first = np.flatnonzero(mine == at[c])[0]
             mine[[0, first]] = mine[[first, 0]]
-            node.children.append(tree(x, mine))
+            node.children.append(tree(x, mine, leaf))
     return node
 
 
@@ -120,20 +120,23 @@ def dual(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.ndarray | N
     return (lx + ly, ly, edges) if same else (lx, ly, edges)
 
 
-def balls(x: np.ndarray) -> list[np.ndarray]:
-    """Centres of the top levels over a sample, deepest first: points with at least DENSE of the sample within the radius."""
-    out: list[tuple[float, np.ndarray]] = []
-    for r in RADII:
-        left = np.arange(len(x))
-        while len(left) and sum(q == r for q, _ in out) < MAX_BALLS:
-            near = (x[left[:256]] @ x[left].T >= 1 - r * r / 2).sum(axis=1)
-            best = int(near.argmax())
-            if near[best] < max(8, DENSE * len(x)):
-                break
-            c = x[left[best]]
-            out.append((r, c))
-            left = left[distance(x[left], c) > r]
-    return out[::-1]
+def leaves(node: Node) -> list[np.ndarray]:
+    """The centres of a tree's leaves, in order."""
+    return [c for child in node.children for c in leaves(child)] if node.children else [node.center]
+
+
+def descend(node: Node, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the leaf, distance from its centre) of each row of x, going to the nearest child at every level."""
+    if not node.children:
+        return np.zeros(len(x), dtype=np.int64), distance(x, node.center)
+    near = (x @ np.array([c.center for c in node.children]).T).argmax(axis=1)
+    leaf, dist, first = np.zeros(len(x), dtype=np.int64), np.zeros(len(x)), 0
+    for k, child in enumerate(node.children):
+        mine = near == k
+        n, d = descend(child, x[mine])
+        leaf[mine], dist[mine] = n + first, d
+        first += len(leaves(child))
+    return leaf, dist
 
 
 def unit_rows(cells) -> tuple[list[int], list[np.ndarray]]:
@@ -160,42 +163,40 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     null vec_id never names a component with other ids. An empty table gives an empty result.
     """
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession, "cover")
-    kind = vectors.schema["vec_id"].dataType.simpleString()
+    kind, wide = (vectors.schema[c].dataType.simpleString() for c in ("vec_id", "embedding"))
     rows = vectors.select("vec_id", "embedding", F.concat_ws(":", F.col("label").cast("string"), F.size("embedding").cast("string")).alias("grp"), (F.col("label").isNotNull() & F.col("embedding").isNotNull()).alias("asked"))
     asked = rows.where("asked")
-    share = min(1.0, SAMPLE_ROWS / max(1, asked.count()))
-    picked = asked.where(F.pmod(F.xxhash64("vec_id", "grp"), F.lit(1 << 20)) < int(share * (1 << 20))).select("grp", "embedding").limit(2 * SAMPLE_ROWS).toPandas()
-    found: dict[str, list] = {}
+    amounts = {r["grp"]: r["count"] for r in asked.groupBy("grp").count().collect()}  # a row per label and length
+    share = min(1.0, SAMPLE_ROWS / max(1, sum(amounts.values())))
+    picked = asked.select(F.xxhash64("vec_id", "embedding").alias("h"), "grp", "embedding").where(F.pmod(F.col("h"), F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["h", "grp"]).toPandas().sort_values("h")
+    found: dict[str, Node] = {}
     for grp, part in picked.groupby("grp"):
         _, units = unit_rows(part["embedding"].tolist())
         if units:
-            found[grp] = balls(np.array(units))
+            found[grp] = tree(np.array(units), leaf=max(1, len(units) * CHUNK // amounts[grp]))
     shared = spark.sparkContext.broadcast(found)
 
     def place(batches):
         for pdf in batches:
             at, units = unit_rows(pdf["embedding"].tolist())
             out = pdf[["vec_id", "embedding", "grp"]].iloc[at].reset_index(drop=True)
-            cell, dist = [], []
-            for grp, v in zip(out["grp"], units, strict=True):
-                for k, (r, c) in enumerate(shared.value.get(grp, ())):
-                    d = float(distance(v, c))
-                    if d <= r:
-                        cell.append(k)
-                        dist.append(d)
-                        break
-                else:
-                    cell.append(-1)
-                    dist.append(2.0)
-            yield out.assign(cell=pd.Series(cell, dtype="int32"), dist=pd.Series(dist, dtype="float64"))
-
-    placed = scratch.keep(asked.mapInPandas(place, f"vec_id {kind}, embedding array<float>, grp string, cell int, dist double").withColumn("node", F.xxhash64("grp", "embedding")))
+            cell, dist = np.zeros(len(at), dtype=np.int32), np.full(len(at), 2.0)
+            for grp, mine in out.groupby("grp").indices.items():
+                if grp in shared.value:
+                    cell[mine], dist[mine] = descend(shared.value[grp], np.array([units[k] for k in mine]))
+            yield out.assign(cell=cell, dist=dist)
+
+    placed = scratch.keep(asked.mapInPandas(place, f"vec_id {kind}, embedding {wide}, grp string, cell int, dist double").withColumn("node", F.xxhash64("grp", "embedding")))
     nodes = placed.groupBy("node").agg(F.min("grp").alias("grp"), F.min("cell").alias("cell"), F.max("dist").alias("dist"), F.min("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
     nodes = scratch.keep(nodes)
     sizes = nodes.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.max("dist").alias("radius"))
     chunked = scratch.keep(nodes.select("node", "grp", "cell", "embedding", "copies").join(sizes, ["grp", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CHUNK))).drop("n", "radius"))
-    apart = [(g, a, b, float(distance(x[a][1], x[b][1]))) for g, x in found.items() for a in range(len(x)) for b in range(len(x))]
-    gaps = spark.createDataFrame(apart, "grp string, cell_a int, cell_b int, gap double")
+    gap_rows = []  # leaves are fewer than the sample's rows
+    for g, t in found.items():
+        c = np.array(leaves(t))
+        a, b = np.triu_indices(len(c), 1)
+        gap_rows.append(pa.table({"grp": pa.array([g] * len(a), pa.string()), "cell_a": pa.array(a, pa.int32()), "cell_b": pa.array(b, pa.int32()), "gap": np.concatenate([distance(c[a[k : k + 4096]], c[b[k : k + 4096]]) for k in range(0, max(1, len(a)), 4096)])}))
+    gaps = spark.createDataFrame(pa.concat_tables(gap_rows)) if gap_rows else spark.createDataFrame([], "grp string, cell_a int, cell_b int, gap double")
     parts = sizes.select("grp", "cell", "radius", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / CHUNK) - 1)).alias("chunk"))
     left = parts.toDF("grp", "cell_a", "radius_a", "chunk_a")
     right = parts.toDF("grp", "cell_b", "radius_b", "chunk_b")
@@ -208,8 +209,8 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         pairs.where("cell_a <> cell_b or chunk_a <> chunk_b").select("grp", F.col("cell_b").alias("cell"), F.col("chunk_b").alias("chunk"), key, F.lit(1).alias("side")))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, units = unit_rows(pdf["embedding"].tolist())
-        units, node, copies, side = np.array(units), pdf["node"].to_numpy(), pdf["copies"].to_numpy(), pdf["side"].to_numpy()
+        at, units = unit_rows(pdf["embedding"].tolist())
+        units, (node, copies, side) = np.array(units), (pdf[c].to_numpy()[at] for c in ("node", "copies", "side"))
         i, j = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(i):
             return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")

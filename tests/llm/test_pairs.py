@@ -131,7 +131,7 @@ def test_lines_match_brute_force(spark):
 def test_lines_odd_rows(odd, nothing):
     out = linededup.dedup_lines(odd)
     rows = out.collect()
-    assert out.columns == [*odd.columns, "_lines", "_dropped"] and len(rows) == odd.count() and linededup.dedup_lines(nothing).count() == 0
+    assert out.columns == [*odd.columns, "_lines_", "_dropped_"] and len(rows) == odd.count() and linededup.dedup_lines(nothing).count() == 0
     first = {r.doc_id: r.text for r in rows if r.doc_id is not None}
     assert first[1] == "" and first[12] == "" and first[3] is None and first[0] and first[6] == "one" and first[8].count("\n") == 0
     assert len({r.text for r in rows if r.doc_id == 0}) == 1  # equal rows stay equal
@@ -174,3 +174,25 @@ def test_links_match_brute_force(spark, data):
         np.fill_diagonal(hit, False)
         root = roots(ids, [(ids[i], ids[j]) for i, j in zip(*np.nonzero(hit), strict=True)])
         assert all(got[k].n_links == hit[i].sum() and got[k].component_id == root[k] for i, k in enumerate(ids))
+
+
+def test_links_of_doubles_and_clashing_columns(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0000000001, 0.0]), (2, [1e-46, 0.0]), (3, [1e300, 1e300]), (4, [1.0, 1.0]), (5, [5e-324, 5e-324]), (6, [0.0, 0.0])]
+    df = spark.createDataFrame([(k, v, 1, "n", 2, 0.5, "x") for k, v in rows], "vec_id long, embedding array<double>, label int, node string, cell int, dist double, grp string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in covertree.link(df).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (0, 6)}
+
+
+def test_links_across_leaves_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "CHUNK", 40)  # many leaves and chunks on few rows
+    r = np.random.default_rng(2)
+    base = r.normal(size=(12, 16))
+    x = base[r.integers(12, size=500)] + r.normal(size=(500, 16)) * r.choice([0.05, 0.15, 0.6], size=(500, 1))
+    x[400:450] = x[0]
+    df = spark.createDataFrame([(k, v.tolist(), 7 if k % 3 else 8) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {q.vec_id: q for q in covertree.link(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = (u @ u.T >= 0.98) & np.equal.outer(np.arange(500) % 3 > 0, np.arange(500) % 3 > 0)
+    np.fill_diagonal(hit, False)
+    root = roots(range(500), list(zip(*np.nonzero(hit), strict=True)))
+    assert all(got[k].n_links == hit[k].sum() and got[k].component_id == root[k] for k in range(500))
