@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from .shingles import U, bands, one_permutation, rolling, six_bytes
 from .similar import linked, marks
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
-ROWS, BANDS, BITS, SLOTS = 6, 21, 7, 256
+ROWS, BANDS, BITS, SHORT = 6, 21, 7, 256
 SKETCH = 1 << 22
 SEEN = 300_000
 GROUP_CHARS, GROUP_LINES = 400_000, 20_000
@@ -115,18 +116,13 @@ def sets_of(docs: DataFrame, asked: DataFrame, min_chars: int) -> DataFrame:
             nodes = list(new)
             for part in _groups(list(new.values())):
                 at, h = shingles_once(part)
-                yield pd.DataFrame({"node": nodes[: len(part)], "item": part, "size": np.bincount(at, minlength=len(part)), "marks": marks(at, h, len(part), SLOTS)})
+                yield pd.DataFrame({"node": nodes[: len(part)], "item": part, "size": np.bincount(at, minlength=len(part)), "marks": marks(at, h, len(part))})
                 nodes = nodes[len(part) :]
 
     found = docs.select("text").mapInPandas(run, "node long, item string, size long, marks array<long>").join(asked, "node", "left_semi")
     return found.groupBy("node").agg(F.min("item").alias("item"), F.min("size").alias("size"), F.min("marks").alias("marks"))
 
 
-def grams(line: str) -> set[str]:
-    """The distinct shingles of a line themselves."""
-    return {line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)}
-
-
 def shingles_once(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(line number, 48-bit hash) of the distinct shingles of each of at most GROUP_LINES lines, in order; they feed bounds only."""
     doc, h = shingles(lines)
@@ -135,6 +131,27 @@ def shingles_once(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (key >> U(48)).astype(np.int64), key & U((1 << 48) - 1)
 
 
+def exact_grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, gram number) of the distinct shingles of each line, in order; equal numbers are equal strings.
+
+    Five letters of an alphabet of at most 4096 are a number of 60 bits; larger alphabets number the strings themselves."""
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    owner = np.repeat(np.arange(len(lines)), sizes)
+    n = len(flat) - SHINGLE + 1
+    whole = np.flatnonzero(owner[:n] == owner[SHINGLE - 1 :])
+    alphabet = np.bincount(flat) > 0
+    if alphabet.sum() <= 4096:
+        letter = (np.cumsum(alphabet) - 1).astype(U)[flat]
+        key = reduce(lambda x, k: (x << U(12)) | letter[k : n + k], range(1, SHINGLE), letter[:n])[whole]
+    else:
+        known: dict[str, int] = {}
+        text = "".join(lines)
+        key = np.fromiter((known.setdefault(text[k : k + SHINGLE], len(known)) for k in whole.tolist()), dtype=np.int64, count=len(whole))
+    each = np.unique((owner[whole] << 32) | np.unique(key, return_inverse=True)[1])
+    return each >> 32, each & 0xFFFFFFFF
+
+
 def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
     """(a, b) of the pairs of lines whose sets of shingles, the strings themselves, reach the threshold."""
 
@@ -142,12 +159,19 @@ def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
         for pdf in batches:
             for first in range(0, len(pdf), 2000):
                 part = pdf.iloc[first : first + 2000]
-                of = {x: grams(x) for c in ("ia", "ib") for x in part[c].unique()}
-                ok = []
-                for a, b in zip(part["ia"], part["ib"], strict=True):
-                    met = len(of[a] & of[b])
-                    ok.append(met >= threshold * (len(of[a]) + len(of[b]) - met) - 1e-9)
-                yield part.loc[ok, ["a", "b"]]
+                number = {x: k for k, x in enumerate(dict.fromkeys([*part["ia"], *part["ib"]]))}
+                owner, gram = exact_grams(list(number))
+                size = np.bincount(owner, minlength=len(number))
+                start = np.cumsum(size) - size
+                ends = []
+                for side in ("ia", "ib"):
+                    at = np.array([number[x] for x in part[side]])
+                    every = np.repeat(start[at] - (np.cumsum(size[at]) - size[at]), size[at]) + np.arange(size[at].sum())
+                    ends.append((at, (np.repeat(np.arange(len(part)), size[at]) << 32) | gram[every]))
+                (a, x), (b, y) = ends
+                both = np.sort(np.concatenate([x, y]))
+                met = np.bincount(both[1:][both[1:] == both[:-1]] >> 32, minlength=len(part))
+                yield part.loc[met >= threshold * (size[a] + size[b] - met) - 1e-9, ["a", "b"]]
 
     return pairs.mapInPandas(run, "a long, b long")
 
@@ -175,7 +199,7 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int
     scratch = Scratch(docs.sparkSession, "lines")
     base = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tnode"))
     scan = scratch.keep(scan_of(base, min_chars))
-    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), BANDS, SLOTS, lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
+    comp = linked(scratch, scan.where("bands IS NOT NULL").select("node", "bands"), BANDS, SHORT, lambda asked: sets_of(base, asked, min_chars), threshold, line_links, line_units)
     places = scratch.keep(scan.drop("bands").join(comp, "node", "left").select("doc_id", "tnode", "pos", F.coalesce("component", "node").alias("c")))
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tnode", "pos")
     first = places.groupBy("c").agg(F.min(spot).alias("keep"), F.count("*").alias("n")).where("n > 1").select("c", "keep")

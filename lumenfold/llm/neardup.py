@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 from .shingles import WordHash, bag_minhash, bands, six_bytes, units, word_shingles
-from .similar import linked, marks
+from .similar import SLOTS, linked, marks
 
 SHINGLE, THRESHOLD = 5, 0.8
-ROWS, BANDS, SLOTS = 4, 16, 1024
+ROWS, BANDS = 4, 16
 GROUP_WORDS = 300_000
 
 
@@ -59,7 +59,7 @@ def shingle_sets(batches):
         for first, part in _groups(texts):
             doc, value = units(*word_shingles(part, known, SHINGLE))
             at = np.searchsorted(doc, np.arange(len(part) + 1))
-            yield pd.DataFrame({"node": pdf["_node"].to_numpy()[first : first + len(part)], "units": [value[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)], "marks": marks(doc, value, len(part), SLOTS)})
+            yield pd.DataFrame({"node": pdf["_node"].to_numpy()[first : first + len(part)], "units": [value[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)], "marks": marks(doc, value, len(part))})
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Scratch, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,18 +13,18 @@ from pyspark.sql import functions as F
 from .common import Scratch, components
 from .shingles import from_six_bytes, six_bytes
 
-STARS = 8  # medoids a bucket
+STARS, SLOTS = 8, 1024  # medoids a bucket; bits of the marks of an item
 RANGE_KEYS, CHUNK_KEYS, SKETCH_BITS = 4_000_000, 1_000_000, 1 << 26
 MASK = np.int64((1 << 48) - 1)
 U = np.uint64
 
 
-def marks(owner: np.ndarray, unit: np.ndarray, n: int, slots: int) -> list[np.ndarray]:
-    """Per item a bitmap of so many bits, as longs, of the places its units hash to; owner is in order."""
-    out, place = [], (unit.view(U) % U(slots)).astype(np.int64)
+def marks(owner: np.ndarray, unit: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per item a bitmap of SLOTS bits, as longs, of the places its units hash to; owner is in order."""
+    out, place = [], (unit.view(U) % U(SLOTS)).astype(np.int64)
     for first in range(0, n, 4096):
         a, b = np.searchsorted(owner, [first, first + 4096])
-        bits = np.zeros((min(4096, n - first), slots), dtype=bool)
+        bits = np.zeros((min(4096, n - first), SLOTS), dtype=bool)
         bits[owner[a:b] - first, place[a:b]] = True
         out += list(np.packbits(bits, axis=1).view(np.int64))
     return out
@@ -109,12 +110,12 @@ def bucket_mates(scratch: Scratch, items: DataFrame, n_bands: int) -> DataFrame:
     return out
 
 
-def linked(scratch: Scratch, items: DataFrame, n_bands: int, slots: int, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
+def linked(scratch: Scratch, items: DataFrame, n_bands: int, short: int, sets_of: Callable[[DataFrame], DataFrame], threshold: float, links=array_links, units_of=array_units) -> DataFrame:
     """Rows (node, component) of the items with links: Jaccard similarity >= threshold between bucket mates.
 
     items: (node long, bands binary, six bytes a band), a row per node or several that agree. sets_of(nodes) gives (node, item,
-    size, marks) for the nodes asked for: what is compared, of how many units it is, and the bitmap of their places; links and units_of
-    read items. First every bucket mate is compared with STARS of its bucket's
+    size, marks) for the nodes asked for: what is compared, of how many units it is, and the bitmap of their places, of which the first
+    part reads ``short`` bits; links and units_of read items. First every bucket mate is compared with STARS of its bucket's
     nodes, those with most bucket mates overall in each of as many hash classes; the links found form components. Then,
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
@@ -125,15 +126,18 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, slots: int, sets_of
     found = bucket_mates(scratch, items, n_bands)
     sets = scratch.keep(sets_of(found.select("node").distinct()))
     mass = found.join(found.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("mass"))
-    mates = scratch.keep(found.join(sets.select("node", "size", "marks").join(mass, "node"), "node"))
+    # places modulo fewer: every so manyth word of the bitmap taken together
+    folded = F.array(*[reduce(lambda x, y: x.bitwiseOR(y), [F.col("marks")[j] for j in range(k, SLOTS // 64, short // 64)]) for k in range(short // 64)])
+    mates = scratch.keep(found.join(sets.select("node", "size", folded.alias("marks")).join(mass, "node"), "node"))
     scratch.drop(found)
-    only = lambda x, y: sum((F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(1, slots // 64)), F.bit_count(F.col(x)[0].bitwiseAND(F.bitwise_not(F.col(y)[0]))))
+    only = lambda x, y, n: reduce(lambda a, b: a + b, [F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(n // 64)])
     enough = lambda most: most * (1 + threshold) >= (F.col("sa") + F.col("sb")) * threshold - 1e-9
-    close = (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9) & enough(F.col("sa") - only("ma", "mb")) & enough(F.col("sb") - only("mb", "ma"))
+    close = lambda n: (F.least("sa", "sb") >= F.greatest("sa", "sb") * threshold - 1e-9) & enough(F.col("sa") - only("ma", "mb", n)) & enough(F.col("sb") - only("mb", "ma", n))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(sets.select(F.col("node").alias("a"), F.col("item").alias("ia")), "a")
-        return links(one.join(sets.select(F.col("node").alias("b"), F.col("item").alias("ib")), "b").select("a", "b", "ia", "ib"), threshold)
+        one = pairs.join(sets.select(F.col("node").alias("a"), F.col("item").alias("ia"), F.col("size").alias("sa"), F.col("marks").alias("ma")), "a")
+        both = one.join(sets.select(F.col("node").alias("b"), F.col("item").alias("ib"), F.col("size").alias("sb"), F.col("marks").alias("mb")), "b")
+        return links(both.where(close(SLOTS)).select("a", "b", "ia", "ib"), threshold)
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
@@ -142,7 +146,7 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, slots: int, sets_of
     heavy = [F.max_by(mate, F.when(F.pmod(F.xxhash64("node"), F.lit(STARS)) == k, F.struct("mass", F.xxhash64("node", F.lit(k))))).alias(f"r{k}") for k in range(STARS)]
     stars = mates.groupBy("bucket").agg(*heavy)
     star = mates.join(stars, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.explode(F.array_compact(F.array(*[f"r{k}" for k in range(STARS)]))).alias("r"))
-    tried = scratch.keep(ordered(star.select("x", "sa", "ma", F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb")).where("x <> y").where(close)))
+    tried = scratch.keep(ordered(star.select("x", "sa", "ma", F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb")).where("x <> y").where(close(short))))
     edges = scratch.keep(verified(tried))
     comp = components(scratch, edges)
 
@@ -155,12 +159,12 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, slots: int, sets_of
     # What a node shares with any node left bounds its overlap with each of them: its size less the units that only it has.
     left_sets = scratch.keep(sets.join(inside.select("node").distinct(), "node", "left_semi"))
     alone = units_of(left_sets.select("node", "item")).groupBy("unit").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    able = left_sets.select("node", "size").join(alone, "node", "left").select("node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("own"), "size").where(F.col("own") >= threshold * F.col("size") - 1e-9).drop("size")
-    inside = scratch.keep(inside.join(able, "node"))
+    able = left_sets.select("node", "size", "marks").join(alone, "node", "left").select("node", "marks", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("own"), "size").where(F.col("own") >= threshold * F.col("size") - 1e-9).drop("size")
+    inside = scratch.keep(inside.drop("marks").join(able, "node"))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.
     left = inside.where("c <> head").select("bucket", F.col("node").alias("x"), F.col("size").alias("sa"), F.col("own").alias("oa"), F.col("marks").alias("ma"), F.col("c").alias("cx"))
     right = inside.select("bucket", F.col("node").alias("y"), F.col("size").alias("sb"), F.col("own").alias("ob"), F.col("marks").alias("mb"), F.col("c").alias("cy"), (F.col("c") == F.col("head")).alias("main"))
-    rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close & enough(F.least("oa", "ob")))
+    rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close(SLOTS) & enough(F.least("oa", "ob")))
     more = scratch.keep(verified(ordered(rest).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
     scratch.drop(mates, sets, left_sets, tried, inside, edges, more)

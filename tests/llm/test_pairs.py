@@ -105,6 +105,17 @@ def test_similar_lines_share_a_band():
     assert (found[:n] == found[n:]).any(axis=1).mean() > 0.993
 
 
+def test_grams_are_the_strings_themselves():
+    r = random.Random(6)
+    for letters in ("abcd ", "".join(map(chr, range(0x4E00, 0x4E00 + 6000)))):
+        lines = ["".join(r.choice(letters) for _ in range(r.randrange(5, 60))) for _ in range(300)]
+        owner, gram = linededup.exact_grams(lines)
+        sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+        mine = [set(gram[owner == k].tolist()) for k in range(300)]
+        assert [len(x) for x in mine] == [len(x) for x in sets] and len(owner) == sum(map(len, sets))
+        assert all(len(mine[a] & mine[b]) == len(sets[a] & sets[b]) for a in range(0, 300, 7) for b in range(0, 300, 11))
+
+
 def test_lines_match_brute_force(spark):
     r, rows = random.Random(8), []
     pool = [prose(k + 50, 14) for k in range(15)]
