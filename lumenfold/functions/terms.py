@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 import yaml
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EDGE = "가-힣a-z0-9"
@@ -26,24 +26,68 @@ class Profile:
     content: dict[str, list[str]] = field(default_factory=dict)
     source: dict[str, list[str]] = field(default_factory=dict)
     source_adjustments: dict[str, float] = field(default_factory=dict)
-
-    def has(self, text: Column, term: str, mode: str = "auto") -> Column:
+    special: dict[str, str] = field(default_factory=dict)  # own patterns of short terms
+    needs: dict[str, list[str]] = field(default_factory=dict)  # terms that count only beside one of these
+    particles: list[str] = field(default_factory=list)
+    compact: list[str] = field(default_factory=list)  # terms whose spaced aliases are written together
+    extras: list[dict] = field(default_factory=list)  # points of a term beside others: term, beside, without, kind, points
+    replacements: list[list[str]] = field(default_factory=list)  # patterns and what tagging reads instead
+    tag_modes: dict[str, str] = field(default_factory=dict)
+    tag_excludes: dict[str, list[str]] = field(default_factory=dict)
+    signals: dict[str, dict] = field(default_factory=dict)
+    compounds: dict[str, list[list[str]]] = field(default_factory=dict)
+    sector_rules: list[list] = field(default_factory=list)
+
+    def own_pattern(self, term: str, mode: str) -> str:
+        """The pattern of a term; short Korean terms may have one of their own."""
+        if mode == "korean_short" and term in self.special:
+            return self.special[term]
+        return pattern(term, mode, self.particles if mode == "korean_particle" else self.suffixes)
+
+    def canonical(self, text: Column) -> Column:
+        """The text with the spaced aliases of compact terms written together, the longest first, where they match as aliases."""
+        for term in self.compact:
+            for alias in sorted(self.aliases.get(term, []), key=len, reverse=True):
+                closed, mode = alias.replace(" ", ""), self.alias_modes.get(alias, "phrase")
+                text = F.replace(text, F.lit(alias), F.lit(closed)) if mode == "phrase" else F.regexp_replace(text, re.escape(alias) + f"(?={self.own_pattern(alias, mode)[len(re.escape(alias)):]})", closed)
+        return text
+
+    def tag_text(self, text: Column) -> Column:
+        """The normalised text with spellings replaced, in order."""
+        for source, target in self.replacements:
+            text = F.regexp_replace(text, source, target)
+        return text
+
+    def has(self, text: Column, term: str, mode: str = "auto", excludes: list[str] = ()) -> Column:
         """Whether the normalised text holds the term, outside its excluded longer words, or one of its aliases."""
         term = term.lower()
         view = text
-        for word in self.excludes.get(term, []):
+        for word in [*self.excludes.get(term, []), *excludes]:
             # a filler of the same length that is itself an edge character keeps neighbouring boundaries
             view = F.replace(view, F.lit(word), F.lit("힣" * len(word)))
-        out = matched(view, term, auto_mode(term) if mode == "auto" else mode, self.suffixes)
+        out = self.matched(view, term, auto_mode(term) if mode == "auto" else mode)
+        if beside := self.needs.get(term):
+            out = out & self.any(text, beside)
         for alias in self.aliases.get(term, []):
-            out = out | matched(text, alias, self.alias_modes.get(alias, "phrase"), self.suffixes)
+            out = out | self.matched(text, alias, self.alias_modes.get(alias, "phrase"))
         return out
 
-    def hits(self, text: Column, terms: list[str], mode: str = "auto") -> Column:
-        """The terms found, in list order."""
-        if not terms:
-            return F.array().cast("array<string>")
-        return F.array_compact(F.array(*[F.when(self.has(text, t, mode), F.lit(t)) for t in terms]))
+    def matched(self, text: Column, term: str, mode: str) -> Column:
+        return F.contains(text, F.lit(term)) if mode == "phrase" else text.rlike(self.own_pattern(term, mode))
+
+    def scan(self, text: Column, terms: list[str], tags: bool = False) -> Column:
+        """All of the terms found in the text, in one pass: plain short words by the text's own words, the others one by one.
+
+        For tags, risky words have modes and excluded words of their own."""
+        terms, modes, less = list(dict.fromkeys(terms)), self.tag_modes if tags else {}, self.tag_excludes if tags else {}
+        plain = [t for t in terms if auto_mode(t) == "english_token" and not any(t in table for table in (self.excludes, self.aliases, modes, less))]
+        others = [F.when(self.has(text, t, modes.get(t, "auto"), less.get(t, [])), F.lit(t)) for t in terms if t not in set(plain)]
+        words = F.array_intersect(strings(plain), F.regexp_extract_all(text, F.lit("[a-z0-9]+"), F.lit(0)))
+        return F.concat(words, F.array_compact(F.array(*others))) if others else words
+
+    def every_term(self) -> list[str]:
+        """The terms of all lists and weights."""
+        return [t for table in (self.lists, self.weights) for terms in table.values() for t in terms]
 
     def any(self, text: Column, terms: list[str] | str, mode: str = "auto") -> Column:
         """Whether one of the terms (or of the named list) is found: one alternation per mode, aliases and excludes apart."""
@@ -52,7 +96,7 @@ class Profile:
         parts = []
         for t in terms:
             low = t.lower()
-            if low in self.excludes or low in self.aliases:
+            if any(low in table for table in (self.excludes, self.aliases, self.special, self.needs)):
                 parts.append(self.has(text, t, mode))
             else:
                 plain.setdefault(auto_mode(low) if mode == "auto" else mode, []).append(low)
@@ -63,6 +107,27 @@ class Profile:
         return out
 
 
+def strings(terms: list[str]) -> Column:
+    return F.array(*map(F.lit, terms)).cast("array<string>")
+
+
+def among(found: Column, terms: list[str]) -> Column:
+    """Those of the terms that a scan found, in list order."""
+    return F.array_intersect(strings(list(terms)), found)
+
+
+def some(found: Column, terms: list[str]) -> Column:
+    """Whether a scan found one of the terms."""
+    return F.arrays_overlap(found, strings(list(terms))) if terms else F.lit(False)
+
+
+def with_scans(df: DataFrame, p: Profile, terms: list[str], tags: bool = False, **texts: str) -> DataFrame:
+    """Adds one array of found terms per text column (new name = text column).
+
+    The arrays come from a generator of one row, so that filters on them are not pushed below it and each text is scanned once."""
+    return df.select("*", F.inline(F.array(F.struct(*[p.scan(F.col(t), terms, tags).alias(n) for n, t in texts.items()]))))
+
+
 def auto_mode(term: str) -> str:
     if re.fullmatch("[a-z0-9]{1,4}", term):
         return "english_token"
@@ -85,10 +150,6 @@ def pattern(term: str, mode: str, suffixes: list[str] = ()) -> str:
     raise ValueError(f"no such mode: {mode}")
 
 
-def matched(text: Column, term: str, mode: str, suffixes: list[str] = ()) -> Column:
-    return F.contains(text, F.lit(term)) if mode == "phrase" else text.rlike(pattern(term, mode, suffixes))
-
-
 def found_by_sql(text: str, term: str) -> str:
     """The same test for engines without lookaround; terms of the synthetic profile only."""
     term = term.lower()
@@ -100,8 +161,9 @@ def found_by_sql(text: str, term: str) -> str:
 def load_profile(path: str | Path) -> Profile:
     """A profile from a YAML file with weights, aliases, excludes, content, source and word lists."""
     raw = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
-    apart = ("weights", "aliases", "alias_modes", "excludes", "postpositions", "content", "source", "source_adjustments")
-    return Profile({k: v for k, v in raw.items() if k not in apart}, raw["weights"], raw["aliases"], raw["alias_modes"], raw["excludes"], raw["postpositions"], raw["content"], raw["source"], raw["source_adjustments"])
+    raw["suffixes"] = raw.pop("postpositions", [])
+    own = [f.name for f in fields(Profile) if f.name != "lists"]
+    return Profile({k: v for k, v in raw.items() if k not in own}, **{k: raw[k] for k in own if k in raw})
 
 
 def ko_finance() -> Profile:

@@ -13,11 +13,11 @@ KST = dt.timezone(dt.timedelta(hours=9))
 
 
 def from_documents(docs: DataFrame) -> DataFrame:
-    """Articles over the documents table: the first line is the title, what follows the description."""
+    """Articles over the documents table: the whole first line is the title, all that follows it the description."""
     cut = F.instr("text", "\n")
     rest = F.when(cut > 0, F.substr("text", cut + 1)).otherwise("")
     return docs.where(F.col("text").isNotNull()).select(
-        "doc_id", F.col("doc_id").alias("ingest_seq"), F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(90)).alias("title"), F.left(rest, F.lit(300)).alias("description"),
+        "doc_id", F.col("doc_id").alias("ingest_seq"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), rest.alias("description"),
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("link"), F.col("lang").alias("query"), F.col("source").alias("press"),
         F.timestamp_add("MINUTE", F.col("doc_id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("pub_date"),
         ((F.col("doc_id") * 7919) % 1000 / 1000.0).alias("prob"), "text")

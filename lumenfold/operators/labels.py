@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,30 +60,115 @@ def char_ngrams(text: Column, low: int = 2, high: int = 5) -> Column:
     return F.filter(F.concat(*parts), lambda g: F.length(g) >= low)
 
 
-def fit_classifier(df: DataFrame, text: str, label: str, weight: str | None = None, features: int = 50_000, max_iter: int = 100):
-    """A function that adds ``prob`` to rows: character 2- to 5-grams, smoothed tf-idf of unit length, balanced logistic regression."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import vector_to_array
+class CharModel:
+    """Probabilities of class 1 from character n-grams; made by ``fit_classifier``, kept as a Spark pipeline."""
 
+    def __init__(self, pipeline: PipelineModel):
+        self.pipeline = pipeline
+
+    def add(self, rows: DataFrame, text: str = "text") -> DataFrame:
+        """rows with ``prob``."""
+        out = self.pipeline.transform(rows.select("*", char_ngrams(F.col(text)).alias("_g")))
+        return out.withColumn("prob", vector_to_array("probability")[1]).select(*rows.columns, "prob")
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(path)
+
+    @classmethod
+    def load(cls, path: str) -> CharModel:
+        return cls(PipelineModel.load(path))
+
+
+def fit_classifier(df: DataFrame, text: str, label: str, weight: str | None = None, features: int = 50_000, max_iter: int = 2000, least_docs: int = 1) -> CharModel:
+    """Character 2- to 5-grams, smoothed tf-idf of unit length, logistic regression balanced over the classes; iterations end where it converges."""
     grams = df.select("*", char_ngrams(F.col(text)).alias("_g"))
-    counts = CountVectorizer(inputCol="_g", outputCol="_tf", vocabSize=features).fit(grams)
+    counts = CountVectorizer(inputCol="_g", outputCol="_tf", vocabSize=features, minDF=float(least_docs)).fit(grams)
     tf = counts.transform(grams)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf)
-    smooth = [float(x) + 1.0 for x in idf.idf.toArray()]
-    from pyspark.ml.feature import ElementwiseProduct
-    from pyspark.ml.linalg import Vectors
-
-    scale = ElementwiseProduct(scalingVec=Vectors.dense(smooth), inputCol="_tf", outputCol="_x0")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([float(x) + 1.0 for x in idf.idf.toArray()]), inputCol="_tf", outputCol="_x0")
     unit = Normalizer(p=2.0, inputCol="_x0", outputCol="_x")
-    by = {int(r[label]): r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    by = {int(r[label]): r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}  # two classes
     total = sum(by.values())
     balance = F.when(F.col(label) == 1, total / (2 * max(1, by.get(1, 0)))).otherwise(total / (2 * max(1, by.get(0, 0))))
     ready = unit.transform(scale.transform(tf)).withColumn("_w", balance * (F.col(weight) if weight else F.lit(1.0)))
     fitted = LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", regParam=1.0 / max(1, total), elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(ready)
+    return CharModel(PipelineModel([counts, scale, unit, fitted]))
+
+
+def usable(rows: DataFrame, label: str = "auto_label", text: str = "text") -> DataFrame:
+    """rows with ``use``: used, review or blank_or_invalid; only rows labelled 1 or 0 that have a text are used."""
+    v = F.trim(F.coalesce(F.col(label).cast("string"), F.lit("")))
+    return rows.withColumn("use", F.when(v == "review", "review").when(v.isin("0", "1") & (F.trim(F.coalesce(text, F.lit(""))) != ""), "used").otherwise("blank_or_invalid"))
+
+
+def first_by_key(rows: DataFrame, url: str = "url", title: str = "title", order: str = "ingest_seq") -> DataFrame:
+    """The first row per url, or, where there is none, per title without case and repeated blanks."""
+    key = F.coalesce(F.concat(F.lit("u:"), F.nullif(F.trim(url), F.lit(""))), F.concat(F.lit("t:"), tx.plain_title(F.col(title))))
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")
+
+
+def hashed_sample(rows: DataFrame, key: str, n: int, *order: str, seed: str = "42") -> DataFrame:
+    """n rows by least hash of seed and key, in the given order; the same rows whatever the order of the input."""
+    h = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")).cast("binary"))
+    return rows.orderBy(h, key).limit(n).orderBy(*order)
 
-    def add(rows: DataFrame) -> DataFrame:
-        x = unit.transform(scale.transform(counts.transform(rows.select("*", char_ngrams(F.col(text)).alias("_g")))))
-        out = fitted.transform(x).withColumn("prob", vector_to_array("probability")[1])
-        return out.select(*rows.columns, "prob")
 
-    return add
+def stratified_holdout(rows: DataFrame, label: str, key: str, share: float = 0.25, seed: str = "42") -> tuple[DataFrame, str]:
+    """(rows with ``part``: train or test, why there is no test part, else empty): ``share`` of each class by hash.
+
+    Needs 4 rows, 2 of each class, and both classes in both parts; else all rows are for training."""
+    by = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}  # two classes
+    if sum(by.values()) < 4 or min(by.get(0, 0), by.get(1, 0)) < 2:
+        return rows.withColumn("part", F.lit("train")), "too_few_rows"
+    sizes = {k: round(n * share) for k, n in by.items()}
+    if not all(0 < sizes[k] < by[k] for k in (0, 1)):
+        return rows.withColumn("part", F.lit("train")), "class_missing_in_a_part"
+    h = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")).cast("binary"))
+    # the hash below which a class has its share of rows: a top-k of hashes per class, joined back as two literals
+    cut = {k: rows.where(F.col(label) == k).select(h.alias("h"), F.col(key).alias("k")).orderBy("h", "k").limit(n).agg(F.max(F.struct("h", "k")).alias("c")).first()["c"] for k, n in sizes.items()}
+    inside = F.lit(False)
+    for k, c in cut.items():
+        inside = inside | ((F.col(label) == k) & ((h < c["h"]) | ((h == c["h"]) & (F.col(key) <= c["k"]))))
+    return rows.withColumn("part", F.when(inside, "test").otherwise("train")), ""
+
+
+def label_lookup(rows: DataFrame, labels: DataFrame, url: str = "url") -> DataFrame:
+    """Rows whose url is labelled, with the label; the first label of a url counts."""
+    return rows.join(labels.groupBy(url).agg(F.min_by("label", "ingest_seq").alias("label")), url)
+
+
+def manual_model(labelled: DataFrame, text: str = "text", label: str = "label", least: int = 40) -> CharModel:
+    """The model of hand-made labels; fewer than ``least`` are an error. Grams must occur in two documents."""
+    n = labelled.count()
+    if n < least:
+        raise ValueError(f"{least} labelled rows are needed, there are {n}")
+    return fit_classifier(labelled, text, label, least_docs=2)
+
+
+FORBIDDEN_MODEL = "models/relevance"  # the operating model, which a refresh never writes
+
+
+def refresh(spark, files: DataFrame, rows_of, model_path: str, least_files: int = 2, least_class: int = 50, threshold: float = 0.65, max_iter: int = 2000) -> tuple[str, str, DataFrame | None]:
+    """(status, reason, threshold metrics) of a guarded refresh of the candidate model.
+
+    files: (name, reason) of ``reports.eligible_files``; rows_of(names) gives (doc_id, text, auto_label, train_weight). Skipped without files,
+    without eligible ones, with too few, without usable rows or with too few of a class; failed if the path is the operating
+    model's; else refreshed: the model of all usable rows is saved, and judged by one that has not seen a quarter of them."""
+    if FORBIDDEN_MODEL in model_path and "candidate" not in model_path:
+        return "failed", "forbidden_model_path", None
+    names = [r["name"] for r in files.where("reason = 'included'").select("name").collect()]  # at most the file cap
+    for reason, bad in (("no_candidate_files", files.isEmpty()), ("no_eligible_candidate_files", not names), ("insufficient_eligible_candidate_files", len(names) < least_files)):
+        if bad:
+            return "skipped", reason, None
+    used = usable(rows_of(names)).where("use = 'used'").withColumn("y", F.col("auto_label").cast("int"))
+    by = {r["y"]: r["n"] for r in used.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    for reason, bad in (("no_usable_rows", not by), ("one_class_only", len(by) < 2), ("too_few_positive", by.get(1, 0) < least_class), ("too_few_negative", by.get(0, 0) < least_class)):
+        if bad:
+            return "skipped", reason, None
+    parts, why = stratified_holdout(used, "y", "doc_id")
+    metrics = None
+    if not why:
+        judged = fit_classifier(parts.where("part = 'train'"), "text", "y", "train_weight", max_iter=max_iter).add(parts.where("part = 'test'"))
+        metrics = threshold_metrics(judged, "prob", "y", (0.35, 0.5, 0.6, threshold, 0.7, 0.8))
+    fit_classifier(used, "text", "y", "train_weight", max_iter=max_iter).save(model_path)
+    return "refreshed", why, metrics

@@ -5,47 +5,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.terms import Profile
+from ..functions.terms import Profile, among, some, strings, with_scans
 from . import articles as ar
 
 
-def drop_reason(p: Profile, text: Column, url: Column) -> Column:
-    """Why the pre-filter drops a row; null: it stays. The first rule that applies names the reason."""
+def drop_reason(p: Profile, found: Column, url: Column) -> Column:
+    """Why the pre-filter drops a row, from the terms found in its rule text; null: it stays. The first rule that applies names the reason."""
     blocked = F.lit(False)
     for domain in p.lists["blocked_domains"]:
         blocked = blocked | F.contains(url, F.lit(domain))
-    strong = p.any(text, "strong")
-    return (F.when(F.coalesce(blocked, F.lit(False)), "blocked_domain").when(p.any(text, "sports"), "sports")
-            .when(p.any(text, "politics") & ~p.any(text, "finance"), "politics_only").when(p.any(text, "lease") & ~strong, "public_lease")
-            .when(~strong & p.any(text, "show_strong"), "entertainment_strong").when(~strong & (F.size(p.hits(text, p.lists["show_weak"])) >= 2), "entertainment_weak"))
+    on = lambda name: some(found, p.lists[name])
+    return (F.when(F.coalesce(blocked, F.lit(False)), "blocked_domain").when(on("sports"), "sports")
+            .when(on("politics") & ~on("finance"), "politics_only").when(on("lease") & ~on("strong"), "public_lease")
+            .when(~on("strong") & on("show_strong"), "entertainment_strong").when(~on("strong") & (F.size(among(found, p.lists["show_weak"])) >= 2), "entertainment_weak"))
 
 
 def with_score(df: DataFrame, p: Profile, text: str = "score_text", url: str = "link") -> DataFrame:
-    """Adds matched_hard, matched_soft, matched_negative and score.
+    """Adds matched_hard, matched_soft, matched_negative and score, and score_found, all terms of the profile in the text.
 
     The score is the weight of hard and soft terms less that of negative ones; generic enforcement terms count only
     beside a finance entity, negatives that are all capped noise cost at most 1 in a strong finance context,
     without hard terms the score stops at 2, and a blocked domain scores -50.
     """
-    t, w = F.col(text), p.weights
-    entity = p.any(t, "entities")
-    hard = p.hits(t, list(w["hard"]))
-    hard = F.when(entity, hard).otherwise(F.array_except(hard, F.array(*map(F.lit, p.lists["enforcement"]))))
-    out = df.withColumns({"matched_hard": hard, "matched_soft": p.hits(t, list(w["soft"])), "matched_negative": p.hits(t, list(w["negative"]))})
+    w, found = p.weights, F.col("score_found")
+    if "score_found" not in df.columns:
+        df = with_scans(df, p, p.every_term(), score_found=text)
+    context = found
+    if p.compact:  # hard terms and contexts are read in the spelling of the compact terms
+        terms = [*p.every_term(), *(t for x in p.extras for t in (x["term"], *x["beside"], *x["without"]))]
+        df = with_scans(df.withColumn("_context", p.canonical(F.col(text))), p, terms, context_found="_context").drop("_context")
+        context = F.col("context_found")
+    on = lambda name: some(context, p.lists[name])
+    hard = among(context, list(w["hard"]))
+    hard = F.when(on("entities"), hard).otherwise(F.array_except(hard, strings(p.lists["enforcement"])))
+    out = df.withColumns({"matched_hard": hard, "matched_soft": among(found, list(w["soft"])), "matched_negative": among(found, list(w["negative"]))})
 
     def total(column: str, weights: dict[str, int]) -> Column:
         table = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
         return F.aggregate(column, F.lit(0), lambda acc, k: acc + F.coalesce(F.try_element_at(table, k), F.lit(0)))
 
-    out = out.withColumns({"_hard": total("matched_hard", w["hard"]), "_soft": total("matched_soft", w["soft"]), "_neg": total("matched_negative", w["negative"])})
-    capped = F.size(F.array_except("matched_negative", F.array(*map(F.lit, p.lists["capped"])))) == 0
-    neg = F.when((F.col("_neg") > 1) & capped & p.any(t, "context_strong") & p.any(t, "risk"), F.lit(1)).otherwise(F.col("_neg"))
+    more = {"soft": F.lit(0), "negative": F.lit(0)}
+    for x in p.extras:
+        more[x["kind"]] = more[x["kind"]] + F.when(some(context, [x["term"]]) & some(context, x["beside"]) & ~some(context, x["without"]), x["points"]).otherwise(0)
+    out = out.withColumns({"_hard": total("matched_hard", w["hard"]), "_soft": total("matched_soft", w["soft"]) + more["soft"], "_neg": total("matched_negative", w["negative"]) + more["negative"]})
+    capped = F.size(F.array_except("matched_negative", strings(p.lists["capped"]))) == 0
+    neg = F.when((F.col("_neg") > 1) & capped & on("context_strong") & on("risk"), F.lit(1)).otherwise(F.col("_neg"))
     score = F.col("_hard") + F.col("_soft") - neg
     score = F.when(F.col("_hard") <= 0, F.least(score, F.lit(2))).otherwise(score)
     blocked = F.lit(False)
     for domain in p.lists["blocked_domains"]:
         blocked = blocked | F.contains(F.lower(F.coalesce(url, F.lit(""))), F.lit(domain))
-    return out.withColumn("score", F.when(blocked, -50).when(F.coalesce(t, F.lit("")) == "", 0).otherwise(score).cast("int")).drop("_hard", "_soft", "_neg")
+    return out.withColumn("score", F.when(blocked, -50).when(F.coalesce(F.col(text), F.lit("")) == "", 0).otherwise(score).cast("int")).drop("_hard", "_soft", "_neg", "context_found")
 
 
 def label(score: Column) -> Column:
@@ -59,26 +69,25 @@ def rule_decision(score: Column, hard: Column, negative: Column, min_score: int
     return F.struct((score >= min_score).alias("keep"), reason.alias("reason"))
 
 
-def signals(df: DataFrame, p: Profile, text: str = "score_text") -> DataFrame:
-    """The boolean context columns of the hybrid decision."""
-    t = F.col(text)
-    both = lambda a, b: p.any(t, a) & p.any(t, b)
-    in_hard = F.arrays_overlap("matched_hard", F.array(*map(F.lit, p.lists["domain"])))
+def signals(df: DataFrame, p: Profile, found: str = "score_found") -> DataFrame:
+    """The boolean context columns of the hybrid decision, from the terms found."""
+    on = lambda name: some(F.col(found), p.lists[name])
+    both = lambda a, b: on(a) & on(b)
     out = df.withColumns({
-        "s_domain": in_hard | p.any(t, "domain") | both("enforcement", "entities"),
+        "s_domain": some(F.col("matched_hard"), p.lists["domain"]) | on("domain") | both("enforcement", "entities"),
         "s_impact": both("impact_trigger", "impact_home"),
-        "s_macro": p.any(t, "global_macro"),
-        "s_generic_hit": p.any(t, "generic") | F.arrays_overlap("matched_hard", F.array(*map(F.lit, p.lists["generic"]))),
-        "s_enforced": p.any(t, "enforcement_always") | both("enforcement", "entities"),
+        "s_macro": on("global_macro"),
+        "s_generic_hit": on("generic") | some(F.col("matched_hard"), p.lists["generic"]),
+        "s_enforced": on("enforcement_always") | both("enforcement", "entities"),
         "s_strong": both("context_strong", "risk"),
-        "s_capped": (F.size("matched_negative") > 0) & (F.size(F.array_except("matched_negative", F.array(*map(F.lit, p.lists["capped"])))) == 0),
+        "s_capped": (F.size("matched_negative") > 0) & (F.size(F.array_except("matched_negative", strings(p.lists["capped"]))) == 0),
     })
-    out = out.withColumns({"s_global": F.col("s_macro") & p.any(t, "global_market"),
-                           "s_low": ~F.col("s_impact") & ~F.col("s_macro") & (p.any(t, "low_value") | both("mood_market", "mood"))})
+    out = out.withColumns({"s_global": F.col("s_macro") & on("global_market"),
+                           "s_low": ~F.col("s_impact") & ~F.col("s_macro") & (on("low_value") | both("mood_market", "mood"))})
     none = ~F.col("s_domain") & ~F.col("s_impact") & ~F.col("s_global")
     out = out.withColumns({"s_generic": none & F.col("s_generic_hit"), "s_corporate": none & both("corporate_macro", "corporate")})
     open_market = ~F.col("s_domain") & ~F.col("s_enforced") & ~F.col("s_impact") & ~(F.col("s_global") & ~F.col("s_low"))
-    return out.withColumn("s_market", open_market & F.col("s_generic") & p.any(t, "market_ipo"))
+    return out.withColumn("s_market", open_market & F.col("s_generic") & on("market_ipo"))
 
 
 def hybrid_reason(prob: Column, keep: float = 0.65, drop: float = 0.35, strong: int = 8, gray: int = 6, no_model: int = 5, model: int = 5) -> Column:
@@ -138,7 +147,7 @@ def loose_hits(p: Profile, text: Column) -> Column:
 
 
 def scored(docs: DataFrame, p: Profile) -> DataFrame:
-    """Articles over documents with rule_text, score_text and scores."""
+    """Articles over documents with rule_text, score_text, the terms found in both, and scores."""
     base = ar.from_documents(docs)
     base = base.withColumns({"rule_text": ar.rule_text(F.col("title"), F.col("description"), F.col("query")), "score_text": ar.score_text(F.col("title"), F.col("description"))})
-    return with_score(base, p)
+    return with_score(with_scans(base, p, p.every_term(), rule_found="rule_text", score_found="score_text"), p)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import html
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +18,12 @@ def facets(tagged: DataFrame) -> DataFrame:
     return tagged.select(F.explode(both).alias("x")).groupBy("x.facet", "x.name").agg(F.count("*").alias("n"))
 
 
-def search(tagged: DataFrame, query: str = "", sector: str | None = None, topic: str | None = None, sort: str = "newest", page: int = 1, per_page: int = 20) -> DataFrame:
-    """A page of rows holding any of the query's words in title, description or topics."""
+def search(tagged: DataFrame, query: str = "", sector: str | None = None, topic: str | None = None, sort: str = "newest", page: int = 1, per_page: int = 20, top: DataFrame | None = None, favourites: DataFrame | None = None) -> DataFrame:
+    """A page of rows holding any of the query's words in title, description or topics; of top (ingest_seq) or of favourites (link) only, if given."""
+    if top is not None:
+        tagged = tagged.join(top.select("ingest_seq"), "ingest_seq", "left_semi")
+    if favourites is not None:
+        tagged = tagged.join(favourites.select("link"), "link", "left_semi")
     out = tagged.withColumn("hay", F.lower(F.concat_ws(" ", "title", "description", F.array_join("topics", " "))))
     if words := query.lower().split():
         hit = F.lit(False)
@@ -38,20 +43,23 @@ def file_date(name: Column) -> Column:
     return F.try_to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1))
 
 
-def eligible_files(files: DataFrame, report_date: dt.date, lookback_days: int = 91, max_files: int = 91) -> DataFrame:
-    """files (name) with file_date and reason: included, no_date, current_or_future, outside_lookback or beyond_max_files."""
+def eligible_files(files: DataFrame, report_date: dt.date, lookback_days: int = 91, max_files: int = 91, needed: list[str] = ()) -> DataFrame:
+    """files (name, and columns if known) with file_date and reason: included, no_date, current_or_future, outside_lookback, missing_columns
+    (where ``needed`` ones lack) or beyond_max_files."""
     day = F.lit(report_date)
     out = files.withColumn("file_date", file_date(F.col("name")))
-    reason = F.when(F.col("file_date").isNull(), "no_date").when(F.col("file_date") >= day, "current_or_future").when(F.col("file_date") < F.date_sub(day, lookback_days), "outside_lookback").otherwise("included")
+    lacking = F.size(F.array_except(F.array(*map(F.lit, needed)), "columns")) > 0 if needed else F.lit(False)
+    reason = F.when(F.col("file_date").isNull(), "no_date").when(F.col("file_date") >= day, "current_or_future").when(F.col("file_date") < F.date_sub(day, lookback_days), "outside_lookback").when(lacking, "missing_columns").otherwise("included")
     out = out.withColumn("reason", reason)
     rank = F.row_number().over(Window.partitionBy("reason").orderBy(F.desc("file_date"), F.desc("name")))
     return out.withColumn("reason", F.when((F.col("reason") == "included") & (rank > max_files), "beyond_max_files").otherwise(F.col("reason")))
 
 
-def retained(files: DataFrame, today: dt.date, days: int = 180) -> DataFrame:
-    """Files to keep: undated ones and those not older than ``days``."""
+def retained(files: DataFrame, today: dt.date, days: int = 180, artefact_days: int = 90, artefact: str = r"^_") -> DataFrame:
+    """Files to keep: undated ones and those not older than ``days``, or ``artefact_days`` where the name is that of an artefact."""
     day = file_date(F.col("name"))
-    return files.where(day.isNull() | (day >= F.date_sub(F.lit(today), days)))
+    limit = F.when(F.col("name").rlike(artefact), F.date_sub(F.lit(today), artefact_days)).otherwise(F.date_sub(F.lit(today), days))
+    return files.where(day.isNull() | (day >= limit))
 
 
 def markdown(tagged: DataFrame, title: str, per_sector: int = 10) -> DataFrame:
@@ -65,13 +73,22 @@ def markdown(tagged: DataFrame, title: str, per_sector: int = 10) -> DataFrame:
     return top.union(heads).union(body)
 
 
-def html_report(rows: list[dict], title: str) -> str:
-    """The report page over at most a few hundred collected rows."""
-    import html
-
+def html_report(rows: list[dict], title: str, facet_rows: list[dict] = ()) -> str:
+    """The report page over at most a few hundred collected rows, with facets (facet, name, n) by number, then name."""
     e = lambda x: html.escape(str(x if x is not None else ""), quote=True)
     cards = "\n".join(f'<article class="card" data-sector="{e(r["sector"])}" data-topics="{e(";".join(r["topics"]))}" data-score="{e(r["score"])}"><a href="{e(r["link"])}">{e(r["title"])}</a><p>{e(r["description"])}</p></article>' for r in rows)
-    return f"<!doctype html><html><head><meta charset=utf-8><title>{e(title)}</title></head><body><h1>{e(title)}</h1>\n{cards}\n</body></html>"
+    named = lambda kind: " ".join(f'<button data-{kind}="{e(f["name"])}">{e(f["name"])} ({f["n"]})</button>' for f in sorted(facet_rows, key=lambda f: (-f["n"], f["name"])) if f["facet"] == kind)
+    sides = "\n".join(f'<nav class="{kind}">{named(kind)}</nav>' for kind in ("sector", "topic"))
+    return f"<!doctype html><html><head><meta charset=utf-8><title>{e(title)}</title></head><body><h1>{e(title)}</h1>\n{sides}\n{cards}\n</body></html>"
+
+
+def write_report(tagged: DataFrame, title: str, folder: str, name: str, most: int = 400) -> None:
+    """The report of the newest ``most`` rows, as name.md and name.html, both written by Spark to the folder."""
+    lines = markdown(tagged, title)
+    lines.orderBy("section_no", "item_no").select("line").coalesce(1).write.mode("overwrite").text(f"{folder}/{name}.md")
+    rows = [r.asDict() for r in tagged.orderBy(F.desc("pub_date"), "ingest_seq").limit(most).select("link", "title", "description", "sector", "topics", "score").collect()]
+    page = html_report(rows, title, [r.asDict() for r in facets(tagged).collect()])
+    tagged.sparkSession.createDataFrame([(page,)], "page string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{folder}/{name}.html")
 
 
 def newest_reports(names: DataFrame, n: int = 14) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.terms import SYNTHETIC as P
+from ..functions.terms import among, with_scans
+from ..functions.terms import some as some_found
 from ..functions.terms import found_by_sql as has
 from ..operators import articles as ar
 from ..operators import contracts as ct
@@ -20,7 +22,7 @@ from ..operators import relevance as rv
 from ..operators import reports as rp
 from ..operators import summaries as sm
 from ..operators import tagging as tg
-from ..sources.tables import read
+from ..sources.tables import checkpoint_root, read
 from ..streaming import windows as wn
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,8 +48,8 @@ def norm(x: str) -> str:
     return f"trim(regexp_replace(lower(regexp_replace({x}, '<[^>]+>', ' ', 'g')), '{SPACE}', ' ', 'g'))"
 
 
-ART = """art AS (SELECT doc_id, substr(split_part(text, chr(10), 1), 1, 90) AS title,
- CASE WHEN instr(text, chr(10)) > 0 THEN substr(substr(text, instr(text, chr(10)) + 1), 1, 300) ELSE '' END AS description,
+ART = """art AS (SELECT doc_id, split_part(text, chr(10), 1) AS title,
+ CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS description,
  'doc/' || doc_id AS link, lang AS query, source AS press, TIMESTAMP '2024-01-01' + to_minutes(CAST(doc_id AS INTEGER)) AS pub_date,
  CAST((doc_id * 7919) % 1000 AS DOUBLE) / 1000 AS prob, text FROM documents WHERE text IS NOT NULL)"""
 TXT = f"{ART}, txt AS (SELECT *, {norm('concat_ws(chr(32), title, description, query)')} AS rt, {norm('concat_ws(chr(10), trim(title), trim(description))')} AS st, {norm('title')} AS tt, {norm('description')} AS bt FROM art)"
@@ -98,8 +100,13 @@ dec AS (SELECT *, 'candidate_hybrid_' || CASE WHEN n > 0 AND score >= 5 AND cap
  WHEN prob <= 0.35 THEN 'model_drop_prob_le_threshold' WHEN score < 6 THEN 'gray_drop_score_lt_threshold' WHEN NOT dom AND gen THEN 'gray_drop_generic_anchor_only'
  WHEN NOT dom THEN 'gray_drop_no_domain_anchor' ELSE 'gray_keep_domain_score_ge_threshold' END AS reason FROM sg),
 decided AS (SELECT *, contains(reason, '_keep_') AND NOT contains(reason, 'drop_model_keep') AS keep FROM dec)"""
-_key0 = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(title)), '["''“”‘’`´]', '', 'g'), '[\[\]{}<>()（）]', ' ', 'g'), '[!?~^_=+]+', ' ', 'g'), '\s*(?:\.{3,}|…+)\s*$', '', 'g'))"""
-GROUPS = f"""{ART}, k0 AS (SELECT *, {_key0} AS t0 FROM art), k1 AS (SELECT *, trim(regexp_replace(t0, '\\s*(?:-|\\||·|:)\\s*[가-힣a-z0-9]+(?:뉴스|일보|신문|경제|방송|tv)\\s*$', '', 'g')) AS less FROM k0),
+def _steps(x: str, steps) -> str:
+    for what, instead in steps:
+        x = f"regexp_replace({x}, '{what.replace(chr(39), chr(39) * 2)}', '{instead}', 'g')"
+    return x
+
+
+GROUPS = f"""{ART}, k0 AS (SELECT *, {_steps('lower(trim(title))', tx.KEY_STEPS)} AS t0 FROM art), k1 AS (SELECT *, trim(regexp_replace(t0, '{tx.OUTLET}', '', 'g')) AS less FROM k0),
 k2 AS (SELECT *, trim(regexp_replace(regexp_replace(coalesce(nullif(less, ''), t0), '[.,;:·/\\\\|-]+', ' ', 'g'), '{SPACE}', ' ', 'g')) AS nt FROM k1),
 grp AS (SELECT *, CASE WHEN nt <> '' THEN nt ELSE 'title:' || lower(trim(title)) END AS cluster_key FROM k2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster_key ORDER BY pub_date DESC, length(trim(description)) DESC, doc_id) AS rnk, count(*) OVER (PARTITION BY cluster_key) AS cluster_size,
@@ -155,14 +162,19 @@ _topic_rows = " UNION ALL ".join(f"SELECT doc_id, '{n}' AS name FROM tagged WHER
 
 
 def _trend_sql() -> str:
+    """(doc_id, keyword, pos): the hits of the best sector, then those of the topics, each list in its order."""
     rows = []
+
+    def add(where: str, field: str, words: list[str]) -> None:
+        rows.extend(f"SELECT doc_id, '{w}' AS keyword, {len(rows) + k} AS pos FROM tagged WHERE {where} AND {has(field, w)}" for k, w in enumerate(words))
+
     for s in tg.SYNTHETIC_SECTORS:
-        for w in dict.fromkeys([*s.strong, *s.weak]):
-            rows.append(f"SELECT doc_id, '{w}' AS keyword FROM tagged WHERE best_sector = '{s.name}' AND ({has('tt', w)} OR {has('bt', w)})")
+        for field in ("tt", "bt"):
+            add(f"best_sector = '{s.name}'", field, [*s.strong, *s.weak])
     for t in tg.SYNTHETIC_TOPICS:
-        for field, words in (("tt", [*t.strong, *t.weak, *t.title_context]), ("bt", [*t.strong, *t.weak, *t.body_context])):
-            rows += [f"SELECT doc_id, '{w}' AS keyword FROM tagged WHERE raw_{t.name} AND {has(field, w)}" for w in dict.fromkeys(words)]
-    return " UNION ".join(rows)
+        for field, words in (("tt", [*t.strong, *t.weak]), ("bt", [*t.strong, *t.weak]), ("tt", t.title_context), ("bt", t.body_context)):
+            add(f"raw_{t.name}", field, words)
+    return " UNION ALL ".join(rows)
 
 
 def articles(spark, d):
@@ -174,9 +186,9 @@ def scored(spark, d):
 
 
 def tagged(spark, d):
-    df = scored(spark, d).withColumns({"title_text": tx.normalize(F.col("title")), "body_text": tx.normalize(F.col("description"))})
-    df = tg.assign_sector(df, P, tg.SYNTHETIC_SECTORS, tg.SYNTHETIC_ADJUSTMENTS)
-    return tg.assign_topics(df, P, tg.SYNTHETIC_TOPICS, tg.SYNTHETIC_FALLBACKS)
+    df = scored(spark, d).withColumns({"title_text": tx.normalize(F.col("title")), "body_text": tx.normalize(F.col("description")), "query_text": F.lower(F.coalesce("query", F.lit("")))})
+    taxonomy = (tg.SYNTHETIC_SECTORS, tg.SYNTHETIC_ADJUSTMENTS, tg.SYNTHETIC_TOPICS, tg.SYNTHETIC_FALLBACKS)
+    return tg.assign_topics(tg.assign_sector(tg.with_found(df, P, *taxonomy), *taxonomy[:2]), *taxonomy[2:])
 
 
 # --- projections, windows and duplicates
@@ -234,20 +246,20 @@ def dedup_group_numbers(spark, d):
  WHEN {some('rt', 'politics')} AND NOT {some('rt', 'finance')} THEN 'politics_only' WHEN {some('rt', 'lease')} AND NOT {some('rt', 'strong')} THEN 'public_lease'
  WHEN NOT {some('rt', 'strong')} AND {some('rt', 'show_strong')} THEN 'entertainment_strong' WHEN NOT {some('rt', 'strong')} AND {count('rt', 'show_weak')} >= 2 THEN 'entertainment_weak' END AS drop_reason FROM txt""")
 def prefilter_drop_reason(spark, d):
-    return scored(spark, d).select("doc_id", rv.drop_reason(P, F.col("rule_text"), F.col("link")).alias("drop_reason"))
+    return scored(spark, d).select("doc_id", rv.drop_reason(P, F.col("rule_found"), F.col("link")).alias("drop_reason"))
 
 
 @query(f"WITH {TXT} SELECT doc_id, {listed('st', W['hard'])} AS hits, {count('st', list(W['hard']))} AS n_hits FROM txt")
 def lexicon_hits(spark, d):
-    hits = P.hits(F.col("score_text"), list(W["hard"]))
+    hits = among(F.col("found"), list(W["hard"]))
     base = articles(spark, d).withColumn("score_text", ar.score_text(F.col("title"), F.col("description")))
-    return base.select("doc_id", F.array_join(hits, ";").alias("hits"), F.size(hits).alias("n_hits"))
+    return with_scans(base, P, list(W["hard"]), found="score_text").select("doc_id", F.array_join(hits, ";").alias("hits"), F.size(hits).alias("n_hits"))
 
 
 @query(f"WITH {TXT} SELECT CAST(count(*) AS BIGINT) AS suspects FROM txt WHERE {anywhere('st', P.lists['domain'])} AND NOT {some('st', 'domain')}")
 def loose_vs_strict_hits(spark, d):
     t = F.col("score_text")
-    return scored(spark, d).agg(F.count_if(rv.loose_hits(P, t) & ~P.any(t, "domain")).alias("suspects"))
+    return scored(spark, d).agg(F.count_if(rv.loose_hits(P, t) & ~some_found(F.col("score_found"), P.lists["domain"])).alias("suspects"))
 
 
 @query(f"WITH {SCORED} SELECT doc_id, score, matched_hard, matched_soft, matched_negative, CASE WHEN score >= 8 THEN 'high' WHEN score >= 4 THEN 'med' ELSE 'low' END AS relevance_label FROM sc")
@@ -287,7 +299,7 @@ def topic_assignment(spark, d):
     return tagged(spark, d).select("doc_id", F.array_join(F.array_sort("topics"), ";").alias("topics"))
 
 
-@query(f"WITH {TAGGED} SELECT keyword, count(*) AS n_rows FROM ({_trend_sql()}) GROUP BY keyword ORDER BY n_rows DESC, keyword LIMIT 10")
+@query(f"WITH {TAGGED} SELECT keyword, count(*) AS n_rows FROM (SELECT doc_id, keyword, min(pos) AS pos FROM ({_trend_sql()}) GROUP BY ALL) GROUP BY keyword ORDER BY n_rows DESC, min(row(doc_id, pos)) LIMIT 10")
 def keyword_trends(spark, d):
     return tg.keyword_trends(tagged(spark, d))
 
@@ -333,27 +345,31 @@ QUALITY = f"""CASE WHEN {anywhere(_LX, _s['regulatory'])} THEN 'regulatory' WHEN
  WHEN {anywhere(_pub, _s['major_general'])} THEN 'major_general' WHEN {anywhere(_pub, _s['specialist'])} THEN 'specialist' WHEN {anywhere(_pub, _s['regional'])} THEN 'regional' ELSE 'unknown' END"""
 
 
+def parts(df):
+    return rk.with_parts(df, rk.rank_terms(P), title_parts=F.lower("title"), text_parts=F.lower(F.concat_ws(" ", "title", "description")))
+
+
 @query(f"WITH {ART} SELECT doc_id, {CONTENT} AS content_type FROM art")
 def content_type(spark, d):
-    return articles(spark, d).select("doc_id", rk.content_type(P, F.lower("title"), F.lower("description")).alias("content_type"))
+    return parts(articles(spark, d)).select("doc_id", rk.content_type(P, F.col("title_parts"), F.col("text_parts")).alias("content_type"))
 
 
 @query(f"WITH {ART} SELECT doc_id, {QUALITY} AS source_quality FROM art")
 def source_quality(spark, d):
-    text = F.lower(F.concat_ws(" ", "title", "description"))
-    return articles(spark, d).select("doc_id", rk.source_quality(P, text, F.col("press")).alias("source_quality"))
+    return parts(articles(spark, d)).select("doc_id", rk.source_quality(P, F.col("text_parts"), F.col("press")).alias("source_quality"))
 
 
 SECTOR_POINTS = {"german": 2.1, "french": 1.6, "spanish": 1.5, "english": 0.9}
 ANCHORS = [(["license", "copyright"], 2.0), (["der", "les"], 1.5), (["thsh", "legal"], 0.9)]
 NOISE = [(["worthless", "trash"], -1.2), (["###"], -1.3)]
 TOPIC_PENALTIES = {"insult": -1.8, "article": -0.4}
+RULES = rk.RankRules(SECTOR_POINTS, ANCHORS, NOISE, TOPIC_PENALTIES, "romance", ["this", "clown"], ["copyright", "rights"])
 
 
 def ranked(spark, d):
     df = tagged(spark, d)
     keyed = ar.title_groups(df).drop("rank")
-    return rk.rank_score(keyed, P, SECTOR_POINTS, ANCHORS, NOISE, TOPIC_PENALTIES)
+    return rk.rank_score(keyed, P, RULES)
 
 
 def _case(column: str, table: dict[str, float]) -> str:
@@ -364,7 +380,9 @@ RANKED = f"""{TAGGED}, gk AS (WITH {GROUPS} SELECT doc_id, cluster_key, cluster_
 rk AS (SELECT *, CASE WHEN score > 1 THEN score ELSE score * 7.5::DOUBLE END + least(greatest(cluster_size, 1), 5) * 0.28::DOUBLE + {_case('sector', SECTOR_POINTS)}::DOUBLE
  + {' + '.join(f"CASE WHEN {anywhere(_LX, t)} THEN {w} ELSE 0 END::DOUBLE + CASE WHEN {anywhere('topics', t)} THEN {w} * 0.7 ELSE 0 END::DOUBLE" for t, w in ANCHORS)}
  + {' + '.join(f"CASE WHEN {anywhere(_LX, t)} THEN {w} ELSE 0 END::DOUBLE" for t, w in NOISE)} + {' + '.join(f"CASE WHEN topic_{t} THEN {w} ELSE 0 END::DOUBLE" for t, w in TOPIC_PENALTIES.items())}
- + {_case('content_type', rk.CONTENT_POINTS)}::DOUBLE + {_case('source_quality', P.source_adjustments)}::DOUBLE + epoch(pub_date) / 1e12 AS rank_score FROM rk0)"""
+ + {_case('content_type', rk.CONTENT_POINTS)}::DOUBLE + CASE WHEN source_quality = 'unknown' AND content_type IN ('regulatory', 'risk') THEN -0.1 ELSE {_case('source_quality', P.source_adjustments)} END::DOUBLE
+ + CASE WHEN content_type = 'price_quote' AND topic_romance THEN -0.4 ELSE 0 END::DOUBLE + CASE WHEN {anywhere(_LX, RULES.notices)} THEN CASE WHEN {anywhere(_LX, RULES.policy)} THEN -0.8 ELSE -1.4 END ELSE 0 END::DOUBLE
+ + epoch(pub_date) / 1e12 AS rank_score FROM rk0)"""
 
 
 @query(f"WITH {RANKED} SELECT doc_id, content_type, source_quality, round(rank_score, 6) AS rank_score FROM rk")
@@ -418,7 +436,7 @@ ENTITIES, ISSUES = ["idiot", "clown", "license"], {"art": ["the", "der", "les"],
 def event_clusters(spark, d):
     base = tagged(spark, d).withColumn("report_date", F.to_date(F.date_trunc("day", "pub_date")))
     feats = ev.features(base, ENTITIES, ISSUES, ["trash"], [("law:license", ["license", "under"])])
-    return ev.event_clusters(feats)
+    return ev.event_clusters(feats).select("report_date", "ingest_seq", "cluster_id", "cluster_size")
 
 
 @query(f"WITH {GROUPS}, g AS (SELECT cluster_key, count(*) AS n FROM ranked GROUP BY 1) SELECT count(*) AS clusters, CAST(quantile_disc(n, 0.5) AS BIGINT) AS p50, CAST(quantile_disc(n, 0.95) AS BIGINT) AS p95, max(n) AS largest FROM g")
@@ -455,21 +473,34 @@ LINES = f"ln AS (SELECT doc_id, unnest(string_split(replace(text, chr(13), chr(1
 
 @query(f"WITH {LINES} SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, md5(string_agg(k, chr(10) ORDER BY pos)) AS digest FROM l2 GROUP BY doc_id")
 def boilerplate_line_dedup(spark, d):
-    kept = sm.clean_lines(read(spark, d, "documents").where(F.col("text").isNotNull()))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: F.lower(x["line"])), "\n")
-    return kept.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.md5(text.cast("binary")).alias("digest"))
+    lines = read(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", F.inline(F.array(F.struct(F.transform(sm.clean_lines(F.col("text")), F.lower).alias("lines")))))
+    return lines.where(F.size("lines") > 0).select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.md5(F.array_join("lines", "\n").cast("binary")).alias("digest"))
 
 
 @query("WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]{2,}')) AS w FROM documents) SELECT w, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t GROUP BY w HAVING count(*) >= 20")
-def sentence_term_frequency(spark, d):
+def corpus_term_frequency(spark, d):
     words = F.regexp_extract_all(F.lower("text"), F.lit(tx.TOKEN), F.lit(0))
     per_doc = read(spark, d, "documents").select("doc_id", F.explode(words).alias("w")).groupBy("doc_id", "w").agg(F.count("*").alias("k"))
     return per_doc.groupBy("w").agg(F.sum("k").alias("n"), F.count("*").alias("n_docs")).where("n >= 20")
 
 
+# a document's clean lines as one text, its sentences, and the terms of the first 80
+SENT = f"""{LINES}, l3 AS (SELECT doc_id, pos, arg_min(l, pos) AS l FROM l1 SEMI JOIN l2 USING (doc_id, pos) GROUP BY ALL), ct AS (SELECT doc_id, string_agg(l, ' ' ORDER BY pos) AS t FROM l3 GROUP BY doc_id),
+sp AS (SELECT doc_id, string_split(regexp_replace(t, '([.!?])\\s+', '\\1' || chr(31), 'g'), chr(31)) AS parts FROM ct), st AS (SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS pos FROM sp),
+sn AS (SELECT doc_id, trim(s) AS s, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM st WHERE length(trim(s)) >= 16)"""
+
+
+@query(f"WITH {SENT}, w AS (SELECT doc_id, unnest(regexp_extract_all(s, '[\\p{{L}}\\p{{N}}]{{2,}}')) AS term FROM sn WHERE n <= 80) SELECT doc_id, term, count(*) AS n FROM w GROUP BY ALL")
+def sentence_term_frequency(spark, d):
+    return sm.term_frequency(read(spark, d, "documents").where(F.col("text").isNotNull()))
+
+
+WORDS = sm.SummaryWords(figure=r"\d", action="license|copyright", impact="software|work", types={"law": (frozenset(["License", "license", "copyright"]), "license|rights"), "insult": (frozenset(["idiot", "worthless"]), "pathetic|trash")}, junk=("###",))
+
+
 @query()
 def extractive_summary(spark, d):
-    return sm.summarize(articles(spark, d))
+    return sm.summarize(articles(spark, d), WORDS)
 
 
 @query()
@@ -523,8 +554,18 @@ def batch_response_validation(spark, d):
     return ct.check_responses(asked, sent)
 
 
-ORACLE_SQL["batch_response_validation"] = """WITH e AS (SELECT doc_id // 25 AS batch, 'article_' || doc_id AS id, CASE WHEN doc_id % 13 = 0 THEN 'missing_id' WHEN doc_id % 7 = 0 THEN 'content_rejected'
- WHEN doc_id % 11 = 0 THEN 'usable_reason_conflict' WHEN doc_id % 5 = 0 THEN 'line_contract' ELSE 'accepted' END AS outcome FROM documents WHERE text IS NOT NULL) SELECT * FROM e"""
+# the twin writes the same responses as JSON, reads them again and applies the rules to what it reads
+ORACLE_SQL["batch_response_validation"] = r"""WITH asked AS (SELECT doc_id // 25 AS batch, 'article_' || doc_id AS id, split_part(text, chr(10), 1) AS title, doc_id FROM documents WHERE text IS NOT NULL),
+entry AS (SELECT batch, doc_id, struct_pack(id := id, usable := doc_id % 7 <> 0, reason := CASE WHEN doc_id % 7 = 0 THEN 'multi_topic' WHEN doc_id % 11 = 0 THEN 'odd' ELSE 'ok' END,
+ lines := CASE WHEN doc_id % 7 = 0 THEN []::VARCHAR[] ELSE list_transform(['A', 'B', 'C'][1:CASE WHEN doc_id % 5 = 0 THEN 2 ELSE 3 END], lambda k: 'Line ' || k || ' of ' || doc_id || ' says so.') END) AS e FROM asked WHERE doc_id % 13 <> 0),
+sent AS (SELECT batch, to_json(struct_pack(summaries := list(e))) AS body FROM entry GROUP BY batch),
+got AS (SELECT batch, unnest(from_json(body, '{"summaries": [{"id": "VARCHAR", "usable": "BOOLEAN", "reason": "VARCHAR", "lines": ["VARCHAR"]}]}').summaries) AS e FROM sent),
+judged AS (SELECT g.batch, e.id AS id, CASE WHEN e.id IS NULL THEN 'id_not_string' WHEN a.id IS NULL THEN 'unknown_id' WHEN e.usable IS NULL OR e.reason IS NULL THEN 'usable_contract'
+ WHEN NOT e.usable AND e.reason NOT IN ('title_body_mismatch', 'multi_topic', 'insufficient_content') THEN 'unusable_reason_conflict' WHEN NOT e.usable AND len(e.lines) > 0 THEN 'unusable_lines_present' WHEN NOT e.usable THEN 'content_rejected'
+ WHEN e.reason <> 'ok' THEN 'usable_reason_conflict' WHEN len(e.lines) <> 3 OR len(list_distinct(list_transform(e.lines, lambda x: lower(x)))) <> 3 OR list_contains(list_transform(e.lines, lambda x: lower(trim(x))), lower(a.title))
+  OR len(list_filter(e.lines, lambda x: trim(x) = '' OR length(x) > 90 OR regexp_matches(x, '[\n\r\t]|\*\*|__|~~|`|^\s*[-*+>]') OR NOT regexp_matches(x, '[.!?]$') OR regexp_matches(x, '[.!?]\s'))) > 0 THEN 'line_contract' ELSE 'accepted' END AS outcome
+ FROM got g LEFT JOIN asked a ON a.batch = g.batch AND a.id = e.id)
+SELECT batch, id, outcome FROM judged UNION ALL SELECT batch, id, 'missing_id' FROM asked ANTI JOIN judged USING (batch, id)"""
 
 
 # --- labels and models
@@ -573,8 +614,8 @@ def disagreements_top(spark, d):
 def char_ngram_classifier(spark, d):
     rows = articles(spark, d).select("doc_id", F.concat_ws("\n", "title", "title", "description").alias("text")).join(read(spark, d, "labels").where(F.col("quality").isNotNull()), "doc_id")
     train = rows.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 0)
-    add = lb.fit_classifier(train, "text", "quality", features=20_000, max_iter=30)
-    return add(rows.select("doc_id", "text", "quality")).select("doc_id", "quality", F.round("prob", 6).alias("prob"))
+    model = lb.fit_classifier(train, "text", "quality")
+    return model.add(rows.select("doc_id", "text", "quality")).select("doc_id", "quality", F.round("prob", 6).alias("prob"))
 
 
 # --- files, runs, streams
@@ -604,7 +645,7 @@ def overlapping_runs(spark, d):
 def overlapping_runs_stream(spark, d):
     import uuid
 
-    root = f"{spark.sparkContext.getConf().get('spark.checkpoint.dir') or 'file:///tmp/checkpoints/stream'}/runs-{uuid.uuid4().hex[:8]}"
+    root = f"{checkpoint_root(spark)}/runs-{uuid.uuid4().hex[:8]}"
     schema = read(spark, d, "events").schema
     name = "events.parquet"
     source = f"{d}/{name}"
@@ -612,7 +653,10 @@ def overlapping_runs_stream(spark, d):
     if fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(fs).isFile():
         source = f"{d}/{name.replace('.', '[.]')}"  # a glob: the stream source lists it like a folder
     wn.stream_runs(spark, source, schema, f"{root}/state", f"{root}/out")
-    return spark.read.schema("run_end timestamp, event_type string, n long, total double").parquet(f"{root}/out")
+    return wn.current(spark, f"{root}/out").select(F.col("run_end").cast("timestamp_ntz").alias("run_end"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+ORACLE_SQL["overlapping_runs_stream"] = ORACLE_SQL["overlapping_runs"]
 
 
 @query(f"WITH {TAGGED} SELECT line FROM (SELECT '# Report' AS line UNION ALL SELECT DISTINCT '## ' || sector FROM top)")
@@ -627,6 +671,9 @@ SELECT keyword, count(*) AS n FROM ({' UNION ALL '.join(f"SELECT '{t}' AS keywor
 def top_keywords(spark, d):
     """Top hard terms of de-duplicated, relevant documents: the minimum slice end to end."""
     reps = ar.representatives(articles(spark, d)).select("doc_id")
-    df = scored(spark, d).join(reps, "doc_id", "left_semi").where(rv.drop_reason(P, F.col("rule_text"), F.col("link")).isNull())
+    df = scored(spark, d).join(reps, "doc_id", "left_semi").where(rv.drop_reason(P, F.col("rule_found"), F.col("link")).isNull())
     kept = rv.decide(df, P, "rule_only").where("keep")
     return kept.select(F.explode("matched_hard").alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "keyword").limit(10)
+
+
+from . import run_queries as _run_queries  # noqa: E402, F401  # registers its queries too

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as tx
+
 ARTICLE = T.StructType([T.StructField(n, t) for n, t in (
     ("title", T.StringType()), ("description", T.StringType()), ("link", T.StringType()), ("originallink", T.StringType()), ("naver_link", T.StringType()), ("pubDate", T.StringType()), ("query", T.StringType()))])
 CANDIDATE_COLUMNS = {
@@ -18,13 +20,23 @@ CANDIDATE_COLUMNS = {
 }
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir; a local session without it gets one under /tmp."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return found or f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Search items as JSON lines; pub_date is parsed, rows without a readable one are dropped, times without zone are UTC+9."""
+    """Search items as JSON lines, title and description without entities and bold marks; pub_date is parsed, rows without a readable one are
+    dropped, times without zone are UTC+9."""
     raw = spark.read.schema(ARTICLE).json(path)
+    raw = raw.withColumns({c: F.trim(F.regexp_replace(tx.unescape(F.col(c)), "</?b>", "")) for c in ("title", "description")})
     text = F.regexp_replace("pubDate", "^[A-Za-z]{3},? *", "")
     zoned = F.try_to_timestamp(text, F.lit("d MMM yyyy HH:mm:ss xx"))
     naive = F.to_utc_timestamp(F.try_to_timestamp(text, F.lit("d MMM yyyy HH:mm:ss")), "Asia/Seoul")
@@ -42,8 +54,8 @@ def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "kind string, name string, ordinal int, term string, pos int")
 
 
-def read_candidates(spark: SparkSession, path: str, level: str = "any", glob: str = "*.csv") -> DataFrame:
-    """Candidate logs as strings, missing values empty, with report_date from the file name; lacking columns are an error."""
+def read_candidates(spark: SparkSession, path: str | list[str], level: str = "any", glob: str = "*.csv") -> DataFrame:
+    """Candidate logs (a folder, or listed files) as strings, missing values empty, with report_date from the file name; lacking columns are an error."""
     df = spark.read.option("pathGlobFilter", glob).csv(path, header=True)
     if lacking := [c for c in CANDIDATE_COLUMNS[level] if c not in df.columns]:
         raise ValueError(f"columns missing: {lacking}")
@@ -51,10 +63,11 @@ def read_candidates(spark: SparkSession, path: str, level: str = "any", glob: st
     return filled
 
 
-def write_candidates(decided: DataFrame, path: str) -> None:
-    """The decision log, partitioned by report_date."""
-    flat = decided.select("report_date", "title", F.col("description").alias("summary"), F.col("link").alias("url"), "score", F.round("prob", 4).alias("prob"), "keep", "decision", "decision_reason",
-                          *[F.array_join(c, ";").alias(c) for c in ("matched_hard", "matched_soft", "matched_negative")], "relevance_model_policy", "model_used")
+def write_candidates(decided: DataFrame, path: str, keep_prob: float = 0.65, drop_prob: float = 0.35) -> None:
+    """The decision log of 17 columns, partitioned by report_date."""
+    prob = F.round("prob", 4)
+    flat = decided.select("report_date", "title", F.col("description").alias("summary"), F.col("link").alias("url"), "score", prob.alias("prob"), "keep", "decision", "decision_reason", F.col("score").alias("relevance_score"), prob.alias("relevance_prob"),
+                          *[F.array_join(c, ";").alias(c) for c in ("matched_hard", "matched_negative")], "relevance_model_policy", "model_used", F.lit(keep_prob).alias("candidate_keep_prob"), F.lit(drop_prob).alias("candidate_drop_prob"))
     flat.write.mode("overwrite").partitionBy("report_date").option("header", True).csv(path)
 
 
@@ -76,3 +89,16 @@ def read_line_cache(spark: SparkSession, path: str, version: int = 3) -> DataFra
     raw = spark.read.schema(CACHE).option("multiLine", True).json(path).where(F.col("version") == version)
     e = raw.select(F.explode("entries").alias("e")).select("e.*")
     return e.where(F.col("key").isNotNull() & (F.size("lines") == 3) & F.forall("lines", lambda x: F.trim(x) != "")).withColumn("created_at", F.try_to_timestamp("created_at"))
+
+
+def write_line_cache(cache: DataFrame, path: str, version: int = 3, keep: int = 10_000) -> None:
+    """The newest ``keep`` entries of (key, lines, created_at, ingest_seq) as one JSON record; the old file stays until the new one is whole."""
+    spark = cache.sparkSession
+    last = cache.orderBy(F.desc("ingest_seq")).limit(keep)
+    entry = F.struct("key", "lines", F.col("created_at").cast("string").alias("created_at"))
+    one = last.agg(F.lit(version).alias("version"), F.collect_list(entry).alias("entries"))  # at most ``keep`` entries
+    one.coalesce(1).write.mode("overwrite").json(f"{path}.new")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hadoop(path), True)
+    fs.rename(hadoop(f"{path}.new"), hadoop(path))
