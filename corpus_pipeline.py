@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumenfold.llm import linededup, mixing, neardup, packing, toxicity
 from lumenfold.llm.common import Scratch, table
@@ -13,12 +14,13 @@ ORACLE_SQL = None  # a fitted classifier, signatures and a tokenizer are not SQL
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5. The model learns from the labels of rows in docs."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    scored = toxicity.score(docs, model)
+    return scored.where(F.col(scored.columns[-1]) < 0.5).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat an earlier line, exactly or nearly."""
-    return linededup.dedup_lines(docs).drop("_lines", "_dropped")
+    return linededup.dedup_lines(docs).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
