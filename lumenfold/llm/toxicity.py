@@ -2,9 +2,10 @@
 
 Voters are fixed word lists, fixed patterns, and words and word beginnings mined from the labelled training
 rows. The label model estimates from their votes how often each fires on either class, finds voters that agree
-beyond what the class explains and lets such a group count less than the sum of its members. Given labels are one
-more voter. Its posterior probabilities train a logistic classifier over words and word beginnings, and only
-that classifier scores documents.
+beyond what the class explains and lets such a group count less than the sum of its members. It is fitted to the votes
+on all training rows, labelled or not; labels choose the mined voters, say where the fit starts, and vote themselves, with
+accuracies that the model estimates as it does the others'. Its posterior
+probabilities train a logistic classifier over words and word beginnings, and only that classifier scores documents.
 """
 
 from __future__ import annotations
@@ -14,15 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Scratch, id_hash_mod
+from .common import Scratch, fresh, id_hash_mod
 
 SAMPLE_ROWS = 24_000  # labelled training rows the voters and the classifier are fitted on, at most
 VOTERS, FEATURES = 256, 4096
 LENGTHS, MIN_GAIN = (4, 5, 6), 3.5
-FLUSH = 200_000
+FLUSH, ROUNDS = 200_000, 10
 WORD = re.compile(r"[^\W\d_]+")
 
 # Insults in the four languages, one voter per language.
@@ -97,43 +100,88 @@ class Model:
         return score
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
-    """(posterior, fire[2, voters], weight, groups) of the latent class model over votes (rows x voters, boolean).
+@dataclass
+class Rates:
+    """Parameters of the label model: P(toxic), how often each voter fires on toxic (row 0) and clean rows (row 1), and the share of its evidence that counts."""
 
-    gold: 1, 0 or -1 (none) per row; it is a voter that is taken to be right in 98 of 100 rows. After a first fit,
-    voters whose residuals correlate by more than 0.5, or votes by more than 0.9, form groups, and each member's evidence is divided by
-    the size of its group; then the model is fitted again.
-    """
-    n, m = votes.shape
-    v, weight = votes.astype(np.float64), np.ones(m)
-    evidence = np.where(gold == 1, np.log(0.98 / 0.02), np.where(gold == 0, -np.log(0.98 / 0.02), 0.0))
-    post = np.where(gold >= 0, np.where(gold == 1, 0.98, 0.02), np.clip(votes.any(axis=1) * 0.6 + 0.05, 0, 1))
+    prior: float
+    on: np.ndarray
+    weight: np.ndarray
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        fire, rest = self.weight * np.log(self.on[0] / self.on[1]), self.weight * np.log((1 - self.on[0]) / (1 - self.on[1]))
+        z = np.log(self.prior / (1 - self.prior)) + votes @ (fire - rest) + rest.sum()
+        return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+
+
+def vote_sums(votes: np.ndarray, n: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """What the next rates need of rows that occur n times: (rows, toxic mass), then votes and toxic votes per voter."""
+    return np.concatenate([[n.sum(), n @ post], n @ votes, (n * post) @ votes])
+
+
+def rates_of(sums: np.ndarray, weight: np.ndarray) -> Rates:
+    (rows, toxic), (cast, hot) = sums[:2], np.split(sums[2:], 2)
+    prior = float(np.clip(toxic / max(rows, 1e-9), 1e-3, 1 - 1e-3))
+    on = np.stack([(hot + 0.5 * prior) / (toxic + 1), (cast - hot + 0.05) / (rows - toxic + 10)])
+    return Rates(prior, np.clip(on, 1e-6, 1 - 1e-6), weight)
+
+
+def pair_sums(votes: np.ndarray, n: np.ndarray, rates: Rates) -> np.ndarray:
+    """Products of the residuals that the class leaves, and of the votes, of every two voters."""
+    post = rates.posterior(votes)[:, None]
+    res = votes - (post * rates.on[0] + (1 - post) * rates.on[1])
+    return np.stack([(res * n[:, None]).T @ res, (votes * n[:, None]).T @ votes])
+
+
+def fit_rates(sum_of, pairs_of, start: Rates, rounds: int = 25) -> tuple[Rates, list[list[int]]]:
+    """(rates, groups) by expectation maximisation; sum_of(rates) and pairs_of(rates) give the sums over all rows.
+
+    After a first fit, voters whose residuals correlate by more than 0.5, or votes by more than 0.9, form groups, and each
+    member's evidence is divided by the size of its group; then the model is fitted again."""
+    rates, m = start, len(start.weight)
     groups: list[list[int]] = [[j] for j in range(m)]
     for step in range(2):
         for _ in range(rounds):
-            prior = np.clip(post.mean(), 1e-3, 1 - 1e-3)
-            on = np.stack([((post @ v) + 0.5 * prior) / (post.sum() + 1), (((1 - post) @ v) + 0.05) / ((1 - post).sum() + 10)])
-            on = np.clip(on, 1e-6, 1 - 1e-6)
-            fire, rest = weight * np.log(on[0] / on[1]), weight * np.log((1 - on[0]) / (1 - on[1]))
-            z = np.log(prior / (1 - prior)) + v @ (fire - rest) + rest.sum() + evidence
-            new = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-            done, post = np.abs(new - post).max() < 1e-6, new
+            sums = sum_of(rates)
+            new = rates_of(sums, rates.weight)
+            done, rates = np.abs(new.on - rates.on).max() < 1e-5, new
             if done:
                 break
         if step == 0 and m > 1:
-            res = v - (post[:, None] * on[0] + (1 - post)[:, None] * on[1])
-            sd = np.sqrt((res**2).mean(axis=0)) + 1e-9
-            corr = (res.T @ res) / n / np.outer(sd, sd)
-            flat = (v - v.mean(axis=0)) / (v.std(axis=0) + 1e-9)  # near copies may have made the class their own
+            rows, cast = sums[0], sums[2 : 2 + m]
+            res, both = pairs_of(rates)
+            sd, mean = np.sqrt(np.diag(res) / rows) + 1e-9, cast / rows
+            spread = np.sqrt(np.maximum(mean - mean**2, 0)) + 1e-9  # near copies may have made the class their own
+            alike = (res / rows / np.outer(sd, sd) > 0.5) | ((both / rows - np.outer(mean, mean)) / np.outer(spread, spread) > 0.9)
             home = np.arange(m)
-            for a, b in zip(*np.nonzero(np.triu((corr > 0.5) | ((flat.T @ flat) / n > 0.9), 1)), strict=True):
+            for a, b in zip(*np.nonzero(np.triu(alike, 1)), strict=True):
                 x, y = home[a], home[b]
                 if x != y:
                     home[home == max(x, y)] = min(x, y)
             groups = [np.flatnonzero(home == k).tolist() for k in np.unique(home)]
+            weight = np.ones(m)
             for g in groups:
                 weight[g] = 1 / len(g)
-    return post, on, weight, groups
+            rates = Rates(rates.prior, rates.on, weight)
+    return rates, groups
+
+
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+    """(posterior, fire[2, voters], weight, groups) of the latent class model over votes (rows x voters, boolean) of one machine.
+
+    gold: 1, 0 or -1 (none) per row; it only says where the fit starts."""
+    v, n = votes.astype(np.float64), np.ones(len(votes))
+    start = rates_of(vote_sums(v, n, np.where(gold >= 0, np.where(gold == 1, 0.98, 0.02), np.clip(votes.any(axis=1) * 0.6 + 0.05, 0, 1))), np.ones(votes.shape[1]))
+    rates, groups = fit_rates(lambda r: vote_sums(v, n, r.posterior(v)), lambda r: pair_sums(v, n, r), start, rounds)
+    return rates.posterior(v), rates.on, rates.weight, groups
+
+
+def dense(lists, m: int) -> np.ndarray:
+    """The votes of rows given by the numbers of the voters that fire, as a 0/1 matrix."""
+    out = np.zeros((len(lists), m))
+    for k, x in enumerate(lists):
+        out[k, x] = 1.0
+    return out
 
 
 def logistic(rows: list[np.ndarray], target: np.ndarray, m: int, l2: float = 0.02, steps: int = 1500) -> tuple[np.ndarray, float]:
@@ -154,9 +202,10 @@ def logistic(rows: list[np.ndarray], target: np.ndarray, m: int, l2: float = 0.0
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
-    """A model fitted on at most SAMPLE_ROWS labelled rows whose crc32(doc_id) mod ``folds`` is not 0.
+    """A model from the rows whose crc32(doc_id) mod ``folds`` is not 0.
 
-    A document labelled more than once is toxic if one of its labels says so. Without labelled rows of both
+    The label model takes the votes on all of them, summed by pattern. Voters are mined and the classifier is fitted on at most
+    SAMPLE_ROWS labelled ones. A document labelled more than once is toxic if one of its labels says so. Without labelled rows of both
     classes the fixed lists and patterns alone make the score.
     """
     scratch = Scratch(docs.sparkSession, "toxic")
@@ -206,27 +255,58 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
     on = [np.asarray(x, dtype=np.int64) for x in rows["on"]]
     place = np.full(len(names), -1)
     place[[index[f] for f in voters]] = np.arange(len(voters))
-    votes = np.zeros((len(on), len(voters)), dtype=bool)
-    for k, x in enumerate(on):
-        p = place[x]
-        votes[k, p[p >= 0]] = True
-    post, fire, _, groups = label_model(votes, rows["y"].to_numpy())
-    w, bias = logistic(on, post, len(names))
-    scratch.drop(known, sample)
-    return Model({f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-4}, bias, voters, {f: (float(a), float(b)) for f, a, b in zip(voters, *fire, strict=True)}, [[voters[j] for j in g] for g in groups])
+    m = len(voters) + 2  # a given label is a voter too: one fires where it says toxic, one where it says clean
+    said = lambda y: [] if y is None else [m - 2] if y > 0 else [m - 1]
+    cast = docs.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(voters)})
+
+    def vote(batches):
+        match = Matcher(cast.value)
+        for batch in batches:
+            rows = zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([(match.of(t) if t else []) + said(y) for t, y in rows], pa.list_(pa.int32()))], ["votes"])
+
+    training = docs.where(id_hash_mod("doc_id", folds) != 0).select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left").select("text", "toxic")
+    patterns = scratch.keep(training.mapInArrow(vote, "votes array<int>").groupBy("votes").agg(F.count("*").alias("n")))
+
+    def summed(of, size: int) -> np.ndarray:
+        """The sum over all rows of of(votes, n), an array of ``size`` numbers whatever the rows are."""
+
+        def part(batches):
+            total = np.zeros(size)
+            for b in batches:
+                at, n = b.column("votes").to_pylist(), b.column("n").to_numpy().astype(float)
+                for k in range(0, len(at), 4000):
+                    total += of(dense(at[k : k + 4000], m), n[k : k + 4000]).ravel()
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["at", "x"])
+
+        got = patterns.mapInArrow(part, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toPandas()
+        out = np.zeros(size)
+        out[got["at"].to_numpy()] = got["x"].to_numpy()
+        return out
+
+    gold = rows["y"].to_numpy()
+    seen = dense([[*(p := place[x])[p >= 0], *said(y)] for x, y in zip(on, gold.tolist(), strict=True)], m)
+    start = rates_of(vote_sums(seen, np.ones(len(seen)), np.where(gold == 1, 0.98, 0.02)), np.ones(m))
+    rates, groups = fit_rates(lambda r: summed(lambda v, n: vote_sums(v, n, r.posterior(v)), 2 + 2 * m), lambda r: summed(lambda v, n: pair_sums(v, n, r), 2 * m * m).reshape(2, m, m), start, ROUNDS)
+    w, bias = logistic(on, rates.posterior(seen), len(names))
+    every = [*voters, "label:toxic", "label:clean"]
+    scratch.drop(known, sample, patterns)
+    return Model({f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-4}, bias, every, {f: (float(a), float(b)) for f, a, b in zip(every, *rates.on, strict=True)}, [[every[j] for j in g] for g in groups])
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """All rows and columns of docs and their score, 0 to 1. Null texts score as empty ones; the whole text counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """All rows and columns of docs and, last, their score, 0 to 1, named ``name`` (with underscores added where docs has that name).
+    Null texts score as empty ones; the whole text counts."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), fresh(docs, name)
+    names = [*docs.columns, name]
 
     def run(batches):
         of = shared.value.scorer()
-        for pdf in batches:
-            yield pdf.assign(**{name: [of(t) for t in pdf["text"]]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([of(t.as_py()) for t in batch.column("text")], pa.float64())], names)
 
-    plain = docs.select([c for c in docs.columns if c != name])
-    return plain.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema), f"`{name}` double"]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
