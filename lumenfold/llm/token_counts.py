@@ -6,6 +6,7 @@ import os
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from .common import Scratch, most_frequent
 from .tokens import WordSplitter
 
 TOKENIZER, LIMIT = "word_bpe_49k.json", 2048
-COMMON, COMMON_CHARS, FLUSH = 150_000, 48, 150_000
+COMMON, COMMON_CHARS, FLUSH = 100_000, 48, 100_000
 
 
 def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, common: int = COMMON) -> DataFrame:
@@ -27,31 +28,34 @@ def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
     one row each; an empty table gives an empty result. No token ids are kept.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "count")
+    spark, scratch, splitter = docs.sparkSession, Scratch(docs.sparkSession, "count"), WordSplitter(tokenizer)
+
+    def rows(seen):
+        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
 
     def gather(batches):
-        splitter, seen = WordSplitter(tokenizer), Counter()
-        for pdf in batches:
-            for text in pdf["text"]:
-                if isinstance(text, str):
+        seen = Counter()
+        for batch in batches:
+            for cell in batch.column("text"):
+                if (text := cell.as_py()) is not None:
                     seen.update(splitter.words(text)[0])
                 if len(seen) >= FLUSH:
-                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                    yield rows(seen)
                     seen.clear()
-        yield pd.DataFrame({"word": pd.Series(list(seen), dtype="object"), "n": pd.Series(list(seen.values()), dtype="int64")})
+        yield rows(seen)
 
     def encode(batches):
-        count = WordSplitter(tokenizer).counter()
+        count = splitter.counter()
         for pdf in batches:
             yield pdf.assign(pieces=pd.Series(count(pdf["word"].tolist()), dtype="int64", index=pdf.index))
 
-    words = docs.select("text").mapInPandas(gather, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = docs.select("text").mapInArrow(gather, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = scratch.keep(words.mapInPandas(encode, "word string, n long, pieces long"))
     top = most_frequent(counted.where(F.length("word") <= COMMON_CHARS), "n", common).select("word", "pieces").toPandas()
     shared = spark.sparkContext.broadcast(dict(zip(top["word"], top["pieces"].astype(int), strict=True)))
 
     def frequencies(batches):
-        splitter, known = WordSplitter(tokenizer), shared.value
+        known = shared.value
         for pdf in batches:
             rows = []
             for text in pdf["text"]:

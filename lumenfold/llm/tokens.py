@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import public_tokenizers
 
@@ -21,17 +22,29 @@ def load(name: str):
 
 
 class WordSplitter:
-    """Pre-tokens of the word_bpe file: normalised, split by its pattern; special strings count apart."""
+    """Pre-tokens of the word_bpe file: normalised, split by its pattern; special strings count apart.
 
-    def __init__(self, name: str):
-        from tokenizers import Regex, pre_tokenizers
+    Made on the driver; tasks get the patterns only and load the library's tokenizer when a text needs it."""
 
-        self.full = load(name)
-        spec = json.loads(self.full.to_str())
+    def __init__(self, name: str):
+        spec = json.loads(load(name).to_str())
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
+        self.name, self.pattern = name, split["pattern"]["Regex"]
         self.special = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"])) if spec["added_tokens"] else re.compile("(?!)")
 
+    def __getstate__(self):
+        return {k: self.__dict__[k] for k in ("name", "pattern", "special")}
+
+    @cached_property
+    def full(self):
+        return load(self.name)
+
+    @cached_property
+    def split(self):
+        from tokenizers import Regex, pre_tokenizers
+
+        return pre_tokenizers.Split(Regex(self.pattern), "removed", invert=True)
+
     def words(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens of the text, and how many special tokens stand in it."""
         if "<|" in text and (n := len(self.special.findall(text))):
