@@ -14,13 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_hash_mod, most_frequent
+from .common import Scratch, id_hash_mod, most_frequent, small_batches
 
 STATES, TOP, COMMON, COMMON_BYTES = 8, 16_384, 150_000, 48
-ROUNDS, PRIOR = 4, 100.0
+ROUNDS, PRIOR = 3, 100.0
 SEED_DOCS, SEED_STEPS = 600, 10
 FLUSH, CHUNK = 150_000, 400_000
 
@@ -125,12 +126,45 @@ def first_params(docs: list[np.ndarray], base: np.ndarray, states: int) -> Param
     return p
 
 
+def expected_counts(texts: DataFrame, sequence, params: Params) -> Stats:
+    """The Baum-Welch counts of all rows of ``texts`` (a text column), each of weight 1, summed over partitions.
+
+    ``sequence`` turns a text into its array of symbols. The result is bounded by the alphabet."""
+    symbols, states = params.emit.shape
+    names = [f"s{j}" for j in range(states)]
+    now = texts.sparkSession.sparkContext.broadcast(params)
+
+    def expect(batches):
+        s, held, size = Stats(states, symbols), [], 0
+        for batch in batches:
+            for cell in batch.column("text"):
+                held.append(sequence(cell.as_py()))
+                size += len(held[-1])
+                if size >= 2 * CHUNK:
+                    s.add(now.value, held)
+                    held, size = [], 0
+        if held:
+            s.add(now.value, held)
+        every = np.concatenate([s.start[None], s.move, s.emit])
+        used = np.flatnonzero(every.any(axis=1))
+        yield pa.RecordBatch.from_arrays([*(pa.array(every[used, j]) for j in range(states)), pa.array(used)], [*names, "at"])
+
+    summed = texts.mapInArrow(expect, ", ".join(f"{x} double" for x in names) + ", at long").groupBy("at").agg(*[F.sum(x).alias(x) for x in names])
+    with small_batches(texts.sparkSession):
+        got = summed.toPandas()
+    every = np.zeros((1 + states + symbols, states))
+    every[got["at"].to_numpy()] = got[names].to_numpy()
+    out = Stats(states, symbols)
+    out.start, out.move, out.emit = every[0], every[1 : 1 + states], every[1 + states :]
+    now.destroy()
+    return out
+
+
 def score(docs: DataFrame, folds: int = 10, states: int = STATES, top: int = TOP, common: int = COMMON) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
-    Training rows are those whose crc32(doc_id) mod ``folds`` is not 0. They are dealt over ROUNDS shards by a hash
-    of their ids; each pass of Baum-Welch covers one shard, adds its expected counts to half of those before, and
-    re-estimates, so every training document is used. The start comes from at most about SEED_DOCS documents. The
+    Training rows are those whose crc32(doc_id) mod ``folds`` is not 0. Each of ROUNDS passes of Baum-Welch takes the expected
+    counts over all training rows with equal weight. The start comes from about SEED_DOCS of them. The
     ``common`` most frequent words of at most 48 bytes go to the tasks as a map, a bound that does not grow with
     the data; all rarer words meet their counts in a shuffled join. Null texts are empty: only the end token. Repeated
     rows give a row each. Without training rows score equals base_score; an empty table gives an empty result.
@@ -178,35 +212,11 @@ def score(docs: DataFrame, folds: int = 10, states: int = STATES, top: int = TOP
 
     params = None
     if n_docs:
-        pick = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(min(1.0, SEED_DOCS / n_docs) * (1 << 20))
-        seeds = [sequence(r["text"])[2] for r in training.where(pick).select("doc_id", "text").limit(2 * SEED_DOCS).collect()]
-        params = first_params(seeds, base, states)
-        names = [f"s{j}" for j in range(states)]
-        stats = Stats(states, len(base))
-        for step in range(ROUNDS):
-            now = spark.sparkContext.broadcast(params)
-
-            def expect(batches, now=now):
-                s, held, size = Stats(states, len(base)), [], 0
-                for pdf in batches:
-                    for text in pdf["text"]:
-                        held.append(sequence(text)[2])
-                        size += len(held[-1])
-                        if size >= 4 * CHUNK:
-                            s.add(now.value, held)
-                            held, size = [], 0
-                if held:
-                    s.add(now.value, held)
-                every = np.concatenate([s.start[None], s.move, s.emit])
-                used = np.flatnonzero(every.any(axis=1))
-                yield pd.DataFrame(every[used], columns=names).assign(at=used)
-
-            shard = training.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(ROUNDS)) == step)
-            summed = shard.select("text").mapInPandas(expect, ", ".join(f"{x} double" for x in names) + ", at long").groupBy("at").agg(*[F.sum(x).alias(x) for x in names]).toPandas()
-            every = np.zeros((1 + states + len(base), states))
-            every[summed["at"].to_numpy()] = summed[names].to_numpy()
-            stats.start, stats.move, stats.emit = stats.start / 2 + every[0], stats.move / 2 + every[1 : 1 + states], stats.emit / 2 + every[1 + states :]
-            params = stats.params(base)
+        # a row's own hash picks the seeds and orders them, so reruns agree; equal rows count once
+        seeds = training.select(F.xxhash64("doc_id", "text").alias("h"), "text").where(F.pmod(F.col("h"), F.lit(1 << 20)) < int(min(1.0, SEED_DOCS / n_docs) * (1 << 20))).dropDuplicates(["h"])
+        params = first_params([sequence(r["text"])[2] for r in sorted(seeds.collect(), key=lambda r: r["h"])], base, states)
+        for _ in range(ROUNDS):
+            params = expected_counts(training.select("text"), lambda text: sequence(text)[2], params).params(base)
     last = spark.sparkContext.broadcast(params)
 
     def final(batches):
