@@ -2,9 +2,9 @@
 
 Only lengths matter to a packing, so the problem is the histogram of at most ``capacity`` lengths, however
 many documents there are. A configuration is a multiset of lengths that fits one sequence. The covering
-program over all configurations is solved by multiplicative weights; each round prices lengths and asks a
-knapsack dynamic program for the best configuration. The solution is rounded down, and best fit packs the
-remaining histogram. Pieces then find their place by their rank among pieces of equal length.
+program over all configurations is solved by multiplicative weights over lengths; knapsack dynamic programs price
+configurations and give dual bounds. The solution is rounded down, the rest is solved again, and best fit packs
+what remains. Pieces then find their place by their rank among pieces of equal length.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from .common import Scratch
 from .tokens import ByteIds
 
 TOKENIZER, END_ID, CAPACITY = "byte_bpe_50k.json", 2, 1024
-STEPS, RATE, POWER = (1.0, 0.5), 0.3, 1.1
+ETA, GAP, WORK = 0.01, 2e-4, 400_000  # of the program: rate, gap to end at, steps times lengths
+STEPS, RATE, POWER = (1.0, 0.5), 0.3, 1.1  # of one sweep of prices
 SALT_ROWS = 20_000
 
 Config = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -51,8 +52,54 @@ def best_config(value: np.ndarray) -> tuple[Config, float]:
     return tuple(sorted(found.items(), reverse=True)), float(best[capacity])
 
 
+def program(demand: np.ndarray) -> tuple[dict[Config, float], float]:
+    """(amounts of configurations covering the demand, a lower bound of the program's value).
+
+    Multiplicative weights: a length's weight falls by exp(-ETA) each time its whole demand is covered once more. Each step adds
+    the configuration of most weight, as much as covers one of its lengths once, and at last all amounts are divided by the least
+    coverage. Configurations are found by the knapsack program and kept in a pool; between two knapsacks the pool's best is
+    taken. Weights w give the dual bound demand.w / (value of the best configuration); the best bound counts, and steps end when
+    the amounts come within GAP of it. Steps are bounded by WORK / lengths; with very many lengths not all may be covered by then, and no
+    amounts are returned: one sweep of prices (``solve``) stands for the program there.
+    """
+    at = np.flatnonzero(demand[1:]) + 1
+    if not len(at):
+        return {}, 0.0
+    d, capacity = demand[at].astype(float), len(demand) - 1
+    w0, cover = at / capacity, np.zeros(len(at))
+    lower, best, best_x = float(w0 @ d), np.inf, {}
+    pool: list[Config] = []
+    amount, table = np.zeros(0), np.zeros((0, len(at)))
+    place = {int(n): j for j, n in enumerate(at)}
+    value, every, due = np.zeros(capacity + 1), 1, 0
+    for step in range(min(20_000, WORK // max(1, len(at)))):
+        w = w0 * np.exp(-ETA * (cover - cover.min()))
+        if look := step >= due:
+            value[at] = w
+            config, most = best_config(value)
+            lower = max(lower, float(w @ d) / most)
+            every = min(64, 2 * every) if config in pool else 4
+            due = step + every
+            if config not in pool:
+                pool.append(config)
+                row = np.zeros(len(at))
+                row[[place[k] for k, _ in config]] = [a for _, a in config]
+                table, amount = np.vstack([table, row]), np.append(amount, 0.0)
+        j = int((table @ w).argmax())
+        on = table[j] > 0
+        more = float((d[on] / table[j, on]).min())
+        amount[j] += more
+        cover += more * table[j] / d
+        if look and cover.min() > 0 and amount.sum() / cover.min() < best:
+            best = float(amount.sum() / cover.min())
+            best_x = {c: float(v / cover.min()) for c, v in zip(pool, amount, strict=True) if v > 0}
+            if best <= lower * (1 + GAP):
+                break
+    return best_x, lower
+
+
 def solve(demand: np.ndarray, share: float = STEPS[-1]) -> dict[Config, float]:
-    """Fractional amounts of configurations that together hold the demand (index = length) exactly.
+    """Fractional amounts of configurations that together hold the demand (index = length) exactly: one sweep of the same weights.
 
     A length's price starts at a power of the length just above 1, so long lengths find partners while there
     are short ones, and falls exponentially with the share of its demand already covered. Each round buys the
@@ -92,21 +139,9 @@ def _fill(left: np.ndarray, room: int) -> list[int]:
     return out
 
 
-def round_down(x: dict[Config, float], demand: np.ndarray) -> list[tuple[Config, int]]:
-    """Whole numbers of configurations holding every item: the rounded program, then best fit for what is left."""
-    capacity, left, out = len(demand) - 1, demand.astype(np.int64).copy(), []
-    left[0] = 0
-
-    def use(config: Config, times: int) -> None:
-        if times > 0:
-            out.append((config, times))
-            for k, a in config:
-                left[k] -= a * times
-
-    full = lambda c: sum(k * a for k, a in c)
-    for config, n in sorted(x.items(), key=lambda i: (-full(i[0]), -i[1], i[0])):
-        if full(config) >= capacity - 2:
-            use(config, min(int(n), *(int(left[k]) // a for k, a in config)))
+def best_fit(left: np.ndarray) -> list[tuple[Config, int]]:
+    """Whole configurations holding all that is left, longest first; left is used up."""
+    capacity, out = len(left) - 1, []
     while left.any():
         longest = int(np.flatnonzero(left)[-1])
         left[longest] -= 1
@@ -116,16 +151,55 @@ def round_down(x: dict[Config, float], demand: np.ndarray) -> list[tuple[Config,
         while any(left[k] < a for k, a in config.items()):  # best fit may ask for more of a length than there is
             config = Counter({k: min(a, int(left[k])) for k, a in config.items()})
         made = tuple(sorted(config.items(), reverse=True))
-        use(made, min(int(left[k]) // a for k, a in made))
+        times = min(int(left[k]) // a for k, a in made)
+        out.append((made, times))
+        for k, a in made:
+            left[k] -= a * times
+    return out
+
+
+def floors(x: dict[Config, float], left: np.ndarray, fullest: int = 0) -> list[tuple[Config, int]]:
+    """The whole parts of the amounts of all configurations that fill at least ``fullest``, largest first, as far as items are left; left loses them."""
+    out, full = [], lambda c: sum(k * a for k, a in c)
+    for config, n in sorted(x.items(), key=lambda i: (-full(i[0]) if fullest else 0, -i[1], i[0])):
+        times = min(int(n + 1e-9), *(int(left[k]) // a for k, a in config)) if full(config) >= fullest else 0
+        if times > 0:
+            out.append((config, times))
+            for k, a in config:
+                left[k] -= a * times
     return out
 
 
+def rounded(demand: np.ndarray) -> tuple[list[tuple[Config, int]], float]:
+    """(whole numbers of configurations holding every item, a lower bound): the best of several roundings of the program.
+
+    The program's amounts are floored, and what is left is solved again as a smaller program, while that still gives
+    whole configurations; best fit holds the rest. One sweep of prices is rounded beside it, by filled configurations first."""
+    whole = demand.astype(np.int64).copy()
+    whole[0] = 0
+    x, lower = program(whole)
+    made = []
+    left, out = whole.copy(), []
+    while x:
+        before = left.sum()
+        out += floors(x, left)
+        if left.sum() > 0.7 * before or not left.any():
+            break
+        x, _ = program(left)
+    made.append(out + best_fit(left))
+    for share in STEPS:
+        x = solve(whole, share)
+        for fullest in (0, len(whole) - 3):
+            left = whole.copy()
+            made.append(floors(x, left, fullest) + best_fit(left))
+    return min(made, key=lambda m: sum(n for _, n in m)), lower
+
+
 class Plan:
     """Where the pieces of each length go: segments of ranks, found by binary search."""
 
     def __init__(self, demand: np.ndarray):
-        made = min((round_down(solve(demand, share), demand) for share in STEPS), key=lambda m: sum(n for _, n in m))
-        self.bound = -(-int((demand * np.arange(len(demand))).sum()) // (len(demand) - 1))
+        made, self.bound = rounded(demand)
         used, first, rows = Counter(), 0, []
         for config, times in made:
             at = 0

@@ -155,11 +155,23 @@ def test_program_beats_or_meets_best_fit(seed):
     filled = np.zeros((plan.sequences, 1024), dtype=int)
     for s, o, n in zip(seq, at, lengths, strict=True):
         filled[s, o : o + n] += 1
-    assert filled.max() == 1 and plan.bound <= plan.sequences
-    greedy = sum(n for _, n in packing.round_down({}, demand))
+    assert filled.max() == 1 and plan.bound <= plan.sequences + 1e-6
+    greedy = sum(n for _, n in packing.best_fit(demand.astype(np.int64).copy()))
     assert plan.sequences <= greedy * 1.005 + 2
 
 
+@pytest.mark.parametrize("lengths", [(130, 212, 301, 377, 450, 513), (205, 256, 341, 400, 512), (171, 257, 342, 343, 511), (300, 400, 700)])
+def test_rounding_stays_near_the_dual_bound(lengths):
+    demand = np.bincount(np.random.default_rng(3).choice(lengths, 20_000), minlength=1025)
+    made, lower = packing.rounded(demand)
+    held = np.zeros(1025, dtype=np.int64)
+    for config, times in made:
+        assert times > 0 and sum(k * a for k, a in config) <= 1024
+        for k, a in config:
+            held[k] += a * times
+    assert (held == demand).all() and lower <= sum(n for _, n in made) <= lower * 1.001 + len(lengths)
+
+
 def test_hmm_counts_and_scores(spark):
     rows = [(k, prose(k, 30, 60).upper() if k % 2 else " ".join(f"v{x}" for x in np.random.default_rng(k).integers(0, 60, 30))) for k in range(300)] + [(900, None), (901, ""), (902, "never seen zzz")]
     rows += [rows[0]]
@@ -202,6 +214,18 @@ def test_forward_is_exact_and_baum_welch_climbs():
     assert hmm.log_likelihood(after, docs).sum() >= before - 1e-9
 
 
+def test_expected_counts_of_all_partitions_equal_those_of_one_machine(spark):
+    r = np.random.default_rng(4)
+    norm = lambda x, a: x / x.sum(axis=a, keepdims=True)
+    p = hmm.Params(norm(r.random(3), 0), norm(r.random((3, 3)), 1), norm(r.random((6, 3)), 0))
+    texts = ["".join(map(str, r.integers(0, 6, n))) for n in r.integers(1, 40, 50)] + ["0"] * 3
+    sequence = lambda t: np.array([int(x) for x in t or "5"], dtype=np.int32)
+    got = hmm.expected_counts(spark.createDataFrame([(t,) for t in [*texts, None]], "text string").repartition(5), sequence, p)
+    want = hmm.Stats(3, 6)
+    want.add(p, [sequence(t) for t in [*texts, None]])
+    assert np.allclose(got.start, want.start) and np.allclose(got.move, want.move) and np.allclose(got.emit, want.emit)
+
+
 def test_hmm_odd_rows(odd, nothing):
     assert hmm.score(odd, top=20, common=30).count() == odd.count() and hmm.score(nothing).count() == 0
 
@@ -234,7 +258,9 @@ def test_toxicity_odd_rows(odd, nothing, rated):
     bare = {r.doc_id: r.predicted for r in toxicity.classify(odd, labels.limit(0)).collect()}  # no labels: the fixed lists
     assert bare[11] == 1 and bare[0] == 0 and bare[4] == 0
     model = toxicity.train(*rated)
-    assert toxicity.score(odd, model).columns == [*odd.columns, "score"]
+    scored = toxicity.score(odd, model)
+    assert scored.columns == [*odd.columns, "score_"]
+    assert {r._n for r in scored.collect()} == {2**60 + 1, None}  # other columns stay as they are
 
 
 def test_label_model_finds_accuracies_and_groups():
