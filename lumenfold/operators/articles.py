@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..sources.tables import checkpointed
 
 KST = dt.timezone(dt.timedelta(hours=9))
 
@@ -76,27 +77,47 @@ def title_groups(articles: DataFrame) -> DataFrame:
 
     The representative (rank 1) is the newest, then the one with the longest description, then one with a link,
     then the first."""
-    keyed = articles.withColumn("normalized_title", tx.title_key(F.col("title")))
-    keyed = keyed.withColumn("cluster_key", F.when(F.col("normalized_title") != "", F.col("normalized_title")).otherwise(F.concat(F.lit("title:"), F.lower(F.trim("title")))))
+    keyed = _keyed(articles)
     best = Window.partitionBy("cluster_key").orderBy(F.desc("pub_date"), F.desc(F.length(F.trim(F.coalesce("description", F.lit(""))))), F.desc(F.coalesce("link", F.lit("")) != ""), "ingest_seq")
     whole = Window.partitionBy("cluster_key")
     return keyed.withColumns({"rank": F.row_number().over(best), "cluster_size": F.count("*").over(whole), "first_seq": F.min("ingest_seq").over(whole)})
 
 
-def representatives(articles: DataFrame) -> DataFrame:
-    """One row per title group with the other rows as duplicate_sources, without windows over article rows."""
+def _keyed(articles: DataFrame) -> DataFrame:
     keyed = articles.withColumn("normalized_title", tx.title_key(F.col("title")))
-    keyed = keyed.withColumn("cluster_key", F.when(F.col("normalized_title") != "", F.col("normalized_title")).otherwise(F.concat(F.lit("title:"), F.lower(F.trim("title")))))
+    return keyed.withColumn("cluster_key", F.when(F.col("normalized_title") != "", F.col("normalized_title")).otherwise(F.concat(F.lit("title:"), F.lower(F.trim("title")))))
+
+
+def representatives(articles: DataFrame) -> DataFrame:
+    """One row per title group with its cluster_size and first_seq; only keys are grouped, the chosen rows are joined back by their number."""
+    keyed = _keyed(articles)
     order = F.struct(F.col("pub_date").alias("p"), F.length(F.trim(F.coalesce("description", F.lit("")))).alias("l"), (F.coalesce("link", F.lit("")) != "").alias("k"), (-F.col("ingest_seq")).alias("s"))
-    row = F.struct(*keyed.columns)
-    grouped = keyed.groupBy("cluster_key").agg(F.max_by(row, order).alias("rep"), F.count("*").alias("cluster_size"), F.min("ingest_seq").alias("first_seq"), F.array_sort(F.collect_list(F.struct("ingest_seq", "title", "link", "press", F.col("pub_date").cast("string").alias("pub_date")))).alias("all"))
-    rest = F.filter("all", lambda x: x["ingest_seq"] != F.col("rep.ingest_seq"))
-    return grouped.select("rep.*", "cluster_size", "first_seq", F.transform(rest, lambda x: x.dropFields("ingest_seq")).alias("duplicate_sources"))
+    groups = keyed.select("cluster_key", "ingest_seq", order.alias("o")).groupBy("cluster_key").agg(F.max_by("ingest_seq", "o").alias("ingest_seq"), F.count("*").alias("cluster_size"), F.min("ingest_seq").alias("first_seq"))
+    return keyed.join(groups.drop("cluster_key"), "ingest_seq")
+
+
+def absorbed(articles: DataFrame, reps: DataFrame) -> DataFrame:
+    """(cluster_key, ingest_seq, title, link, press, pub_date) of the rows that a representative stands for, a row each."""
+    return _keyed(articles).select("cluster_key", "ingest_seq", "title", "link", "press", F.col("pub_date").cast("string").alias("pub_date")).join(reps.select("ingest_seq"), "ingest_seq", "left_anti")
+
+
+def with_absorbed(articles: DataFrame) -> DataFrame:
+    """The representatives with their absorbed rows as duplicate_sources, in order."""
+    reps = representatives(articles)
+    source = F.struct("ingest_seq", "title", "link", "press", "pub_date")
+    lists = absorbed(articles, reps).groupBy("cluster_key").agg(F.array_sort(F.collect_list(source)).alias("l"))
+    empty = F.array().cast("array<struct<title:string,link:string,press:string,pub_date:string>>")
+    return reps.join(lists, "cluster_key", "left").withColumn("duplicate_sources", F.coalesce(F.transform("l", lambda x: x.dropFields("ingest_seq")), empty)).drop("l")
 
 
 def with_group_number(reps: DataFrame) -> DataFrame:
-    """cluster_id c1, c2, … by first appearance; one partition over the small group table."""
-    return reps.withColumn("cluster_id", F.concat(F.lit("c"), F.dense_rank().over(Window.orderBy("first_seq")).cast("string")))
+    """cluster_id c1, c2, … by first appearance: groups are dealt by ranges of first_seq and numbered within a range, after those of the ranges before."""
+    ranged = checkpointed(reps.select("cluster_key", "first_seq").repartitionByRange("first_seq").withColumn("range", F.spark_partition_id()))
+    counts = ranged.groupBy("range").agg(F.count("*").alias("n"))  # a row per partition
+    before = counts.withColumn("before", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
+    place = F.row_number().over(Window.partitionBy("range").orderBy("first_seq"))
+    numbers = ranged.withColumn("place", place).join(F.broadcast(before), "range").select("cluster_key", F.concat(F.lit("c"), (F.col("before") + F.col("place")).cast("string")).alias("cluster_id"))
+    return reps.join(numbers, "cluster_key")
 
 
 def fetch_queries(fetch: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
@@ -13,13 +17,61 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 
 
-def pseudo_label(score: Column, prob: Column, hard: Column, negative: Column, keep: Column) -> Column:
-    """struct(label, confidence, reason): the first rule that applies; "review" where evidence disagrees or is weak."""
-    has_hard, has_neg = F.size(hard) > 0, F.size(negative) > 0
-    pick = lambda label, conf, why: F.struct(F.lit(label).alias("label"), F.lit(conf).alias("confidence"), F.lit(why).alias("reason"))
-    return (F.when(keep & has_neg & (score < 8), pick("review", 0.0, "keep_with_negative")).when((score >= 8) & (prob <= 0.2), pick("review", 0.0, "score_prob_conflict")).when((score <= 1) & (prob >= 0.8), pick("review", 0.0, "score_prob_conflict"))
-            .when((score >= 8) & has_hard & ~has_neg, pick("1", 0.95, "strong_keep")).when((score >= 6) & has_hard, pick("1", 0.85, "rule_keep")).when((score >= 5) & keep, pick("1", 0.75, "rule_keep_low"))
-            .when(has_neg & ~has_hard, pick("0", 0.95, "strong_drop")).when((score <= 0), pick("0", 0.85, "rule_drop")).when((score <= 2) & ~has_hard & ~keep, pick("0", 0.75, "rule_drop_low")).otherwise(pick("review", 0.0, "uncertain")))
+@dataclass(frozen=True)
+class LabelRules:
+    """Words by which rows are labelled: sure topics (anchors, signals, reason; no signals: the anchor is enough), words that are never wanted, and
+    macro, industry, finance, regulator, action and vague words."""
+
+    sure: tuple[tuple[list[str], list[str], str], ...]
+    never: list[str]
+    macro: list[str]
+    industry: list[str]
+    finance: list[str]
+    regulators: list[str]
+    actions: list[str]
+    vague: list[str]
+
+
+_ACTIONS = ["검사", "제재", "과징금", "시정명령", "행정처분", "제도개선", "제도 개선", "제도", "정책", "규제", "감독", "발표", "조치"]
+# The words of Korean finance news.
+KOREAN_LABELS = LabelRules(
+    sure=(
+        (["저축은행"], ["연체율", "PF", "부실채권"], "strong_keep_savings_bank_risk"),
+        (["은행"], ["가계대출", "예대금리차", "연체"], "strong_keep_bank_consumer_credit"),
+        ("보험사 보험업계 손해보험 생명보험 손보사 생보사 실손보험 자동차보험 킥스 K-ICS".split(), "킥스 K-ICS 실손 건전성 비율".split(), "strong_keep_insurance_risk"),
+        (["카드론", "카드사"], ["연체", "수수료"], "strong_keep_card_credit"),
+        (["금감원", "금융위"], _ACTIONS, "strong_keep_regulatory_action"),
+        (["대부업", "불법사금융", "채권추심", "최고금리"], [], "strong_keep_lending_consumer_protection"),
+    ),
+    never="연예 스포츠 축구 야구 드라마 영화 맛집 여행 쇼핑 패션".split(),
+    macro="환율 금리 유가 달러 원자재".split(),
+    industry="영업이익 매출 순이익 실적 원가 원재료 수출 수주 항공 조선 식품 바이오 게임 자동차 반도체 해운 철강".split(),
+    finance="은행 저축은행 보험 카드 카드사 카드론 금융 금융위 금감원 증권 여신 캐피탈 대부 사금융 채권추심 PF 부실채권 가계대출".split(),
+    regulators=["금융위", "금감원"], actions=_ACTIONS, vague=["회사채", "환율", "금리"],
+)
+KEEP_LEAST, KEEP_SURE, SHORT_TITLE, SHORT_SUMMARY = 6, 8, 6, 12
+
+
+def pseudo_label(rules: LabelRules, title: Column, summary: Column, score: Column, hard: Column, negative: Column, keep: Column, decision_reason: Column) -> Column:
+    """struct(label, confidence, reason) of a decided row: 1, 0, or review where signals conflict or none is firm enough.
+
+    A sure topic, or a kept row of enough points with hard and without negative terms, speaks for 1; unwanted words, negative terms, a lack of
+    anchors, a company's results amid macro words or few points for 0."""
+    text = F.lower(F.concat_ws("\n", title, summary))
+    on = lambda terms: reduce(or_, [F.contains(text, F.lit(t.lower())) for t in terms], F.lit(False))
+    first = lambda *cases: F.coalesce(*[F.when(test, F.lit(name)) for test, name in cases])
+    for_it = first(*[(on(anchors) & (on(signals) if signals else F.lit(True)), name) for anchors, signals, name in rules.sure])
+    ruled = keep & (score >= KEEP_LEAST) & (F.size(hard) > 0) & (F.size(negative) == 0)
+    against = first((on(rules.never), "drop_obvious_non_finance"), ((F.size(negative) > 0) | (decision_reason == "rule_drop_negative_signal"), "drop_negative_signal"), (decision_reason == "rule_drop_no_financial_anchor", "drop_no_financial_anchor"),
+                    (on(rules.macro) & on(rules.industry) & ~on(rules.finance), "drop_corporate_macro_noise"), (~keep & (score <= 2), "drop_score_le_2"))
+    sure_of = F.when(against.isin("drop_negative_signal", "drop_obvious_non_finance"), 0.95).when(against == "drop_corporate_macro_noise", 0.85).otherwise(0.75)
+    short = (F.length(F.trim(F.coalesce(title, F.lit("")))) < SHORT_TITLE) & (F.length(F.trim(F.coalesce(summary, F.lit("")))) < SHORT_SUMMARY)
+    doubt = F.coalesce(first((short, "review_text_too_short"), (score.between(3, 5), "review_mid_score_ambiguous"), (on(rules.macro) & ~on(rules.finance), "review_generic_macro_only"), (on(rules.regulators) & ~on(rules.actions), "review_regulator_without_action_context"), (on(rules.vague), "review_ambiguous_market_context")), F.lit("review_no_conservative_rule_matched"))
+    pick = lambda label, conf, why: F.struct(F.lit(label).alias("label"), conf.cast("double").alias("confidence"), why.alias("reason"))
+    kept_by = F.coalesce(for_it, F.when(ruled, F.lit("rule_keep")))
+    return (F.when(kept_by.isNotNull() & against.isNotNull(), pick("review", F.lit(0.0), F.concat_ws(":", F.lit("review_conflicting_signals"), kept_by, against)))
+            .when(for_it.isNotNull(), pick("1", F.lit(0.95), for_it)).when(ruled, pick("1", F.when(score >= KEEP_SURE, 0.85).otherwise(0.75), F.lit("rule_keep_score_ge_6_with_hard_match")))
+            .when(against.isNotNull(), pick("0", sure_of, against)).otherwise(pick("review", F.lit(0.0), doubt)))
 
 
 def stratified(df: DataFrame, strata: list[str], key: str, n: int, seed: str = "42") -> DataFrame:

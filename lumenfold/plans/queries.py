@@ -231,7 +231,7 @@ def dedup_title_representative(spark, d):
 
 @query(f"WITH {GROUPS} SELECT cluster_key, count(*) - 1 AS absorbed, coalesce(string_agg(link, ';' ORDER BY doc_id) FILTER (WHERE rnk > 1), '') AS links FROM ranked GROUP BY cluster_key")
 def dedup_absorbed_sources(spark, d):
-    reps = ar.representatives(articles(spark, d))
+    reps = ar.with_absorbed(articles(spark, d))
     return reps.select("cluster_key", F.size("duplicate_sources").cast("long").alias("absorbed"), F.array_join(F.transform("duplicate_sources", lambda x: x["link"]), ";").alias("links"))
 
 
@@ -570,13 +570,23 @@ SELECT batch, id, outcome FROM judged UNION ALL SELECT batch, id, 'missing_id' F
 
 # --- labels and models
 
-@query(f"""WITH {SIGNALS} SELECT doc_id, CASE WHEN keep AND n > 0 AND score < 8 THEN 'review|keep_with_negative' WHEN score >= 8 AND prob <= 0.2 THEN 'review|score_prob_conflict' WHEN score <= 1 AND prob >= 0.8 THEN 'review|score_prob_conflict'
- WHEN score >= 8 AND h > 0 AND n = 0 THEN '1|strong_keep' WHEN score >= 6 AND h > 0 THEN '1|rule_keep' WHEN score >= 5 AND keep THEN '1|rule_keep_low' WHEN n > 0 AND h = 0 THEN '0|strong_drop' WHEN score <= 0 THEN '0|rule_drop'
- WHEN score <= 2 AND h = 0 AND NOT keep THEN '0|rule_drop_low' ELSE 'review|uncertain' END AS auto_label FROM decided""")
+LABELS = lb.LabelRules(sure=((["license"], ["copyright", "software"], "strong_license"), (["worthless", "disgusting"], [], "strong_insult")), never=["clown"], macro=["the", "der"], industry=["that", "und"], finance=["les", "des"], regulators=["que"], actions=["los"], vague=["ing"])
+_has = lambda terms: anywhere("lx", terms)
+_for = "CASE " + " ".join(f"WHEN {_has(a)}{f' AND {_has(s)}' if s else ''} THEN '{r}'" for a, s, r in LABELS.sure) + " END"
+
+
+@query(f"""WITH {SIGNALS}, x0 AS (SELECT *, lower(concat_ws(chr(10), title, description)) AS lx, matched_hard <> '' AS hard, matched_negative <> '' AS neg FROM decided),
+x1 AS (SELECT *, {_for} AS for_it, keep AND score >= 6 AND hard AND NOT neg AS ruled, CASE WHEN {_has(LABELS.never)} THEN 'drop_obvious_non_finance' WHEN neg THEN 'drop_negative_signal'
+ WHEN {_has(LABELS.macro)} AND {_has(LABELS.industry)} AND NOT {_has(LABELS.finance)} THEN 'drop_corporate_macro_noise' WHEN NOT keep AND score <= 2 THEN 'drop_score_le_2' END AS against FROM x0),
+x2 AS (SELECT *, coalesce(for_it, CASE WHEN ruled THEN 'rule_keep' END) AS kept_by FROM x1)
+SELECT doc_id, CASE WHEN kept_by IS NOT NULL AND against IS NOT NULL THEN 'review|0.0|review_conflicting_signals:' || kept_by || ':' || against WHEN for_it IS NOT NULL THEN '1|0.95|' || for_it WHEN ruled THEN CASE WHEN score >= 8 THEN '1|0.85|' ELSE '1|0.75|' END || 'rule_keep_score_ge_6_with_hard_match'
+ WHEN against IN ('drop_negative_signal', 'drop_obvious_non_finance') THEN '0|0.95|' || against WHEN against = 'drop_corporate_macro_noise' THEN '0|0.85|' || against WHEN against IS NOT NULL THEN '0|0.75|' || against
+ ELSE 'review|0.0|' || CASE WHEN length(trim(title)) < 6 AND length(trim(description)) < 12 THEN 'review_text_too_short' WHEN score BETWEEN 3 AND 5 THEN 'review_mid_score_ambiguous' WHEN {_has(LABELS.macro)} AND NOT {_has(LABELS.finance)} THEN 'review_generic_macro_only'
+  WHEN {_has(LABELS.regulators)} AND NOT {_has(LABELS.actions)} THEN 'review_regulator_without_action_context' WHEN {_has(LABELS.vague)} THEN 'review_ambiguous_market_context' ELSE 'review_no_conservative_rule_matched' END END AS auto_label FROM x2""")
 def pseudo_labels(spark, d):
     df = rv.decide(scored(spark, d), P)
-    x = lb.pseudo_label(F.col("score"), F.col("prob"), F.col("matched_hard"), F.col("matched_negative"), F.col("keep"))
-    return df.withColumn("x", x).select("doc_id", F.concat_ws("|", "x.label", "x.reason").alias("auto_label"))
+    x = lb.pseudo_label(LABELS, F.col("title"), F.col("description"), F.col("score"), F.col("matched_hard"), F.col("matched_negative"), F.col("keep"), F.col("decision_reason"))
+    return df.withColumn("x", x).select("doc_id", F.concat_ws("|", "x.label", F.col("x.confidence").cast("string"), "x.reason").alias("auto_label"))
 
 
 @query("""WITH j AS (SELECT CASE WHEN l.quality IS NULL THEN '' ELSE CAST(l.quality AS VARCHAR) END AS label, d.source AS url FROM documents d LEFT JOIN labels l USING (doc_id))
@@ -612,7 +622,7 @@ def disagreements_top(spark, d):
 
 @query()
 def char_ngram_classifier(spark, d):
-    rows = articles(spark, d).select("doc_id", F.concat_ws("\n", "title", "title", "description").alias("text")).join(read(spark, d, "labels").where(F.col("quality").isNotNull()), "doc_id")
+    rows = articles(spark, d).select("doc_id", ar.model_text(F.col("title"), F.col("description")).alias("text")).join(read(spark, d, "labels").where(F.col("quality").isNotNull()), "doc_id")
     train = rows.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 0)
     model = lb.fit_classifier(train, "text", "quality")
     return model.add(rows.select("doc_id", "text", "quality")).select("doc_id", "quality", F.round("prob", 6).alias("prob"))

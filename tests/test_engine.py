@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions import text as tx
 from lumenfold.functions.terms import ko_finance
-from lumenfold.operators import articles, events, labels, ranking, relevance, reports, runs, summaries, tagging
+from lumenfold.operators import articles, event_features, events, labels, ranking, relevance, reports, runs, summaries, tagging
 from lumenfold.sources import tables
 from lumenfold.streaming import windows
 
@@ -83,7 +83,7 @@ def test_event_clusters_match_first_fit_over_all_pairs(spark):
         first = {}
         for r in every:
             first.setdefault(r["norm_title"], r)
-        heads = [{**r, **{c: set(r[c]) for c in events.SETS}} for r in first.values()]
+        heads = [{**r, **{c: set(r[c]) for c in events.SETS if c in r}} for r in first.values()]
         for members in events.first_fit(heads, ("g:",)):
             titles = {heads[m]["norm_title"] for m in members}
             inside = [r["ingest_seq"] for r in every if r["norm_title"] in titles]
@@ -91,6 +91,32 @@ def test_event_clusters_match_first_fit_over_all_pairs(spark):
     assert got == want and len({c for c, _ in want.values()}) < 120
 
 
+def test_korean_event_features(spark):
+    spec = event_features.korean()
+    rows = [("삼성생명 2026년 2분기 킥스 비율 210.50% 기록", "", "보험"), ("보험사 킥스 비율 200%", "", "보험"), ("1분기 대비 개선, 국민은행 6월말 연체율 0.5%", "", "은행"), ("연체율 0.3%p 상승", "", "은행"),
+            ("서울특별시 불법사금융 집중단속", "전통시장 상인 보호", "대부"), ("업비트 수수료 인하", "", "디지털자산"), ("한국은행 기준금리 동결", "", "거시·시장"), ("오늘의 은행 단신", "", "은행"), ("저축은행 현장점검 착수", "", "저축은행")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "ingest_seq long, title string, description string, sector string")
+    got = {r.ingest_seq: r for r in event_features.with_features(df, spec).collect()}
+    assert got[0].reported == ["capital_adequacy_ratio=210.5"] and got[0].subjects == ["삼성생명"] and got[0].period == [2026, 6]
+    assert got[1].subjects == ["보험사"] and got[1].period == [None, None] and got[2].subjects == ["국민은행"] and got[2].period == [None, 6]
+    assert got[3].metrics == ["delinquency_rate"] and got[3].reported == [] and got[3].subjects == []
+    assert got[4].fingerprint == "enforcement:서울시:small_business" and got[4].strict and got[4].enforces
+    assert [got[k].fingerprint for k in (5, 6, 8)] == ["digital:upbit:fee", "macro:bok_base_rate", "rule:savings_bank_inspection"] and got[7].low_value and "국민은행" in got[2].entities
+
+
+def test_lending_clusters_need_two_supporters(spark):
+    base = {"numbers": set(), "entities": set(), "issue_terms": {"loan_ad"}, "fingerprint": None, "low_value": False, "metrics": set(), "subjects": set(), "period": None, "sector": "대부", "strict": True}
+    row = lambda t, words: {**base, "norm_title": t, "tokens": set(t.split()), "words": words, "headline_terms": {"loan_ad"}, "description_words": {"x"}}
+    a, b, c = row("aaaa bbbb cccc dddd", {1, 2, 3, 4}), row("aaaa bbbb eeee ffff", {1, 2, 3, 5}), row("zzzz yyyy xxxx wwww", {3, 5, 6})
+    assert events.same_event(b, a) and not events.same_event(c, a)
+    bridge = {**c, "words": {1, 2, 3, 5, 6}, "description_words": set()}
+    assert events.same_event(bridge, b) and not events.same_event(bridge, a)
+    lone = [a, b, bridge]
+    assert events.first_fit(lone) == [[0, 1], [2]] and events.first_fit([{**r, "strict": False} for r in lone]) == [[0, 1, 2]]
+    backed = [{**r, "description_words": {"p", "q"}} for r in lone]
+    assert events.first_fit(backed) == [[0, 1, 2]]
+
+
 def test_near_titles_in_other_sectors_are_one_event(spark):
     a, b = "internationalization", "internationalisation"
     base = {"tokens": {1}, "numbers": set(), "entities": set(), "issue_terms": set(), "fingerprint": None, "low_value": False, "metrics": set(), "subjects": set(), "period": None}
