@@ -29,11 +29,13 @@ def fresh(df: DataFrame, name: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the session's ``spark.checkpoint.dir``; only where that is unset (tests, local mode) is a
-    folder under /tmp/checkpoints chosen and written back to the session.
+    It is the session's ``spark.checkpoint.dir``; only where that is unset in local mode (tests) is a
+    folder under /tmp/checkpoints chosen and written back to the session. On a cluster it must be set.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file:///tmp/checkpoints/{os.getpid()}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found

@@ -179,8 +179,8 @@ def parse(data: bytes, seeks: bool = False) -> dict:
     return out
 
 
-def features(stored: bytes) -> str:
-    p = parse(stored, seeks=True)
+def features(p: dict) -> str:
+    """The features of a parsed stream as one text."""
     offsets = struct.pack(f"<{len(p['seeks'])}Q", *p["seeks"])
     return f"mpeg1-l3;rate={p['rate']};frames={p['frames']};samples={p['samples']};ms={p['duration_ms']:.3f};crc_ok={p['protected'] - p['bad_crc']};vbr={p['vbr_frames']};skipped={p['skipped']};seek_crc={zlib.crc32(offsets)};toc_crc={zlib.crc32(p['toc'] or b'')};sound={int(p['sound'])}"
 
@@ -203,10 +203,11 @@ def digest(docs: DataFrame) -> DataFrame:
             for text in pdf["text"]:
                 payload, n = padded(text if isinstance(text, str) else None)
                 stored = encode(payload)
-                back = parse(stored)["payload"]
+                parsed = parse(stored, seeks=True)
+                back = parsed["payload"]
                 if back != payload:
                     raise ValueError("the stored payload differs")
-                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), features(stored)))
+                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), features(parsed)))
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
