@@ -31,22 +31,26 @@ Config = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
 def best_config(value: np.ndarray) -> tuple[Config, float]:
-    """The configuration of most value, each length any number of times; value[k] is that of length k, value[0] unused."""
-    capacity = len(value) - 1
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    v = value[1:]
-    for c in range(1, capacity + 1):
-        gain = v[:c] + best[c - 1 :: -1]
-        k = gain.argmax()
-        if gain[k] > best[c - 1]:
-            best[c], pick[c] = gain[k], k + 1
-        else:
-            best[c], pick[c] = best[c - 1], 0
+    """The configuration of most value, each length any number of times; value[k] is that of length k, value[0] unused.
+
+    A length is offered once, twice, four times and so on, which makes up any number of times, each offer one pass over the capacities."""
+    capacity, at = len(value) - 1, np.flatnonzero(value[1:] > 0) + 1
+    best = np.zeros(capacity + 1)
+    for k in at.tolist():
+        times = 1
+        while times * k <= capacity:
+            np.maximum(best[times * k :], best[: capacity + 1 - times * k] + times * value[k], out=best[times * k :])
+            times *= 2
     found, c = Counter(), capacity
     while c > 0:
-        if pick[c]:
-            found[int(pick[c])] += 1
-            c -= int(pick[c])
+        fits = at[at <= c]
+        if not len(fits):
+            break
+        made = value[fits] + best[c - fits]
+        k = int(fits[made.argmax()])
+        if made.max() >= best[c] * (1 - 1e-12):
+            found[k] += 1
+            c -= k
         else:
             c -= 1
     return tuple(sorted(found.items(), reverse=True)), float(best[capacity])
