@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..sources.tables import checkpointed
 
 
 @dataclass(frozen=True)
@@ -105,46 +107,164 @@ def disagreements(df: DataFrame, prob: str, label: str, confidence: str, n: int,
     return df.where(wrong).withColumn("gap", F.round(F.abs(F.col(prob) - threshold), 6)).orderBy(F.desc(confidence), F.desc("gap"), "doc_id").limit(n)
 
 
-def char_ngrams(text: Column, low: int = 2, high: int = 5) -> Column:
+def char_ngrams(text: str | None, low: int = 2, high: int = 5) -> list[str]:
     """Character n-grams of the lower-case text with white space collapsed."""
-    t = tx.collapse(F.lower(F.coalesce(text, F.lit(""))))
-    parts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))), lambda i, n=n: F.substr(t, i, F.lit(n))) for n in range(low, high + 1)]
-    return F.filter(F.concat(*parts), lambda g: F.length(g) >= low)
+    t = " ".join((text or "").lower().split())
+    return [t[i : i + n] for n in range(low, high + 1) for i in range(len(t) - n + 1)]
+
+
+def vocabulary(texts: DataFrame, size: int, least_docs: int = 1) -> DataFrame:
+    """(g, n, d) of the ``size`` most frequent grams of the column ``text`` that at least ``least_docs`` rows hold: how often, in how many rows.
+
+    Ties go to the lesser gram. Counts are combined within Arrow batches and tasks before they are shuffled. A histogram of the
+    counts by sixteenths of a power of two, a thousand rows at most, tells above which class all grams are in; only the class at
+    the border is sorted, for the places that are left."""
+
+    def count(batches):
+        for pdf in batches:
+            n, d = Counter(), Counter()
+            for text in pdf["text"]:
+                found = Counter(char_ngrams(text))
+                n.update(found)
+                d.update(found.keys())
+            yield pd.DataFrame({"g": list(n), "n": list(n.values()), "d": [d[g] for g in n]})
+
+    counts = texts.select("text").mapInPandas(count, "g string, n long, d long").groupBy("g").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).where(F.col("d") >= least_docs)
+    counts = checkpointed(counts.withColumn("c", F.floor(F.log2("n") * 16)))
+    sure, border, left = None, None, size
+    for r in sorted(counts.groupBy("c").count().collect(), key=lambda r: -r["c"]):
+        if r["count"] > left:
+            border = r["c"]
+            break
+        sure, left = r["c"], left - r["count"]
+    found = counts.where(F.col("c") >= sure) if sure is not None else counts.limit(0)
+    if border is not None:
+        found = found.unionByName(counts.where(F.col("c") == border).orderBy(F.desc("n"), "g").limit(left))
+    return found.select("g", "n", "d")
 
 
 class CharModel:
-    """Probabilities of class 1 from character n-grams; made by ``fit_classifier``, kept as a Spark pipeline."""
+    """Probabilities of class 1 from character n-grams: a weight per gram of the vocabulary over unit tf-idf vectors; made by ``fit_classifier``."""
 
-    def __init__(self, pipeline: PipelineModel):
-        self.pipeline = pipeline
+    def __init__(self, grams: list[str], idf: np.ndarray, weights: np.ndarray, intercept: float):
+        self.place, self.idf, self.weights, self.intercept = {g: k for k, g in enumerate(grams)}, idf, weights, intercept
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(places, values) of a text's unit tf-idf vector."""
+        found = Counter(k for k in map(self.place.get, char_ngrams(text)) if k is not None)
+        at = np.array(sorted(found), dtype=np.int32)
+        value = np.array([found[k] for k in at.tolist()], dtype=float) * self.idf[at]
+        return at, value / (np.sqrt(value @ value) or 1.0)
 
     def add(self, rows: DataFrame, text: str = "text") -> DataFrame:
         """rows with ``prob``."""
-        out = self.pipeline.transform(rows.select("*", char_ngrams(F.col(text)).alias("_g")))
-        return out.withColumn("prob", vector_to_array("probability")[1]).select(*rows.columns, "prob")
+        model = rows.sparkSession.sparkContext.broadcast(self)
+
+        def prob(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            m = model.value
+            for s in texts:
+                z = [m.intercept + float(m.weights[at] @ value) for at, value in map(m.vector, s)]
+                yield pd.Series(1 / (1 + np.exp(-np.array(z, dtype=float))))
+
+        return rows.withColumn("prob", F.pandas_udf(prob, "double")(F.col(text)))
 
-    def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(g, k, float(self.idf[k]), float(self.weights[k])) for g, k in self.place.items()] + [(None, -1, 0.0, float(self.intercept))]
+        spark.createDataFrame(rows, "g string, k int, idf double, weight double").coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(cls, path: str) -> CharModel:
-        return cls(PipelineModel.load(path))
+    def load(cls, spark: SparkSession, path: str) -> CharModel:
+        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["k"])  # the vocabulary, which has a bound
+        return cls([r["g"] for r in rows[1:]], np.array([r["idf"] for r in rows[1:]]), np.array([r["weight"] for r in rows[1:]]), rows[0]["weight"])
+
+
+TOLERANCE = 1e-6  # of the greatest slope of the mean loss, at which fitting ends
+
+
+def minimise(value_of, x: np.ndarray, steps: int, tolerance: float = TOLERANCE, memory: int = 10) -> tuple[np.ndarray, int]:
+    """(x, steps taken): limited-memory quasi-Newton descent with halved steps, until no slope exceeds ``tolerance``. value_of(x) gives value and slopes."""
+    value, slope = value_of(x)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for step in range(steps):
+        if np.abs(slope).max() <= tolerance:
+            return x, step
+        way, told = slope.copy(), []
+        for dx, dg in reversed(past):
+            told.append((dx @ way) / (dx @ dg))
+            way -= told[-1] * dg
+        if past:
+            dx, dg = past[-1]
+            way *= (dx @ dg) / (dg @ dg)
+        for (dx, dg), a in zip(past, reversed(told), strict=True):
+            way += (a - (dg @ way) / (dx @ dg)) * dx
+        size = 1.0 if past else 1.0 / max(1.0, float(np.linalg.norm(slope)))
+        while True:
+            new = x - size * way
+            v, g = value_of(new)
+            if v <= value - 1e-4 * size * float(slope @ way) or size < 1e-10:
+                break
+            size /= 2
+        if size < 1e-10:
+            return x, step  # no step lowers the value any more
+        if (new - x) @ (g - slope) > 1e-14:
+            past = [*past, (new - x, g - slope)][-memory:]
+        x, value, slope = new, v, g
+    return x, steps
 
 
 def fit_classifier(df: DataFrame, text: str, label: str, weight: str | None = None, features: int = 50_000, max_iter: int = 2000, least_docs: int = 1) -> CharModel:
-    """Character 2- to 5-grams, smoothed tf-idf of unit length, logistic regression balanced over the classes; iterations end where it converges."""
-    grams = df.select("*", char_ngrams(F.col(text)).alias("_g"))
-    counts = CountVectorizer(inputCol="_g", outputCol="_tf", vocabSize=features, minDF=float(least_docs)).fit(grams)
-    tf = counts.transform(grams)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf)
-    scale = ElementwiseProduct(scalingVec=Vectors.dense([float(x) + 1.0 for x in idf.idf.toArray()]), inputCol="_tf", outputCol="_x0")
-    unit = Normalizer(p=2.0, inputCol="_x0", outputCol="_x")
-    by = {int(r[label]): r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}  # two classes
-    total = sum(by.values())
-    balance = F.when(F.col(label) == 1, total / (2 * max(1, by.get(1, 0)))).otherwise(total / (2 * max(1, by.get(0, 0))))
-    ready = unit.transform(scale.transform(tf)).withColumn("_w", balance * (F.col(weight) if weight else F.lit(1.0)))
-    fitted = LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", regParam=1.0 / max(1, total), elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(ready)
-    return CharModel(PipelineModel([counts, scale, unit, fitted]))
+    """Character 2- to 5-grams, smoothed tf-idf of unit length, logistic regression balanced over the classes and penalised by half the squared weights.
+
+    Sparse vectors are written once; every step sums loss and slopes over that table within tasks, and one number per gram reaches the
+    driver. Steps end where no slope of the mean loss exceeds ``TOLERANCE``, or after ``max_iter``."""
+    spark = df.sparkSession
+    rows = df.select(F.col(text).alias("text"), F.col(label).cast("double").alias("y"), (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
+    by = {int(r["y"]): (r["n"], r["w"]) for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum("w").alias("w")).collect()}  # two classes
+    total = sum(n for n, _ in by.values())
+    found = sorted(vocabulary(rows, features, least_docs).collect(), key=lambda r: (-r["n"], r["g"]))
+    width = len(found)
+    empty = CharModel([r["g"] for r in found], np.array([math.log((1 + total) / (1 + r["d"])) + 1 for r in found]), np.zeros(width), 0.0)
+    balance = {y: total / (2 * n) for y, (n, _) in by.items()}
+    mass = sum(balance[y] * w for y, (_, w) in by.items()) or 1.0
+    shared = spark.sparkContext.broadcast((empty, balance))
+
+    def vectors(batches):
+        model, scale = shared.value
+        for b in batches:
+            made = [model.vector(t) for t in b.column("text").to_pylist()]
+            y = b.column("y").to_numpy()
+            w = b.column("w").to_numpy() * np.array([scale[int(v)] for v in y])
+            ends = pa.array(np.cumsum([0, *(len(at) for at, _ in made)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, kind), *(m[k] for m in made)]).astype(kind))) for k, kind in ((0, np.int32), (1, np.float64))]
+            yield pa.RecordBatch.from_arrays([pa.array(y), pa.array(w), *lists], ["y", "w", "at", "value"])
+
+    table = checkpointed(rows.mapInArrow(vectors, "y double, w double, at array<int>, value array<double>"))
+
+    def value_of(x: np.ndarray) -> tuple[float, np.ndarray]:
+        now = spark.sparkContext.broadcast(x)
+
+        def part(batches):
+            x, out = now.value, np.zeros(width + 2)
+            for b in batches:
+                lists, y, w = b.column("at"), b.column("y").to_numpy(), b.column("w").to_numpy()
+                row = np.repeat(np.arange(len(b)), np.diff(lists.offsets.to_numpy()))
+                at, value = lists.flatten().to_numpy(), b.column("value").flatten().to_numpy()
+                z = x[width] + np.bincount(row, weights=x[at] * value, minlength=len(b))
+                off = w * (1 / (1 + np.exp(-z)) - y)
+                out[:width] += np.bincount(at, weights=off[row] * value, minlength=width)
+                out[width:] += off.sum(), float(w @ (np.logaddexp(0, z) - y * z))
+            used = np.flatnonzero(out)
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(out[used])], ["k", "v"])
+
+        got = table.mapInArrow(part, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas()
+        now.destroy()
+        every = np.zeros(width + 2)
+        every[got["k"].to_numpy()] = got["v"].to_numpy()
+        pull = np.append(x[:width], 0.0)
+        return (every[-1] + float(pull @ pull) / 2) / mass, (every[:-1] + pull) / mass
+
+    x, _ = minimise(value_of, np.zeros(width + 1), max_iter)
+    return CharModel(list(empty.place), empty.idf, x[:width], float(x[width]))
 
 
 def usable(rows: DataFrame, label: str = "auto_label", text: str = "text") -> DataFrame:
@@ -222,5 +342,5 @@ def refresh(spark, files: DataFrame, rows_of, model_path: str, least_files: int
     if not why:
         judged = fit_classifier(parts.where("part = 'train'"), "text", "y", "train_weight", max_iter=max_iter).add(parts.where("part = 'test'"))
         metrics = threshold_metrics(judged, "prob", "y", (0.35, 0.5, 0.6, threshold, 0.7, 0.8))
-    fit_classifier(used, "text", "y", "train_weight", max_iter=max_iter).save(model_path)
+    fit_classifier(used, "text", "y", "train_weight", max_iter=max_iter).save(spark, model_path)
     return "refreshed", why, metrics

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from ..operators import relevance as rv
 from ..operators import reports as rp
 from ..operators import summaries as sm
 from ..operators import tagging as tg
+from ..sources import paged
 from ..sources.tables import checkpoint_root, read
+from ..streaming import cache as cc
 from ..streaming import windows as wn
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,6 +214,18 @@ def paged_scan_cap(spark, d):
     return ar.newest_per_query(read(spark, d, "events"), "event_type", "ts", "event_id", 100).select("event_type", "event_id", "ts")
 
 
+@query(f"""WITH {ART}, z AS (SELECT max(pub_date) AS last FROM art), r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY pub_date DESC, doc_id) - 1 AS place FROM art)
+SELECT query, link, pub_date, CAST(place // 100 * 100 + 1 AS INTEGER) AS start FROM r, z WHERE place < 500 AND pub_date >= last - INTERVAL 8 HOUR AND pub_date < last - INTERVAL 1 HOUR""")
+def paged_scan(spark, d):
+    """Articles as a search service would answer them, read back page by page within a window."""
+    found = articles(spark, d)
+    folder = _new_folder(spark, "pages")
+    paged.record(found.select("doc_id", "query", "pub_date", "title", "description", "link", F.lit(None).cast("string").alias("originallink")), folder, 100, "doc_id")
+    last = found.agg(F.max("pub_date")).first()[0]
+    rows = paged.search(spark, folder, last - dt.timedelta(hours=8), last - dt.timedelta(hours=1))
+    return rows.select("query", "link", F.col("pub_date").cast("timestamp_ntz").alias("pub_date"), "start")
+
+
 _FETCH = ["loan", "bank", "card", "loan", "fund", "bank", "bond"]
 
 
@@ -651,24 +666,44 @@ def overlapping_runs(spark, d):
     return out.select(F.col("run_end").cast("timestamp_ntz").alias("run_end"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query()
-def overlapping_runs_stream(spark, d):
-    import uuid
+def _new_folder(spark, tag: str) -> str:
+    return f"{checkpoint_root(spark)}/{tag}-{uuid.uuid4().hex[:8]}"
 
-    root = f"{checkpoint_root(spark)}/runs-{uuid.uuid4().hex[:8]}"
-    schema = read(spark, d, "events").schema
-    name = "events.parquet"
+
+def _stream_path(spark, d: str, name: str) -> str:
     source = f"{d}/{name}"
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
     if fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(fs).isFile():
         source = f"{d}/{name.replace('.', '[.]')}"  # a glob: the stream source lists it like a folder
-    wn.stream_runs(spark, source, schema, f"{root}/state", f"{root}/out")
+    return source
+
+
+@query()
+def overlapping_runs_stream(spark, d):
+    root = _new_folder(spark, "runs")
+    wn.stream_runs(spark, _stream_path(spark, d, "events.parquet"), read(spark, d, "events").schema, f"{root}/state", f"{root}/out")
     return wn.current(spark, f"{root}/out").select(F.col("run_end").cast("timestamp_ntz").alias("run_end"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 ORACLE_SQL["overlapping_runs_stream"] = ORACLE_SQL["overlapping_runs"]
 
 
+CACHE_TTL, CACHE_CAP = dt.timedelta(days=14), 500
+
+
+@query(f"""WITH e AS (SELECT user_id || '/' || event_type AS key, ts, props AS value FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL),
+k AS (SELECT key, max(struct_pack(ts := ts, value := coalesce(value, ''))) AS x FROM e GROUP BY key), z AS (SELECT max(ts) AS now FROM e)
+SELECT key, x.ts AS ts, x.value AS value FROM k, z WHERE x.ts > now - INTERVAL {CACHE_TTL.days} DAY ORDER BY x.ts DESC, key LIMIT {CACHE_CAP}""")
+def keyed_cache_state(spark, d):
+    """The newest entry per user and kind of event within two weeks of the last, at most CACHE_CAP, kept as a stream's state."""
+    events = read(spark, d, "events")
+    stream = spark.readStream.schema(events.schema).parquet(_stream_path(spark, d, "events.parquet"))
+    state = _new_folder(spark, "cache")
+    cc.feed(stream.select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("props").alias("value")).where("user_id is not null and event_type is not null"), state, CACHE_TTL, CACHE_CAP)
+    now = events.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    return cc.current(spark, state, now, CACHE_TTL, CACHE_CAP).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query(f"WITH {TAGGED} SELECT line FROM (SELECT '# Report' AS line UNION ALL SELECT DISTINCT '## ' || sector FROM top)")
 def markdown_headings(spark, d):
     return rp.markdown(tagged(spark, d), "Report").where("item_no = 0").select("line")

@@ -226,7 +226,7 @@ def test_models(spark, tmp_path):
     assert labels.refresh(spark, names, take, path, least_files=3)[1] == "insufficient_eligible_candidate_files" and labels.refresh(spark, names, take, path)[1] == "too_few_positive"
     status, _, metrics = labels.refresh(spark, names, take, path, least_class=20, max_iter=50)
     assert status == "refreshed" and metrics.where("threshold = 0.5").first().f1 > 0.9
-    prob = {r.doc_id: r.prob for r in labels.CharModel.load(path).add(used).collect()}
+    prob = {r.doc_id: r.prob for r in labels.CharModel.load(spark, path).add(used).collect()}
     assert all((p > 0.5) == bool(k % 2) for k, p in prob.items())
     with pytest.raises(ValueError):
         labels.manual_model(used.limit(10), label="y")

@@ -7,7 +7,6 @@ import pytest
 from lumenfold.plans import queries as q
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"char_ngram_classifier"}
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +34,7 @@ def test_equals_sql(spark, data, duck, name):
     assert canon(df.collect(), df.columns) == canon(found.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", [n for n in q.QUERIES if n not in q.ORACLE_SQL and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in q.QUERIES if n not in q.ORACLE_SQL])
 def test_gives_rows(spark, data, name):
     assert q.QUERIES[name](spark, data).count() > 0
 
