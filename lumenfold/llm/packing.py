@@ -3,12 +3,13 @@
 Only lengths matter to a packing, so the problem is the histogram of at most ``capacity`` lengths, however
 many documents there are. A configuration is a multiset of lengths that fits one sequence. The covering
 program over all configurations is solved by multiplicative weights over lengths; knapsack dynamic programs price
-configurations and give dual bounds. The solution is rounded down, the rest is solved again, and best fit packs
+configurations and give dual bounds. The solution is rounded, the rest is solved again, and best fit packs
 what remains. Pieces then find their place by their rank among pieces of equal length.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import struct
 import zlib
@@ -23,103 +24,75 @@ from .common import Scratch
 from .tokens import ByteIds
 
 TOKENIZER, END_ID, CAPACITY = "byte_bpe_50k.json", 2, 1024
-ETA, GAP, WORK = 0.01, 2e-4, 400_000  # of the program: rate, gap to end at, steps times lengths
-STEPS, RATE, POWER = (1.0, 0.5), 0.3, 1.1  # of one sweep of prices
+RATES = (0.1, 0.05, 0.02, 0.01, 0.005)  # of the program
+STEPS, AGAIN = 30_000, 0.7  # steps after which no finer rate is tried; the share of items left up to which they are solved again
 SALT_ROWS = 20_000
 
 Config = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
-def best_config(value: np.ndarray) -> tuple[Config, float]:
-    """The configuration of most value, each length any number of times; value[k] is that of length k, value[0] unused.
-
-    A length is offered once, twice, four times and so on, which makes up any number of times, each offer one pass over the capacities."""
-    capacity, at = len(value) - 1, np.flatnonzero(value[1:] > 0) + 1
-    best = np.zeros(capacity + 1)
-    for k in at.tolist():
-        times = 1
-        while times * k <= capacity:
-            np.maximum(best[times * k :], best[: capacity + 1 - times * k] + times * value[k], out=best[times * k :])
-            times *= 2
-    found, c = Counter(), capacity
-    while c > 0:
-        fits = at[at <= c]
-        if not len(fits):
-            break
-        made = value[fits] + best[c - fits]
-        k = int(fits[made.argmax()])
-        if made.max() >= best[c] * (1 - 1e-12):
-            found[k] += 1
-            c -= k
-        else:
-            c -= 1
-    return tuple(sorted(found.items(), reverse=True)), float(best[capacity])
-
-
-def program(demand: np.ndarray) -> tuple[dict[Config, float], float]:
-    """(amounts of configurations covering the demand, a lower bound of the program's value).
-
-    Multiplicative weights: a length's weight falls by exp(-ETA) each time its whole demand is covered once more. Each step adds
-    the configuration of most weight, as much as covers one of its lengths once, and at last all amounts are divided by the least
-    coverage. Configurations are found by the knapsack program and kept in a pool; between two knapsacks the pool's best is
-    taken. Weights w give the dual bound demand.w / (value of the best configuration); the best bound counts, and steps end when
-    the amounts come within GAP of it. Steps are bounded by WORK / lengths; with very many lengths not all may be covered by then, and no
-    amounts are returned: one sweep of prices (``solve``) stands for the program there.
-    """
-    at = np.flatnonzero(demand[1:]) + 1
-    if not len(at):
-        return {}, 0.0
-    d, capacity = demand[at].astype(float), len(demand) - 1
-    w0, cover = at / capacity, np.zeros(len(at))
-    lower, best, best_x = float(w0 @ d), np.inf, {}
-    pool: list[Config] = []
-    amount, table = np.zeros(0), np.zeros((0, len(at)))
-    place = {int(n): j for j, n in enumerate(at)}
-    value, every, due = np.zeros(capacity + 1), 1, 0
-    for step in range(min(20_000, WORK // max(1, len(at)))):
-        w = w0 * np.exp(-ETA * (cover - cover.min()))
-        if look := step >= due:
-            value[at] = w
-            config, most = best_config(value)
-            lower = max(lower, float(w @ d) / most)
-            every = min(64, 2 * every) if config in pool else 4
-            due = step + every
-            if config not in pool:
-                pool.append(config)
-                row = np.zeros(len(at))
-                row[[place[k] for k, _ in config]] = [a for _, a in config]
-                table, amount = np.vstack([table, row]), np.append(amount, 0.0)
-        j = int((table @ w).argmax())
-        on = table[j] > 0
-        more = float((d[on] / table[j, on]).min())
-        amount[j] += more
-        cover += more * table[j] / d
-        if look and cover.min() > 0 and amount.sum() / cover.min() < best:
-            best = float(amount.sum() / cover.min())
-            best_x = {c: float(v / cover.min()) for c, v in zip(pool, amount, strict=True) if v > 0}
-            if best <= lower * (1 + GAP):
-                break
-    return best_x, lower
-
-
-def solve(demand: np.ndarray, share: float = STEPS[-1]) -> dict[Config, float]:
-    """Fractional amounts of configurations that together hold the demand (index = length) exactly: one sweep of the same weights.
-
-    A length's price starts at a power of the length just above 1, so long lengths find partners while there
-    are short ones, and falls exponentially with the share of its demand already covered. Each round buys the
-    best configuration until it has covered ``share`` of the demand of its scarcest length; a covered length costs nothing.
+class Knapsack:
+    """The most value that fits each capacity when value[k] is that of length k, any number of times; value[0] is unused."""
+
+    def __init__(self, value: np.ndarray):
+        capacity, each = len(value) - 1, value[1:]
+        best, taken = np.zeros(capacity + 1), [0] * (capacity + 1)
+        for c in range(1, capacity + 1):
+            made = each[:c] + best[c - 1 :: -1]
+            k = int(made.argmax())
+            best[c], taken[c] = (made[k], k + 1) if made[k] > best[c - 1] else (best[c - 1], 0)
+        self.best, self.taken = best, taken
+
+    def config(self, room: int) -> Counter:
+        """The lengths of the best filling of that room."""
+        out: Counter = Counter()
+        while room > 0:
+            k = self.taken[room]
+            if k:
+                out[k] += 1
+            room -= k or 1
+        return out
+
+    def around(self, k: int) -> Config:
+        """The best configuration of those that hold length k."""
+        found = self.config(len(self.taken) - 1 - k)
+        found[k] += 1
+        return tuple(sorted(found.items(), reverse=True))
+
+
+def program(demand: np.ndarray, rate: float = RATES[1]) -> tuple[dict[Config, float], float, int]:
+    """(amounts of configurations that cover the demand, a lower bound of the program's value, steps), by multiplicative weights.
+
+    A length's weight falls by exp(-rate) each time its whole demand is covered once more, and is 0 once it is covered 2 / rate times.
+    A step adds as much of a configuration as covers one of its lengths once; every configuration within a share ``rate`` of the
+    greatest weight may be taken. The greatest weight comes from a knapsack over all lengths, which gives the best
+    configuration around every length at once; weights only fall, so it stands until none of the configurations known is near it. Weights w
+    give the dual bound demand.w / (greatest weight of a configuration), and the best bound counts. At last all amounts are divided
+    by the least coverage. It ends when every length is covered, whatever their number.
     """
-    b, left = demand.astype(float), demand.astype(float)
-    left[0] = 0
-    base = (np.arange(len(b)) / (len(b) - 1)) ** POWER
-    x: dict[Config, float] = {}
-    while left.any():
-        config, _ = best_config(np.where(left > 0, base * np.exp(RATE * (left / np.maximum(b, 1) - 1)), 0))
-        step = min(min(left[k] / a for k, a in config), share * min(b[k] / a for k, a in config))
-        x[config] = x.get(config, 0) + step
-        for k, a in config:
-            left[k] = 0 if left[k] - a * step < 1e-6 else left[k] - a * step
-    return x
+    at = (np.flatnonzero(demand[1:]) + 1).tolist()
+    capacity, target = len(demand) - 1, 2 / rate
+    d = {k: float(demand[k]) for k in at}
+    w, cover, amount, pool, lower, steps = {k: k / capacity for k in at}, dict.fromkeys(at, 0.0), Counter(), {}, 0.0, 0
+    value = np.zeros(capacity + 1)
+    while any(w.values()):
+        value[at] = [w[k] for k in at]
+        sack = Knapsack(value)
+        most = float(sack.best[capacity])
+        lower = max(lower, sum(d[k] * w[k] for k in at) / most)
+        least = most * (1 - rate)
+        ks = np.array(at)
+        for k in ks[(value[ks] > 0) & (value[ks] + sack.best[capacity - ks] >= least)].tolist():
+            pool[sack.around(k)] = None
+        for config in pool:
+            while sum(w[k] * a for k, a in config) >= least:
+                step = min(d[k] / a for k, a in config if w[k] > 0)
+                amount[config] += step
+                steps += 1
+                for k, a in config:
+                    cover[k] += a * step / d[k]
+                    w[k] = w[k] * math.exp(-rate * a * step / d[k]) if cover[k] < target else 0.0
+    return {c: x / min(cover.values()) for c, x in amount.items()}, lower, steps
 
 
 def _fill(left: np.ndarray, room: int) -> list[int]:
@@ -162,11 +135,13 @@ def best_fit(left: np.ndarray) -> list[tuple[Config, int]]:
     return out
 
 
-def floors(x: dict[Config, float], left: np.ndarray, fullest: int = 0) -> list[tuple[Config, int]]:
-    """The whole parts of the amounts of all configurations that fill at least ``fullest``, largest first, as far as items are left; left loses them."""
+def whole_parts(x: dict[Config, float], left: np.ndarray, up: bool = False) -> list[tuple[Config, int]]:
+    """The amounts rounded down, or up for configurations that fill their sequence, largest first, as far as items are left; left loses them."""
     out, full = [], lambda c: sum(k * a for k, a in c)
-    for config, n in sorted(x.items(), key=lambda i: (-full(i[0]) if fullest else 0, -i[1], i[0])):
-        times = min(int(n + 1e-9), *(int(left[k]) // a for k, a in config)) if full(config) >= fullest else 0
+    for config, n in sorted(x.items(), key=lambda i: (-full(i[0]) if up else 0, -i[1], i[0])):
+        if up and full(config) < len(left) - 1:
+            break
+        times = min(math.ceil(n - 1e-9) if up else int(n + 1e-9), *(int(left[k]) // a for k, a in config))
         if times > 0:
             out.append((config, times))
             for k, a in config:
@@ -175,28 +150,29 @@ def floors(x: dict[Config, float], left: np.ndarray, fullest: int = 0) -> list[t
 
 
 def rounded(demand: np.ndarray) -> tuple[list[tuple[Config, int]], float]:
-    """(whole numbers of configurations holding every item, a lower bound): the best of several roundings of the program.
+    """(whole numbers of configurations holding every item, a lower bound): the best rounding of the programs of several rates.
 
-    The program's amounts are floored, and what is left is solved again as a smaller program, while that still gives
-    whole configurations; best fit holds the rest. One sweep of prices is rounded beside it, by filled configurations first."""
+    A program's amounts are rounded down; what is left is solved again as a smaller program while that still gives many whole
+    configurations, or full configurations are rounded up; best fit holds the rest. Rates fall until a rounding reaches the bound or STEPS
+    have been taken; the first program is always whole."""
     whole = demand.astype(np.int64).copy()
     whole[0] = 0
-    x, lower = program(whole)
-    made = []
-    left, out = whole.copy(), []
-    while x:
-        before = left.sum()
-        out += floors(x, left)
-        if left.sum() > 0.7 * before or not left.any():
+    best, lower, taken = [], 0.0, 0
+    for rate in RATES if whole.any() else ():
+        x, bound, steps = program(whole, rate)
+        lower, taken = max(lower, bound), taken + steps
+        left, again, made = whole.copy(), x, []
+        while again:
+            before = left.sum()
+            made += whole_parts(again, left)
+            again = program(left, rate)[0] if left.any() and left.sum() <= AGAIN * before else {}
+        up, filled = whole.copy(), []
+        for rounding in (False, True):
+            filled += whole_parts(x, up, rounding)
+        best = min([m for m in (best, made + best_fit(left), filled + best_fit(up)) if m], key=lambda m: sum(n for _, n in m))
+        if sum(n for _, n in best) <= math.ceil(lower - 1e-6) or taken > STEPS:
             break
-        x, _ = program(left)
-    made.append(out + best_fit(left))
-    for share in STEPS:
-        x = solve(whole, share)
-        for fullest in (0, len(whole) - 3):
-            left = whole.copy()
-            made.append(floors(x, left, fullest) + best_fit(left))
-    return min(made, key=lambda m: sum(n for _, n in m)), lower
+    return best, lower
 
 
 class Plan:

@@ -173,6 +173,39 @@ def test_program_beats_or_meets_best_fit(seed):
     assert plan.sequences <= greedy * 1.005 + 2
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_program_solves_the_given_tables(spark, sf):
+    """The amounts come from the weights themselves, on histograms of many distinct lengths, and cover the demand near the dual bound."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").repartition(8)
+    demand = np.zeros(1025, dtype=np.int64)
+    for r in packing.pieces(docs).groupBy("length").count().collect():
+        demand[r["length"]] = r["count"]
+    x, lower, _ = packing.program(demand)
+    held = np.zeros(1025)
+    for config, n in x.items():
+        assert n > 0 and sum(k * a for k, a in config) <= 1024
+        for k, a in config:
+            held[k] += a * n
+    assert (held >= demand - 1e-6).all() and (demand > 0).sum() > 500 and len(x) > 500
+    assert demand @ np.arange(1025) / 1024 - 1e-6 <= lower <= sum(x.values()) <= 1.02 * lower
+    made, bound = packing.rounded(demand)
+    assert bound <= sum(n for _, n in made) <= {"sf0.01": 966, "sf0.1": 9879}[sf]
+
+
+def test_knapsack_matches_brute_force():
+    r = np.random.default_rng(2)
+    for _ in range(30):
+        value = np.where(r.random(31) < 0.3, r.random(31), 0.0)
+        best = [0.0] * 31
+        for c in range(1, 31):
+            best[c] = max([best[c - 1], *(value[k] + best[c - k] for k in range(1, c + 1))])
+        sack = packing.Knapsack(value)
+        assert np.allclose(sack.best, best)
+        for k in np.flatnonzero(value[1:]) + 1:
+            config = sack.around(int(k))
+            assert dict(config)[k] >= 1 and sum(n * a for n, a in config) <= 30 and np.isclose(sum(value[n] * a for n, a in config), value[k] + best[30 - k])
+
+
 @pytest.mark.parametrize("lengths", [(130, 212, 301, 377, 450, 513), (205, 256, 341, 400, 512), (171, 257, 342, 343, 511), (300, 400, 700)])
 def test_rounding_stays_near_the_dual_bound(lengths):
     demand = np.bincount(np.random.default_rng(3).choice(lengths, 20_000), minlength=1025)
