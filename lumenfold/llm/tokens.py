@@ -63,7 +63,8 @@ class WordSplitter:
         spec = json.loads(self.full.to_str()) | {"normalizer": None, "added_tokens": [], "pre_tokenizer": None}
         plain = Tokenizer.from_str(json.dumps(spec))
         plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        return lambda words: [len(e) for e in plain.encode_batch_fast(list(words), add_special_tokens=False)]
+        # a few thousand at a time: what the library makes of a word is far larger than the word
+        return lambda words: [len(e) for k in range(0, len(words), 4096) for e in plain.encode_batch_fast(list(words[k : k + 4096]), add_special_tokens=False)]
 
 
 def _byte_letters() -> dict[str, int]:
