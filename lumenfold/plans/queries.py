@@ -444,7 +444,9 @@ def title_pair_ratio(spark, d):
     return ev.ratio_pairs(articles(spark, d), 0.88)
 
 
-ENTITIES, ISSUES = ["idiot", "clown", "license"], {"law": ["license", "copyright", "software"], "insult": ["worthless", "disgusting", "pathetic", "trash"], "odd": ["thsh", "enth", "ondble"]}  # words as rare as issue terms are in headlines
+ENTITIES = ["idiot", "clown", "license"]
+ISSUES = {"art": ["the", "der", "les"], "link": ["and", "und", "et"], "of": ["of", "des", "del"],  # words that most titles hold, and rare ones
+          "law": ["license", "copyright", "software"], "insult": ["worthless", "disgusting", "pathetic", "trash"], "odd": ["thsh", "enth", "ondble"]}
 
 
 @query()

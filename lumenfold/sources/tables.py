@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from pathlib import Path
 
 import yaml
@@ -36,6 +38,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_written: dict[str, SparkSession] = {}
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the session's checkpoint folder, read back. For rounds that each join the last one's result: a checkpoint
+    keeps its plan's estimate of size, which such joins square until planning takes longer than the work; a table has its own size."""
+    path = f"{checkpoint_root(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    _written[path] = df.sparkSession
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that no later plan reads."""
+    for t in tables:
+        path = getattr(t, "_written", None)
+        if path and (spark := _written.pop(path, None)):
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _forget_all() -> None:
+    for path, spark in list(_written.items()):
+        try:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the session has ended before the interpreter
+            return
+
+
+atexit.register(_forget_all)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
