@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from .similar import linked, marks
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
 ROWS, BANDS, BITS, SHORT = 6, 21, 7, 256
 SKETCH = 1 << 22
-SEEN = 300_000
+SEEN, HELD, HELD_CHARS = 300_000, 1_500, 300
 GROUP_CHARS, GROUP_LINES = 400_000, 20_000
 
 
@@ -131,47 +131,25 @@ def shingles_once(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (key >> U(48)).astype(np.int64), key & U((1 << 48) - 1)
 
 
-def exact_grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, gram number) of the distinct shingles of each line, in order; equal numbers are equal strings.
-
-    Five letters of an alphabet of at most 4096 are a number of 60 bits; larger alphabets number the strings themselves."""
-    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-    flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    owner = np.repeat(np.arange(len(lines)), sizes)
-    n = len(flat) - SHINGLE + 1
-    whole = np.flatnonzero(owner[:n] == owner[SHINGLE - 1 :])
-    alphabet = np.bincount(flat) > 0
-    if alphabet.sum() <= 4096:
-        letter = (np.cumsum(alphabet) - 1).astype(U)[flat]
-        key = reduce(lambda x, k: (x << U(12)) | letter[k : n + k], range(1, SHINGLE), letter[:n])[whole]
-    else:
-        known: dict[str, int] = {}
-        text = "".join(lines)
-        key = np.fromiter((known.setdefault(text[k : k + SHINGLE], len(known)) for k in whole.tolist()), dtype=np.int64, count=len(whole))
-    each = np.unique((owner[whole] << 32) | np.unique(key, return_inverse=True)[1])
-    return each >> 32, each & 0xFFFFFFFF
+def grams(line: str) -> frozenset[str]:
+    """The distinct shingles of a line, the strings themselves."""
+    return frozenset([line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)])
 
 
 def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of the pairs of lines whose sets of shingles, the strings themselves, reach the threshold."""
+    """(a, b) of the pairs of lines whose sets of shingles, the strings themselves, reach the threshold.
+
+    Pairs of one line come together; sets of short lines are kept while they are among the last HELD used."""
 
     def run(batches):
+        known = lru_cache(HELD)(grams)
         for pdf in batches:
-            for first in range(0, len(pdf), 2000):
-                part = pdf.iloc[first : first + 2000]
-                number = {x: k for k, x in enumerate(dict.fromkeys([*part["ia"], *part["ib"]]))}
-                owner, gram = exact_grams(list(number))
-                size = np.bincount(owner, minlength=len(number))
-                start = np.cumsum(size) - size
-                ends = []
-                for side in ("ia", "ib"):
-                    at = np.array([number[x] for x in part[side]])
-                    every = np.repeat(start[at] - (np.cumsum(size[at]) - size[at]), size[at]) + np.arange(size[at].sum())
-                    ends.append((at, (np.repeat(np.arange(len(part)), size[at]) << 32) | gram[every]))
-                (a, x), (b, y) = ends
-                both = np.sort(np.concatenate([x, y]))
-                met = np.bincount(both[1:][both[1:] == both[:-1]] >> 32, minlength=len(part))
-                yield part.loc[met >= threshold * (size[a] + size[b] - met) - 1e-9, ["a", "b"]]
+            keep = []
+            for a, b in zip(pdf["ia"], pdf["ib"], strict=True):
+                x, y = ((known if len(s) <= HELD_CHARS else grams)(s) for s in (a, b))
+                met = len(x & y)
+                keep.append(met >= threshold * (len(x) + len(y) - met) - 1e-9)
+            yield pdf.loc[keep, ["a", "b"]] if len(pdf) else pdf[["a", "b"]]
 
     return pairs.mapInPandas(run, "a long, b long")
 
