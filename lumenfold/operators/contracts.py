@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import numpy as np
 import pandas as pd
+import yaml
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..sources.tables import written
 
-# How a line may not begin, what it may not hold, how it ends, and reasons for which a text is refused.
-LIST_STARTS = ("[-*+•·▪◦‣>]", r"\d+\s*[.)]", r"\(\d+\)", "[①-⑳]", r"#{1,6}\s")
-PREAMBLES = (r"이\s*기사는", r"본\s*기사(?:는|에서)?", "요약하면", r"요약\s*:", r"기사\s*요약", "다음은", "아래는")
-MARKS = (r"\*\*", "__", "~~", "`")
-END_MARKS, CLOSERS = ".!?。", "\"'’”』」)\\]"
-UNUSABLE = ("title_body_mismatch", "multi_topic", "insufficient_content")
-
-begins = lambda starts: rf"^\s*(?:{'|'.join(starts)})"
-BULLET, PREAMBLE, MARKDOWN, TAIL = begins(LIST_STARTS), begins(PREAMBLES), "|".join(MARKS), f"[{END_MARKS}][{CLOSERS}]*$"
+RULES = yaml.safe_load((Path(__file__).parent.parent / "functions" / "line_contract.yml").read_text(encoding="utf-8"))
+BULLET, PREAMBLE, MARKDOWN, TAIL, END = (RULES[k] for k in ("bullet", "preamble", "markdown", "tail", "end"))
+UNUSABLE = tuple(RULES["unusable"])
 OVERHEAD = 64
 
 
@@ -48,26 +47,82 @@ def fixed_batches(df: DataFrame, order: str, size: int, group: str) -> DataFrame
     return df.withColumn("batch_no", F.floor((F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1) / size).cast("int"))
 
 
-def budget_batches(df: DataFrame, order: str, chars: str, group: str, max_items: int = 25, max_chars: int = 146_000, overhead: int = 2_000, least_body: int = 200) -> DataFrame:
-    """Batches in order within each group, closed by whichever comes first, the number of rows or of characters; a row too large
-    alone is cut to the budget, or dropped (batch_no null) if the budget leaves less than ``least_body``.
-
-    A fold over the group's (order, size) pairs, which are all that is gathered."""
+def fitted(text: Column, max_chars: int = 146_000, overhead: int = 2_000, least_body: int = 200) -> Column:
+    """The text with white space collapsed, cut to what one request can hold at a sentence or word; null if that is less than ``least_body``."""
     room = max_chars - overhead - OVERHEAD
-    size = F.least(F.coalesce(F.col(chars), F.lit(0)).cast("long"), F.lit(room).cast("long")) + OVERHEAD
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        batch, n, used, out = 0, 0, overhead, []
-        for k in pdf["_size"]:
-            if n and (n >= max_items or used + k > max_chars):
-                batch, n, used = batch + 1, 0, overhead
-            out.append(batch)
-            n, used = n + 1, used + k
-        return pd.DataFrame({group: pdf[group], order: pdf[order], "fitted_chars": pdf["_size"] - OVERHEAD, "batch_no": out if room >= least_body else [None] * len(pdf)})
+    return tx.cut_at_sentence(tx.collapse(F.coalesce(text, F.lit(""))), room) if room >= least_body else F.lit(None).cast("string")
+
+
+class Closing:
+    """Where batches close in a stretch of rows, given the sizes of up to ``max_items`` rows before it, which an open batch may hold."""
+
+    def __init__(self, before: list[int], sizes: np.ndarray, max_items: int, room: int):
+        self.lead = len(before)
+        total = np.append(0, np.cumsum(np.append(np.array(before, dtype=np.int64), sizes)))
+        self.n = len(total) - 1
+        at = np.arange(self.n)
+        full = np.searchsorted(total, total[:-1] + room, side="right") - 1
+        self.next = np.maximum(at + 1, np.minimum(at + max_items, full))
+
+    def starts(self, held: int) -> list[int]:
+        """Where batches start, from the one that holds the last ``held`` rows before the stretch on."""
+        out = [self.lead - held]
+        while out[-1] < self.n and self.next[out[-1]] < self.n:
+            out.append(int(self.next[out[-1]]))
+        return out
+
+    def through(self) -> tuple[list[int], list[int]]:
+        """For 0, 1, ... rows held before: how many are held after, and how many batches have closed."""
+        ends = [self.starts(held) for held in range(self.lead + 1)]
+        return [self.n - x[-1] for x in ends], [len(x) - 1 for x in ends]
+
+    def numbers(self, held: int, first: int) -> np.ndarray:
+        """The batch of each row of the stretch, the open one before it being ``first``."""
+        return first + np.searchsorted(self.starts(held), np.arange(self.lead, self.n), side="right") - 1
+
+
+def budget_batches(df: DataFrame, order: str, chars: str, group: str, max_items: int = 25, max_chars: int = 146_000, overhead: int = 2_000, least_body: int = 200) -> DataFrame:
+    """(group, order, fitted_chars, batch_no): batches in order within each group, closed by whichever comes first, the number of rows or of
+    characters; a row too large alone counts as cut to the budget (``fitted`` cuts it), and has no batch if the budget leaves less than ``least_body``.
+
+    Rows are dealt by ranges of (group, order), so a large group is many stretches, each in a task of its own. What a stretch does is a
+    small table: for every number of rows that an open batch may hold when it begins, how many are held at its end and how many batches have
+    closed. These tables are applied one after the other in each group, a row a stretch, and each stretch then numbers its batches.
+    ``order`` has no ties within a group."""
+    room = max_chars - overhead
+    size = F.least(F.coalesce(F.col(chars), F.lit(0)).cast("long"), F.lit(room - OVERHEAD).cast("long")) + OVERHEAD
+    key = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    dealt = written(df.select(group, order, key.alias("_g"), size.alias("_size")).repartitionByRange("_g", order).withColumn("_part", F.spark_partition_id()))
+    last = F.row_number().over(Window.partitionBy("_g", "_part").orderBy(F.desc(order)))
+    tails = dealt.withColumn("_n", last).where(F.col("_n") <= max_items).groupBy("_g", "_part").agg(F.transform(F.array_sort(F.collect_list(F.struct(order, "_size"))), lambda x: x["_size"]).alias("_tail"))
+    few = F.flatten(F.collect_list("_tail").over(Window.partitionBy("_g").orderBy("_part").rowsBetween(-max_items, -1)))
+    before = written(tails.select("_g", "_part", F.slice(few, F.greatest(F.size(few) - max_items + 1, F.lit(1)), max_items).alias("_before")))
+
+    def closing(own: pd.DataFrame, side: pd.DataFrame) -> Closing:
+        return Closing(list(side["_before"].iloc[0]), own["_size"].to_numpy(), max_items, room)
+
+    def through(own: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+        held, closed = closing(own.sort_values(order), side).through()
+        return pd.DataFrame({"_g": [own["_g"].iloc[0]], "_part": [own["_part"].iloc[0]], "held": [held], "closed": [closed]})
+
+    def entered(pdf: pd.DataFrame) -> pd.DataFrame:
+        held, first, out = 0, 0, []
+        for part, after, closed in pdf.sort_values("_part")[["_part", "held", "closed"]].itertuples(index=False):
+            out.append((part, held, first))
+            held, first = int(after[held]), first + int(closed[held])
+        return pd.DataFrame(out, columns=["_part", "held", "first"]).assign(_g=pdf["_g"].iloc[0])[["_g", "_part", "held", "first"]]
 
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    return df.select(group, order, size.alias("_size")).groupBy(group).applyInPandas(run, f"{group} {types[group]}, {order} {types[order]}, fitted_chars long, batch_no int")
+    keys = ["_g", "_part"]
+    stretches = dealt.groupBy(*keys).cogroup(before.groupBy(*keys)).applyInPandas(through, "_g string, _part int, held array<int>, closed array<long>")
+    entries = written(before.join(stretches.groupBy("_g").applyInPandas(entered, "_g string, _part int, held int, first long"), keys))
+
+    def number(own: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(order)
+        made = closing(own, side).numbers(int(side["held"].iloc[0]), int(side["first"].iloc[0]))
+        return pd.DataFrame({group: own[group], order: own[order], "fitted_chars": own["_size"] - OVERHEAD, "batch_no": made if room - OVERHEAD >= least_body else [None] * len(own)})
+
+    return dealt.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInPandas(number, f"{group} {types[group]}, {order} {types[order]}, fitted_chars long, batch_no int")
 
 
 def line_flags(line: Column, max_chars: int = 90) -> dict[str, Column]:
@@ -77,7 +132,7 @@ def line_flags(line: Column, max_chars: int = 90) -> dict[str, Column]:
     return {
         "is_empty": s == "", "has_break": F.coalesce(line, F.lit("")).rlike(r"[\n\r\t]"), "too_long": F.length(s) > max_chars,
         "has_bullet": tx.mask_dots(s).rlike(BULLET), "has_markdown": s.rlike(MARKDOWN), "has_preamble": s.rlike(PREAMBLE),
-        "no_end": ~s.rlike(TAIL), "many_sentences": tx.mask_dots(head).rlike(rf"[{END_MARKS}](?:\s|$)"),
+        "no_end": ~s.rlike(TAIL), "many_sentences": tx.mask_dots(head).rlike(END),
     }
 
 

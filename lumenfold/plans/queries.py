@@ -226,12 +226,10 @@ def paged_scan(spark, d):
     return rows.select("query", "link", F.col("pub_date").cast("timestamp_ntz").alias("pub_date"), "start")
 
 
-_FETCH = ["loan", "bank", "card", "loan", "fund", "bank", "bond"]
-
-
-@query(f"SELECT term, CAST(min(pos) AS INTEGER) AS pos FROM (VALUES {', '.join(f'({k}, {chr(39)}{t}{chr(39)})' for k, t in enumerate(_FETCH))}) v(pos, term) GROUP BY term")
+@query("SELECT p_brand AS term, CAST(min(p_partkey) AS INTEGER) AS pos FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand")
 def fetch_query_list(spark, d):
-    return ar.fetch_queries(spark.createDataFrame(list(enumerate(_FETCH)), "pos int, term string")).select("term", "pos")
+    terms = read(spark, d, "part").where(F.col("p_brand").isNotNull()).select(F.col("p_brand").alias("term"), F.col("p_partkey").cast("int").alias("pos"))
+    return ar.fetch_queries(terms).select("term", "pos")
 
 
 @query(f"WITH {ART} SELECT doc_id, title FROM (SELECT *, row_number() OVER (PARTITION BY lower(title) || '|' || press ORDER BY doc_id) AS n FROM art) WHERE n = 1")
@@ -512,7 +510,7 @@ def sentence_term_frequency(spark, d):
     return sm.term_frequency(read(spark, d, "documents").where(F.col("text").isNotNull()))
 
 
-WORDS = sm.SummaryWords(figure=r"\d", action="license|copyright", impact="software|work", types={"law": (frozenset(["License", "license", "copyright"]), "license|rights"), "insult": (frozenset(["idiot", "worthless"]), "pathetic|trash")}, junk=("###",))
+WORDS = sm.SummaryWords(figure=r"\d", action="license|copyright", types={"law": (frozenset(["License", "license", "copyright"]), "license|rights"), "insult": (frozenset(["idiot", "worthless"]), "pathetic|trash")}, junk=("###",))
 
 
 @query()

@@ -163,16 +163,21 @@ def run_summary(spark, d):
     return rn.run_summary(log, targets=250, applied=200)
 
 
-_GATES = [(0, 0, 0, 0, 0, 0, 0, 0, ""), (5, 5, 3, 0, 0, 5, 0, 0, "breaker"), (5, 0, 0, 0, 0, 0, 0, 0, "disabled"), (5, 0, 5, 0, 5, 0, 0, 0, ""), (5, 0, 0, 0, 0, 5, 5, 0, ""), (5, 0, 1, 0, 1, 4, 4, 0, ""), (5, 4, 5, 0, 1, 4, 0, 0, ""), (5, 4, 1, 4, 1, 4, 0, 0, ""), (5, 4, 1, 2, 1, 4, 0, 0, ""), (5, 4, 1, 4, 1, 4, 0, 1, ""), (5, 4, 0, 0, 0, 4, 0, 0, "")]
-_GATE_COLUMNS = ("targets", "sent_articles", "applied", "content_rejected", "cache_hits", "cache_miss", "skipped_no_body", "api_error", "disabled_reason")
+# a customer's orders stand for the targets of a run, their states for what became of each
+_COUNTERS = {"targets": "true", "sent_articles": "o_orderstatus = 'O' OR o_orderpriority = '1-URGENT'", "applied": "o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')",
+             "content_rejected": "o_orderstatus = 'O' AND o_totalprice < 100000", "cache_hits": "o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'", "cache_miss": "o_orderstatus = 'O' AND o_totalprice < 250000",
+             "skipped_no_body": "o_orderstatus = 'P'", "api_error": "o_orderstatus = 'O' AND o_totalprice > 450000"}
+_OFF = "CASE WHEN c_acctbal < -900 THEN 'missing_api_key' WHEN c_acctbal < -800 THEN 'breaker' WHEN c_acctbal < -700 THEN 'disabled' ELSE '' END"
 
 
-@query(f"""WITH g AS (SELECT * FROM (VALUES {', '.join(f'({k}, ' + ', '.join(map(repr, g)) + ')' for k, g in enumerate(_GATES))}) v(run, {', '.join(_GATE_COLUMNS)})), f AS (SELECT *, greatest(applied - cache_hits, 0) AS fresh, CASE WHEN cache_miss > 0 THEN cache_miss ELSE sent_articles END AS asked FROM g)
+@query(f"""WITH g AS (SELECT c_custkey AS run, {_OFF} AS disabled_reason, {', '.join(f"count(*) FILTER (o_orderkey IS NOT NULL AND ({test})) AS {c}" for c, test in _COUNTERS.items())} FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_acctbal),
+f AS (SELECT *, greatest(applied - cache_hits, 0) AS fresh, CASE WHEN cache_miss > 0 THEN cache_miss ELSE sent_articles END AS asked FROM g)
 SELECT run, CASE WHEN disabled_reason IN ('disabled', 'missing_api_key', 'no_targets') THEN 'skipped' WHEN disabled_reason <> '' THEN 'failed' WHEN targets <= 0 THEN 'skipped' WHEN sent_articles <= 0 THEN CASE WHEN cache_hits >= targets THEN 'ok' ELSE 'skipped' END
  WHEN fresh > 0 THEN 'ok' WHEN content_rejected > 0 AND api_error = 0 AND content_rejected >= asked THEN 'ok' ELSE 'failed' END AS status FROM f""")
 def run_gate(spark, d):
-    runs = spark.createDataFrame([(k, *g) for k, g in enumerate(_GATES)], "run int, " + ", ".join(f"{c} {'string' if c == 'disabled_reason' else 'int'}" for c in _GATE_COLUMNS))
-    return rn.run_gate(runs).select("run", "status")
+    orders = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(*[F.count_if(F.expr(test)).alias(c) for c, test in _COUNTERS.items()])
+    runs = read(spark, d, "customer").select("c_custkey", F.expr(_OFF).alias("disabled_reason")).join(orders, "c_custkey", "left")
+    return rn.run_gate(runs.withColumnRenamed("c_custkey", "run")).select("run", "status")
 
 
 @query("SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate IS NOT NULL)")

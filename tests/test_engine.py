@@ -165,10 +165,10 @@ def test_capped_top_matches_picks_over_all_rows(spark):
 
 
 def test_summaries(spark):
-    of = summaries.Summarizer(summaries.SummaryWords(action="decided", impact="market"))
+    of = summaries.Summarizer(summaries.SummaryWords(action="decided"))
     text = ["The bank decided to raise the rate by 3 points today", "Read more at www.example.com about all of this", "The market expects that rate rise to last for 2 years", "Nothing else was said by anyone at all"]
     assert of.best(text, "Bank rate") == "The bank decided to raise the rate by 3 points today. The market expects that rate rise to last for 2 years."
-    assert of.summary([], ["The description has one full sentence here"], "Title") == "The description has one full sentence here." and of.summary([], [], "Only a title") == "Only a title."
+    assert of.summary([], ["The description has one full sentence here"], title="Title") == "The description has one full sentence here." and of.summary([], [], title="Only a title") == "Only a title."
     assert not of.sound("Too short.", "x") and not of.sound("This is the title of the piece.", "This is the title of the piece")
     ko = summaries.Summarizer(summaries.KOREAN)
     assert ko.is_junk("무단전재 및 재배포 금지 안내 문구입니다") and ko.is_junk("This sentence is in English only, all of it") and "5%" in ko.best(["금융위는 대출 금리를 5% 인하하기로 결정했다고 밝혔다", "날씨가 아주 맑고 따뜻한 하루가 이어졌습니다"], "대출 금리")

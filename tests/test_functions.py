@@ -115,6 +115,54 @@ def test_batches_and_ladder(spark):
     assert contracts.split_ladder(25) == [10, 1] and contracts.split_ladder(1) == [1]
 
 
+def fold(sizes, max_items, max_chars, overhead):
+    batch, n, used, out = 0, 0, overhead, []
+    for k in sizes:
+        if n and (n >= max_items or used + k > max_chars):
+            batch, n, used = batch + 1, 0, overhead
+        out.append(batch)
+        n, used = n + 1, used + k
+    return out
+
+
+def test_closing_of_stretches():
+    import random
+
+    r = random.Random(3)
+    for _ in range(300):
+        sizes = [r.randrange(64, 900) for _ in range(r.randrange(1, 80))]
+        want = fold(sizes, 5, 2000, 300)
+        held, first, got, at = 0, 0, [], 0
+        while at < len(sizes):  # stretches of any size, one row too
+            n = r.choice([1, 2, 3, 7, 30])
+            c = contracts.Closing(sizes[max(0, at - 5) : at], sizes[at : at + n], 5, 1700)
+            got += c.numbers(held, first).tolist()
+            after, closed = c.through()
+            held, first, at = after[held], first + closed[held], at + n
+        assert got == want
+
+
+def test_batches_of_a_large_group_in_many_tasks(spark):
+    n, size = 300_000, lambda k: (k * 7919) % 9000
+    df = spark.range(n).select("id", F.when(F.col("id") % 10 < 9, "hot").when(F.col("id") % 100 == 9, None).otherwise("small").alias("g"), ((F.col("id") * 7919) % 9000).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = contracts.budget_batches(df, "id", "n", "g", 25, 60_000, 2_000, 200).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name, rows in out.groupby(out["g"].fillna("-")):
+        rows = rows.sort_values("id")
+        assert rows["batch_no"].tolist() == fold([size(k) + contracts.OVERHEAD for k in rows["id"]], 25, 60_000, 2_000), name
+    assert len(out) == n
+
+
+def test_bodies_are_cut_at_a_sentence(spark):
+    df = spark.createDataFrame([("One  sentence here. " * 200,), ("short",), (None,), ("x" * 5000,)], "t string")
+    got = [r.x for r in df.select(contracts.fitted(F.col("t"), 3000, 1000, 200).alias("x")).collect()]
+    assert got[0].endswith(".") and 0.6 * 1936 < len(got[0]) <= 1936 and "  " not in got[0] and got[1:3] == ["short", ""] and len(got[3]) == 1936
+    assert df.select(contracts.fitted(F.col("t"), 1200, 1000, 200).alias("x")).where("x is not null").isEmpty()
+
+
 def test_main_text():
     page = "<html><nav>menu</nav><div class='ad'>buy</div><article><p>" + "Body words here. " * 30 + "<p>More &amp; more</article><script>x()</script>"
     text = summaries.main_text(page)
