@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EDGE = "가-힣a-z0-9"
+MANY = 120  # terms from which one automaton is quicker than an expression a term
 
 
 @dataclass
@@ -124,7 +125,12 @@ def some(found: Column, terms: list[str]) -> Column:
 def with_scans(df: DataFrame, p: Profile, terms: list[str], tags: bool = False, **texts: str) -> DataFrame:
     """Adds one array of found terms per text column (new name = text column).
 
-    The arrays come from a generator of one row, so that filters on them are not pushed below it and each text is scanned once."""
+    Long lists go through an automaton. For short ones the arrays come from a generator of one row, so that filters on them are not
+    pushed below it and each text is scanned once."""
+    if len(set(terms)) > MANY:
+        from .lexicon import with_hits
+
+        return with_hits(df, p, terms, tags, **texts)
     return df.select("*", F.inline(F.array(F.struct(*[p.scan(F.col(t), terms, tags).alias(n) for n, t in texts.items()]))))
 
 
