@@ -124,17 +124,32 @@ def _tags(data: bytes) -> tuple[int, dict[str, str]]:
     return min(at, len(data)), found
 
 
+def vbri_table(frame: bytes, at: int) -> list[tuple[int, int]]:
+    """(audio frame, byte offset in the stream) of every entry of the VBRI table in the frame that begins at ``at``; sizes there are
+    scaled steps from the first audio frame on."""
+    if len(frame) < 62:
+        return []
+    entries, scale, width, step = struct.unpack(">HHHH", frame[54:62])
+    if not 1 <= width <= 4 or len(frame) < 62 + entries * width:
+        return []
+    out, offset = [(0, at + len(frame))], at + len(frame)
+    for k in range(entries):
+        offset += scale * int.from_bytes(frame[62 + k * width : 62 + (k + 1) * width], "big")
+        out.append(((k + 1) * step, offset))
+    return out
+
+
 def parse(data: bytes, seeks: bool = False) -> dict:
     """Tags, frames and payload of a stream.
 
     A position is a frame if its header is sound and another frame, a trailing tag or the end follows; other
     bytes are skipped and counted (``skipped``). ``samples``/``rate`` give the exact duration of the audio
-    frames; the table frame is not audio. ``seeks`` lists the byte offset of every audio frame. ``bad_crc``
-    counts protected frames whose checksum is wrong; their payload is still returned.
+    frames; the table frame is not audio. ``seeks`` lists the byte offset of every audio frame, ``table`` the (frame, byte offset)
+    entries of a VBRI seek table. ``bad_crc`` counts protected frames whose checksum is wrong; their payload is still returned.
     """
     at, tags = _tags(data)
     end = len(data) - (128 if data[-128:-125] == b"TAG" else 0)
-    out = {"tags": tags, "frames": 0, "samples": 0, "rate": 0, "skipped": 0, "bad_crc": 0, "protected": 0, "vbr_frames": None, "vbr_bytes": None, "toc": None, "kbits": {}, "seeks": []}
+    out = {"tags": tags, "frames": 0, "samples": 0, "rate": 0, "skipped": 0, "bad_crc": 0, "protected": 0, "vbr_frames": None, "vbr_bytes": None, "toc": None, "table": [], "kbits": {}, "seeks": []}
     parts, synced, first, audio = [], False, True, at
     while at + 4 <= end:
         h = header(data[at : at + 4])
@@ -160,6 +175,7 @@ def parse(data: bytes, seeks: bool = False) -> dict:
                 out["toc"] = data[p : p + 100]
         elif first and data[at + 36 : at + 40] == b"VBRI":
             out["vbr_bytes"], out["vbr_frames"] = struct.unpack(">II", data[at + 46 : at + 54])
+            out["table"] = vbri_table(data[at:nxt], at)
         else:
             out["frames"] += 1
             out["samples"] += h[1]
@@ -191,7 +207,7 @@ def padded(text: str | None) -> tuple[bytes, int]:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Each text stored as an MPEG stream and read back: sizes, checksums and features per document.
+    """Each text stored as an MPEG stream and read back: sizes, checksums, features, exact duration and the byte offset of every frame.
 
     Null and empty texts give one unit of zero bytes; repeated rows give equal rows; an empty table an empty
     result; only doc_id and text are read. Memory is bounded by the longest text of an Arrow batch.
@@ -207,8 +223,8 @@ def digest(docs: DataFrame) -> DataFrame:
                 back = parsed["payload"]
                 if back != payload:
                     raise ValueError("the stored payload differs")
-                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), features(parsed)))
-            yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])], axis=1)
+                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), features(parsed), parsed["duration_ms"], parsed["seeks"]))
+            yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "duration_ms", "seek_offsets"])], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, duration_ms double, seek_offsets array<long>")

@@ -87,6 +87,15 @@ def test_audio_resynchronises_and_checks():
     assert mpeg_audio.parse(b"")["frames"] == 0 and mpeg_audio.parse(b"no audio at all" * 9)["frames"] == 0
 
 
+def test_vbri_seek_table():
+    head = bytes((0xFF, 0xFB, 0x90, 0x00))  # 417 bytes, 1152 samples
+    frames = [head + bytes([k]) * 413 for k in range(6)]
+    table = b"VBRI" + (1).to_bytes(2, "big") + bytes(4) + (7 * 417).to_bytes(4, "big") + (6).to_bytes(4, "big") + (3).to_bytes(2, "big") + (3).to_bytes(2, "big") + (2).to_bytes(2, "big") + (2).to_bytes(2, "big") + (2 * 417 // 3).to_bytes(2, "big") * 3
+    p = mpeg_audio.parse(head + bytes(32) + table + bytes(413 - 32 - len(table)) + b"".join(frames), seeks=True)
+    assert p["vbr_frames"] == p["frames"] == 6 and p["table"] == [(0, 417), (2, 3 * 417), (4, 5 * 417), (6, 7 * 417)]
+    assert [at for frame, at in p["table"][:3]] == [p["seeks"][frame] for frame, _ in p["table"][:3]] and mpeg_audio.vbri_table(b"short", 0) == []
+
+
 def test_frame_headers():
     assert mpeg_audio.header(bytes((0xFF, 0xFB, 0x90, 0x00)))[:3] == (417, 1152, 44100)  # MPEG-1 layer III, 128 kbit/s
     assert mpeg_audio.header(bytes((0xFF, 0xFD, 0xA4, 0x00)))[:3] == (576, 1152, 48000)  # layer II, 192 kbit/s
@@ -110,6 +119,7 @@ def test_audio_digests_of_a_whole_table(spark, data):
         stored = mpeg_audio.encode(payload)
         x = got[r.doc_id]
         assert (x.n_bytes, x.payload_bytes, x.payload_sha256, x.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert x.seek_offsets == mpeg_audio.parse(stored, seeks=True)["seeks"] and x.duration_ms == 36 * len(x.seek_offsets)
         assert (x.media_bytes, x.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest()) and "sound=1" in x.feature
 
 
