@@ -18,7 +18,7 @@ from .similar import linked, marks
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
 ROWS, BANDS, BITS, SHORT = 6, 21, 7, 256
 SKETCH = 1 << 22
-SEEN, HELD, HELD_CHARS = 300_000, 1_500, 300
+SEEN, HELD, HELD_CHARS = 300_000, 400, 300
 GROUP_CHARS, GROUP_LINES = 400_000, 20_000
 
 
