@@ -98,3 +98,16 @@ def newest_reports(names: DataFrame, n: int = 14) -> DataFrame:
 def funnel(raw: DataFrame, stages: dict[str, Column]) -> DataFrame:
     """One row of stage counts in one pass; a stage is a condition over raw rows."""
     return raw.agg(F.count("*").alias("raw"), *[F.count_if(c).alias(k) for k, c in stages.items()])
+
+
+# The counts that a run reports, in order.
+RUN_COUNTS = ("raw_items", "normalized_articles", "deduped_articles", "rule_filtered_articles", "relevance_filtered_articles", "tagged_before_cluster", "final_tagged_representatives", "displayed_articles")
+
+
+def run_counts(recorded: DataFrame, before_cluster: DataFrame, final: DataFrame) -> DataFrame:
+    """One row of RUN_COUNTS: what was recorded (rows stage, n; the last by n of a stage, 0 where it is no whole number), else what the
+    articles before and after clustering tell, else 0. Shown are the final ones unless recorded."""
+    told = recorded.groupBy().agg(*[F.max(F.when(F.col("stage") == k, F.coalesce(F.col("n").cast("string").try_cast("long"), F.lit(0)))).alias(k) for k in RUN_COUNTS])
+    seen = before_cluster.agg(F.count("*").alias("_before")).crossJoin(final.agg(F.count("*").alias("_final")))  # a row each
+    inferred = {"tagged_before_cluster": F.col("_before"), "final_tagged_representatives": F.col("_final"), "displayed_articles": F.col("_final")}
+    return told.crossJoin(seen).select(*[F.coalesce(k, inferred.get(k, F.lit(0))).cast("long").alias(k) for k in RUN_COUNTS])

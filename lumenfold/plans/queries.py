@@ -338,6 +338,17 @@ def funnel_counts(spark, d):
     return rp.funnel(out, {"scored": F.col("score") > 0, "kept": F.col("keep"), "strong": F.col("keep") & (F.col("score") >= 8)})
 
 
+@query(f"""WITH {GROUPS} SELECT (SELECT count(*) FROM documents) AS raw_items, (SELECT count(*) FROM art) AS normalized_articles, (SELECT count(DISTINCT cluster_key) FROM ranked) AS deduped_articles, CAST(0 AS BIGINT) AS rule_filtered_articles,
+ CAST(0 AS BIGINT) AS relevance_filtered_articles, (SELECT count(*) FROM art) AS tagged_before_cluster, (SELECT count(*) FROM ranked WHERE rnk = 1) AS final_tagged_representatives, (SELECT count(*) FROM ranked WHERE rnk = 1 AND doc_id % 2 = 0) AS displayed_articles""")
+def run_counts(spark, d):
+    every, found = read(spark, d, "documents"), articles(spark, d)
+    reps = ar.representatives(found)
+    count = lambda df, stage: df.agg(F.lit(stage).alias("stage"), F.count("*").cast("string").alias("n"))
+    shown = ar.title_groups(found).where("rank = 1 and doc_id % 2 = 0")
+    recorded = count(every, "raw_items").union(count(found, "normalized_articles")).union(count(reps, "deduped_articles")).union(count(shown, "displayed_articles"))
+    return rp.run_counts(recorded.union(count(found, "relevance_filtered_articles").withColumn("n", F.lit("many"))), found, reps)
+
+
 # --- ranking
 
 _LT, _LB = "lower(title)", "lower(description)"
