@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,7 @@ from .similar import linked, marks
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
 ROWS, BANDS, BITS, SHORT = 6, 21, 7, 256
 SKETCH = 1 << 22
-SEEN, HELD, HELD_CHARS = 300_000, 400, 300
+SEEN = 300_000
 GROUP_CHARS, GROUP_LINES = 400_000, 20_000
 
 
@@ -139,14 +138,14 @@ def grams(line: str) -> frozenset[str]:
 def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
     """(a, b) of the pairs of lines whose sets of shingles, the strings themselves, reach the threshold.
 
-    Pairs of one line come together; sets of short lines are kept while they are among the last HELD used."""
+    Pairs of one line mostly come one after the other, so the last set of either side is kept, and no more."""
 
     def run(batches):
-        known = lru_cache(HELD)(grams)
         for pdf in batches:
-            keep = []
-            for a, b in zip(pdf["ia"], pdf["ib"], strict=True):
-                x, y = ((known if len(s) <= HELD_CHARS else grams)(s) for s in (a, b))
+            keep, known = [], [("", frozenset()), ("", frozenset())]
+            for pair in zip(pdf["ia"], pdf["ib"], strict=True):
+                known = [k if k[0] == line else (line, grams(line)) for k, line in zip(known, pair, strict=True)]
+                x, y = known[0][1], known[1][1]
                 met = len(x & y)
                 keep.append(met >= threshold * (len(x) + len(y) - met) - 1e-9)
             yield pdf.loc[keep, ["a", "b"]] if len(pdf) else pdf[["a", "b"]]
