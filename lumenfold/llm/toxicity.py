@@ -3,8 +3,8 @@
 Voters are fixed word lists, fixed patterns, and words and word beginnings mined from the labelled training
 rows. The label model estimates from their votes how often each fires on either class, finds voters that agree
 beyond what the class explains and lets such a group count less than the sum of its members. It is fitted to the votes
-on all training rows, labelled or not; labels choose the mined voters, say where the fit starts, and vote themselves, with
-accuracies that the model estimates as it does the others'. Its posterior
+on all training rows, labelled or not; labels choose the mined voters, vote themselves, and hold their rows near what they say, while all rows without one
+weigh no more together than those with one, so that the two classes stay what the labels mean however many rows have none. Its posterior
 probabilities train a logistic classifier over words and word beginnings, and only that classifier scores documents.
 """
 
@@ -26,6 +26,7 @@ SAMPLE_ROWS = 24_000  # labelled training rows the voters and the classifier are
 VOTERS, FEATURES = 256, 4096
 LENGTHS, MIN_GAIN = (4, 5, 6), 3.5
 FLUSH, ROUNDS = 200_000, 10
+HELD, BLOCK = 0.98, 512  # how sure a given label is; numbers in a row of partial sums
 WORD = re.compile(r"[^\W\d_]+")
 
 # Insults in the four languages, one voter per language.
@@ -126,9 +127,20 @@ def rates_of(sums: np.ndarray, weight: np.ndarray) -> Rates:
     return Rates(prior, np.clip(on, 1e-6, 1 - 1e-6), weight)
 
 
-def pair_sums(votes: np.ndarray, n: np.ndarray, rates: Rates) -> np.ndarray:
+def anchored(post: np.ndarray, n: np.ndarray, gold: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """(n, posterior) of rows that occur n times: those with a label (gold 1 or 0, else -1) are held near it, the others count ``share`` each."""
+    known = gold >= 0
+    return np.where(known, n, share * n), np.where(known, np.where(gold == 1, HELD, 1 - HELD), post)
+
+
+def share_of(known: float, unknown: float) -> float:
+    """What a row without a label counts: all of them no more than all rows with one."""
+    return min(1.0, known / unknown) if known and unknown else 1.0
+
+
+def pair_sums(votes: np.ndarray, n: np.ndarray, post: np.ndarray, rates: Rates) -> np.ndarray:
     """Products of the residuals that the class leaves, and of the votes, of every two voters."""
-    post = rates.posterior(votes)[:, None]
+    post = post[:, None]
     res = votes - (post * rates.on[0] + (1 - post) * rates.on[1])
     return np.stack([(res * n[:, None]).T @ res, (votes * n[:, None]).T @ votes])
 
@@ -169,10 +181,11 @@ def fit_rates(sum_of, pairs_of, start: Rates, rounds: int = 25) -> tuple[Rates,
 def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
     """(posterior, fire[2, voters], weight, groups) of the latent class model over votes (rows x voters, boolean) of one machine.
 
-    gold: 1, 0 or -1 (none) per row; it only says where the fit starts."""
-    v, n = votes.astype(np.float64), np.ones(len(votes))
-    start = rates_of(vote_sums(v, n, np.where(gold >= 0, np.where(gold == 1, 0.98, 0.02), np.clip(votes.any(axis=1) * 0.6 + 0.05, 0, 1))), np.ones(votes.shape[1]))
-    rates, groups = fit_rates(lambda r: vote_sums(v, n, r.posterior(v)), lambda r: pair_sums(v, n, r), start, rounds)
+    gold: 1, 0 or -1 (none) per row; the fit starts from it, and rows that have it stay near it."""
+    v, n, share = votes.astype(np.float64), np.ones(len(votes)), share_of((gold >= 0).sum(), (gold < 0).sum())
+    start = rates_of(vote_sums(v, *anchored(np.clip(votes.any(axis=1) * 0.6 + 0.05, 0, 1), n, gold, share)), np.ones(votes.shape[1]))
+    held = lambda r: anchored(r.posterior(v), n, gold, share)
+    rates, groups = fit_rates(lambda r: vote_sums(v, *held(r)), lambda r: pair_sums(v, *held(r), r), start, rounds)
     return rates.posterior(v), rates.on, rates.weight, groups
 
 
@@ -269,26 +282,36 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
     patterns = scratch.keep(training.mapInArrow(vote, "votes array<int>").groupBy("votes").agg(F.count("*").alias("n")))
 
     def summed(of, size: int) -> np.ndarray:
-        """The sum over all rows of of(votes, n), an array of ``size`` numbers whatever the rows are."""
+        """The sum over all rows of of(votes, n, gold), an array of ``size`` numbers whatever the rows are; a task sends it in blocks."""
 
         def part(batches):
             total = np.zeros(size)
             for b in batches:
                 at, n = b.column("votes").to_pylist(), b.column("n").to_numpy().astype(float)
                 for k in range(0, len(at), 4000):
-                    total += of(dense(at[k : k + 4000], m), n[k : k + 4000]).ravel()
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["at", "x"])
+                    votes = dense(at[k : k + 4000], m)
+                    total += of(votes, n[k : k + 4000], np.where(votes[:, m - 2] > 0, 1, np.where(votes[:, m - 1] > 0, 0, -1))).ravel()
+            blocks = {k: total[k : k + BLOCK] for k in range(0, size, BLOCK)}
+            blocks = {k: x for k, x in blocks.items() if x.any()}
+            yield pa.RecordBatch.from_arrays([pa.array(blocks.keys(), pa.int64()), pa.array([x.tobytes() for x in blocks.values()], pa.binary())], ["at", "x"])
+
+        def add(rows):
+            x = sum(np.frombuffer(c.as_py()) for c in rows.column("x"))
+            return pa.table({"at": rows.column("at").slice(0, 1), "x": pa.array([x.tobytes()], pa.binary())})
 
-        got = patterns.mapInArrow(part, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toPandas()
         out = np.zeros(size)
-        out[got["at"].to_numpy()] = got["x"].to_numpy()
+        for r in patterns.mapInArrow(part, "at long, x binary").groupBy("at").applyInArrow(add, "at long, x binary").collect():
+            x = np.frombuffer(r["x"])
+            out[r["at"] : r["at"] + len(x)] = x
         return out
 
     gold = rows["y"].to_numpy()
+    share = share_of(len(gold), int(patterns.agg(F.sum("n")).first()[0]) - len(gold))
     seen = dense([[*(p := place[x])[p >= 0], *said(y)] for x, y in zip(on, gold.tolist(), strict=True)], m)
-    start = rates_of(vote_sums(seen, np.ones(len(seen)), np.where(gold == 1, 0.98, 0.02)), np.ones(m))
-    rates, groups = fit_rates(lambda r: summed(lambda v, n: vote_sums(v, n, r.posterior(v)), 2 + 2 * m), lambda r: summed(lambda v, n: pair_sums(v, n, r), 2 * m * m).reshape(2, m, m), start, ROUNDS)
+    start = rates_of(vote_sums(seen, np.ones(len(seen)), np.where(gold == 1, HELD, 1 - HELD)), np.ones(m))
+    votes_of = lambda r: summed(lambda v, n, y: vote_sums(v, *anchored(r.posterior(v), n, y, share)), 2 + 2 * m)
+    pairs_of = lambda r: summed(lambda v, n, y: pair_sums(v, *anchored(r.posterior(v), n, y, share), r), 2 * m * m).reshape(2, m, m)
+    rates, groups = fit_rates(votes_of, pairs_of, start, ROUNDS)
     w, bias = logistic(on, rates.posterior(seen), len(names))
     every = [*voters, "label:toxic", "label:clean"]
     scratch.drop(known, sample, patterns)

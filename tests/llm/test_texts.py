@@ -329,6 +329,18 @@ def test_label_model_finds_accuracies_and_groups():
     assert [0, 1] in groups and weight[0] == 0.5 and ((post > 0.5) == y).mean() > 0.95 and abs(on[0][2] - 0.6) < 0.1
 
 
+def test_labels_hold_the_classes_among_many_rows_without_one():
+    r = np.random.default_rng(2)
+    n = 30_000
+    y, topic = r.random(n) < 0.1, r.random(n) < 0.3  # voters that follow a topic must not become the class
+    fire = lambda of, on, off: np.where(of, r.random(n) < on, r.random(n) < off)
+    gold = np.where(r.random(n) < 0.1, y.astype(int), -1)
+    votes = np.stack([*(fire(y, 0.4, 0.02) for _ in range(10)), *(fire(topic, 0.5, 0.02) for _ in range(10)), gold == 1, gold == 0], axis=1)
+    post, on, _, _ = toxicity.label_model(votes, gold)
+    assert (on[0][:10] > 5 * on[1][:10]).all() and (post >= 0.5)[y].mean() > 0.85
+    assert ((post >= 0.5) == y)[gold >= 0].mean() > 0.9
+
+
 def test_pipeline(spark, data, tmp_path):
     import corpus_pipeline as cp
 
