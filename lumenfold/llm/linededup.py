@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, fresh
 from .shingles import U, bands, one_permutation, rolling, six_bytes
-from .similar import linked, marks
+from .similar import counted_units, linked, marks
 
 SHINGLE, THRESHOLD, MIN_CHARS = 5, 0.8, 20
 ROWS, BANDS, BITS, SHORT = 6, 21, 7, 256
@@ -154,15 +154,17 @@ def line_links(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def line_units(rows: DataFrame) -> DataFrame:
-    def run(batches):
-        for pdf in batches:
-            first, nodes = 0, pdf["node"].to_numpy()
-            for part in _groups(pdf["item"].tolist()):
+    """(unit, node, k) of the shingles of all lines; see ``array_units``."""
+
+    def found(batches):
+        for b in batches:
+            first, nodes = 0, b.column("node").to_numpy()
+            for part in _groups(b.column("item").to_pylist()):
                 at, h = shingles_once(part)
-                yield pd.DataFrame({"node": nodes[first + at], "unit": h.view(np.int64)})
+                yield nodes[first + at], h.view(np.int64)
                 first += len(part)
 
-    return rows.mapInPandas(run, "node long, unit long")
+    return rows.mapInArrow(lambda batches: counted_units(found(batches)), "unit long, node long, k long")
 
 
 def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:

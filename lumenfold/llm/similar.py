@@ -36,8 +36,34 @@ def array_links(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.where(met >= threshold * (total - met) - 1e-9).select("a", "b")
 
 
+def counted_units(found):
+    """Record batches (unit, node, k) of pairs of arrays (node, unit): per chunk each unit once, with the number of its nodes and the least."""
+
+    def out(node, unit):
+        order = np.argsort(unit, kind="stable")
+        node, unit = node[order], unit[order]
+        first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(unit[first]), pa.array(np.minimum.reduceat(node, first)), pa.array(np.diff(np.append(first, len(unit))))], ["unit", "node", "k"])
+
+    held, size = [], 0
+    for x in found:
+        held.append(x)
+        size += len(x[1])
+        if size >= CHUNK_KEYS:
+            yield out(*map(np.concatenate, zip(*held, strict=True)))
+            held, size = [], 0
+    if size:
+        yield out(*map(np.concatenate, zip(*held, strict=True)))
+
+
 def array_units(rows: DataFrame) -> DataFrame:
-    return rows.select("node", F.explode("item").alias("unit"))
+    """(unit, node, k) of the units of all rows, arrays of longs without repeats; a unit has a row per chunk of a task."""
+
+    def run(batches):
+        cells = ((b.column("node").to_numpy(), b.column("item")) for b in batches)
+        yield from counted_units((np.repeat(node, item.value_lengths().to_numpy()), item.flatten().to_numpy()) for node, item in cells)
+
+    return rows.select("node", "item").mapInArrow(run, "unit long, node long, k long")
 
 
 def _flat(batch) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +184,7 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, short: int, sets_of
     inside = scratch.keep(named.join(mixed, "bucket"))
     # What a node shares with any node left bounds its overlap with each of them: its size less the units that only it has.
     left_sets = scratch.keep(sets.join(inside.select("node").distinct(), "node", "left_semi"))
-    alone = units_of(left_sets.select("node", "item")).groupBy("unit").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    alone = units_of(left_sets.select("node", "item")).groupBy("unit").agg(F.sum("k").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
     able = left_sets.select("node", "size", "marks").join(alone, "node", "left").select("node", "marks", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("own"), "size").where(F.col("own") >= threshold * F.col("size") - 1e-9).drop("size")
     inside = scratch.keep(inside.drop("marks").join(able, "node"))
     # A node outside the head's component meets the head's component; among themselves the outsiders meet once.

@@ -207,3 +207,21 @@ def test_links_across_leaves_match_brute_force(spark, monkeypatch):
     np.fill_diagonal(hit, False)
     root = roots(range(500), list(zip(*np.nonzero(hit), strict=True)))
     assert all(got[k].n_links == hit[k].sum() and got[k].component_id == root[k] for k in range(500))
+
+
+def test_units_of_near_copies_are_counted_before_they_are_sent(spark):
+    from lumenfold.llm import similar
+
+    own = {k: [*range(1000, 1060), -k - 1] for k in range(300)}  # 60 units in common, one of each row's own
+    lines = {k: f"one very common line of some length {k:04d}" for k in range(300)}
+    for units_of, items, kind, want in ((similar.array_units, own, "array<long>", 360), (linededup.line_units, lines, "string", None)):
+        rows = spark.createDataFrame(list(items.items()), f"node long, item {kind}").coalesce(2)
+        got = units_of(rows).collect()
+        sets = {k: set(x) if want else {x[j : j + 5] for j in range(len(x) - 4)} for k, x in items.items()}
+        assert sum(r.k for r in got) == sum(map(len, sets.values()))
+        assert len(got) <= 2 * len(set().union(*sets.values())) < 0.2 * sum(map(len, sets.values()))
+        if want:
+            seen = collections.Counter()
+            for r in got:
+                seen[r.unit] += r.k
+            assert len(seen) == want and seen[1000] == 300 and {r.node for r in got if r.unit == -5} == {4}
