@@ -71,6 +71,7 @@ def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = scratch.keep(docs.select("doc_id", "text").mapInPandas(frequencies, f"doc_id {kind}, n_bytes long, n_tokens long, rare array<string>, times array<int>").withColumn("row", F.monotonically_increasing_id()))
+    shared.destroy()  # parts are stored; workers that live on let the map go
     rare = parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     more = rare.join(counted.select("word", "pieces"), "word").groupBy("row").agg(F.sum(F.col("pieces") * F.col("times")).alias("more"))
     total = F.col("n_tokens") + F.coalesce("more", F.lit(0))

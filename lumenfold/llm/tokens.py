@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 from functools import cached_property
 
@@ -58,13 +59,13 @@ class WordSplitter:
 
     def counter(self):
         """A function from pre-tokens to their numbers of pieces, by the same model without normaliser and splitting."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and every thread of the library memory of its own
         from tokenizers import Tokenizer, pre_tokenizers
 
-        spec = json.loads(self.full.to_str()) | {"normalizer": None, "added_tokens": [], "pre_tokenizer": None}
-        plain = Tokenizer.from_str(json.dumps(spec))
+        plain = Tokenizer(self.full.model)  # the same model, not another copy of it
         plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # a few thousand at a time: what the library makes of a word is far larger than the word
-        return lambda words: [len(e) for k in range(0, len(words), 4096) for e in plain.encode_batch_fast(list(words[k : k + 4096]), add_special_tokens=False)]
+        # a thousand at a time: what the library makes of a word is far larger than the word
+        return lambda words: [len(e) for k in range(0, len(words), 1024) for e in plain.encode_batch_fast(list(words[k : k + 1024]), add_special_tokens=False)]
 
 
 def _byte_letters() -> dict[str, int]:

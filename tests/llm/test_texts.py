@@ -390,3 +390,23 @@ def test_pipeline_stages_take_odd_rows(spark, odd, nothing, data):
         for _, stage in cp.STAGES[:-1]:
             out = stage(spark, docs, data)
             assert out.columns == odd.columns and (out.count() > 0) == (docs is odd)
+
+
+def test_counter_loads_no_second_model():
+    import subprocess
+    import sys
+
+    code = """
+import re
+from lumenfold.llm.tokens import WordSplitter
+held = lambda: sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read())))
+splitter = WordSplitter("word_bpe_49k.json")
+splitter.full
+before = held()
+count = splitter.counter()
+want = [len(splitter.full.encode(w, add_special_tokens=False)) for w in ("idiot", "ünï", "quxzzy", "12")]
+assert count(["idiot", "ünï", "quxzzy"]) == want[:3]
+print(held() - before)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < 4096, grown  # KB
