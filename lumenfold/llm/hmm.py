@@ -127,9 +127,9 @@ def first_params(docs: list[np.ndarray], base: np.ndarray, states: int) -> Param
 
 
 def expected_counts(texts: DataFrame, sequence, params: Params) -> Stats:
-    """The Baum-Welch counts of all rows of ``texts`` (a text column), each of weight 1, summed over partitions.
+    """The Baum-Welch counts of all rows of ``texts`` (its first column), each of weight 1, summed over partitions.
 
-    ``sequence`` turns a text into its array of symbols. The result is bounded by the alphabet."""
+    ``sequence`` turns a cell into its array of symbols. The result is bounded by the alphabet."""
     symbols, states = params.emit.shape
     names = [f"s{j}" for j in range(states)]
     now = texts.sparkSession.sparkContext.broadcast(params)
@@ -137,7 +137,7 @@ def expected_counts(texts: DataFrame, sequence, params: Params) -> Stats:
     def expect(batches):
         s, held, size = Stats(states, symbols), [], 0
         for batch in batches:
-            for cell in batch.column("text"):
+            for cell in batch.column(0):
                 held.append(sequence(cell.as_py()))
                 size += len(held[-1])
                 if size >= 2 * CHUNK:
@@ -164,7 +164,8 @@ def score(docs: DataFrame, folds: int = 10, states: int = STATES, top: int = TOP
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
     Training rows are those whose crc32(doc_id) mod ``folds`` is not 0. Each of ROUNDS passes of Baum-Welch takes the expected
-    counts over all training rows with equal weight. The start comes from about SEED_DOCS of them. The
+    counts over all training rows with equal weight. The start comes from about SEED_DOCS of them. After the counts, texts are split
+    once more: their symbols are stored, and the passes and the scores read those. The
     ``common`` most frequent words of at most 48 bytes go to the tasks as a map, a bound that does not grow with
     the data; all rarer words meet their counts in a shuffled join. Null texts are empty: only the end token. Repeated
     rows give a row each. Without training rows score equals base_score; an empty table gives an empty result.
@@ -210,39 +211,50 @@ def score(docs: DataFrame, folds: int = 10, states: int = STATES, top: int = TOP
         at = np.fromiter((get(w, unknown) for w in found), dtype=np.int64, count=len(found))
         return found, at, np.append(known[at], np.int32(end))
 
+    wide = "<u2" if rare < 1 << 16 else "<i4"  # of the stored symbols
+
+    def split(batches):
+        log_base, log_rare = shared.value[2], np.log10(rare_mass)
+        for pdf in batches:
+            out = []
+            for text in pdf["text"]:
+                found, at, seq = sequence(text)
+                own = log_base[at]
+                in_class = seq[:-1] == rare
+                more = Counter(w for w, k in zip(found, at.tolist(), strict=True) if k == unknown) if (at == unknown).any() else {}
+                out.append((seq.astype(wide).tobytes(), len(seq), int((at != unknown).sum()) + int(n_docs > 0), own.sum() + np.log10(p_end), own[in_class].sum() - in_class.sum() * log_rare, list(more), list(more.values())))
+            part = pd.DataFrame(out, columns=["seq", "n_tokens", "n_known", "base_score", "in_class", "rare", "times"])
+            yield pd.concat([pdf[["doc_id", "held_out"]].reset_index(drop=True), part], axis=1)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    parts = scratch.keep(base_docs.select("doc_id", "held_out", "text").mapInPandas(split, f"doc_id {kind}, held_out boolean, seq binary, n_tokens long, n_known long, base_score double, in_class double, rare array<binary>, times array<int>").withColumn("row", F.monotonically_increasing_id()))
+    read = lambda cell: np.frombuffer(cell, dtype=wide)
     params = None
     if n_docs:
         # a row's own hash picks the seeds and orders them, so reruns agree; equal rows count once
         seeds = training.select(F.xxhash64("doc_id", "text").alias("h"), "text").where(F.pmod(F.col("h"), F.lit(1 << 20)) < int(min(1.0, SEED_DOCS / n_docs) * (1 << 20))).dropDuplicates(["h"])
         params = first_params([sequence(r["text"])[2] for r in sorted(seeds.collect(), key=lambda r: r["h"])], base, states)
         for _ in range(ROUNDS):
-            params = expected_counts(training.select("text"), lambda text: sequence(text)[2], params).params(base)
+            params = expected_counts(parts.where(~F.col("held_out")).select("seq"), read, params).params(base)
     last = spark.sparkContext.broadcast(params)
 
     def final(batches):
-        log_base, log_rare, p = shared.value[2], np.log10(rare_mass), last.value
+        p = last.value
         for pdf in batches:
-            out, seqs = [], []
-            for text in pdf["text"]:
-                found, at, seq = sequence(text)
-                own = log_base[at]
-                in_class = seq[:-1] == rare
-                more = Counter(w for w, k in zip(found, at.tolist(), strict=True) if k == unknown) if (at == unknown).any() else {}
-                out.append((len(seq), int((at != unknown).sum()) + int(n_docs > 0), own.sum() + np.log10(p_end), own[in_class].sum() - in_class.sum() * log_rare, list(more), list(more.values())))
-                seqs.append(seq)
-            part = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score", "rare", "times"])
+            seqs = [read(x) for x in pdf["seq"]]
+            part = pdf.drop(columns=["seq", "in_class"])
             if p is None:
                 part["score"] = part["base_score"]
             else:
-                for at in range(0, len(seqs), 2000):
-                    part.loc[at : at + 1999, "score"] += log_likelihood(p, seqs[at : at + 2000]) / np.log(10)
-            yield pd.concat([pdf[["doc_id", "held_out"]].reset_index(drop=True), part], axis=1)
+                found = [log_likelihood(p, seqs[at : at + 2000]) for at in range(0, len(seqs), 2000)]
+                part["score"] = pdf["in_class"] + (np.concatenate(found) / np.log(10) if found else 0.0)
+            yield part
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = scratch.keep(base_docs.select("doc_id", "held_out", "text").mapInPandas(final, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<binary>, times array<int>").withColumn("row", F.monotonically_increasing_id()))
+    known = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    scored = scratch.keep(parts.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "in_class", "seq").mapInPandas(final, known))
     spread = parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     met = spread.join(counts.select("word", "n"), "word", "left")
     log = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / below) * F.col("times")
     more = met.groupBy("row").agg(F.sum(log).alias("log"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"))
     zero = F.lit(0.0)
-    return parts.drop("rare", "times").join(more, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("log", zero)).alias("base_score"), (F.col("score") + F.coalesce("log", zero)).alias("score"))
+    return scored.join(more, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("log", zero)).alias("base_score"), (F.col("score") + F.coalesce("log", zero)).alias("score"))

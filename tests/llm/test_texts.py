@@ -410,3 +410,18 @@ print(held() - before)
 """
     grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
     assert grown < 4096, grown  # KB
+
+
+def test_hmm_passes_read_stored_symbols(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, prose(k, 20)) for k in range(60)] + [(60, None), (61, "")], "doc_id long, text string")
+    seen, plain = [], hmm.expected_counts
+
+    def watched(rows, sequence, params):
+        seen.append((rows.dtypes, sorted(tuple(sequence(r[0])) for r in rows.collect())))
+        return plain(rows, sequence, params)
+
+    monkeypatch.setattr(hmm, "expected_counts", watched)
+    got = hmm.score(docs, top=20, common=30).collect()
+    assert len(got) == 62 and len(seen) == hmm.ROUNDS and all(x == seen[0] for x in seen)
+    assert seen[0][0] == [("seq", "binary")]  # no text is split again
+    assert sorted(map(len, seen[0][1])) == sorted(r.n_tokens for r in got if not r.held_out)
