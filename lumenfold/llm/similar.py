@@ -141,8 +141,9 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, short: int, sets_of
 
     items: (node long, bands binary, six bytes a band), a row per node or several that agree. sets_of(nodes) gives (node, item,
     size, marks) for the nodes asked for: what is compared, of how many units it is, and the bitmap of their places, of which the first
-    part reads ``short`` bits; links and units_of read items. First every bucket mate is compared with STARS of its bucket's
-    nodes, those with most bucket mates overall in each of as many hash classes; the links found form components. Then,
+    part reads ``short`` bits; links and units_of read items. First every bucket mate is compared with its bucket's heaviest
+    node, the one with most bucket mates overall; the links found form components. Next those in another component are compared with STARS nodes
+    of the bucket, the heaviest in each of as many hash classes, and components follow again. Then,
     in buckets that still hold several components and pairs not tried, nodes outside the component of the bucket's first node
     are compared with nodes of other components in the bucket. Bounds, which lose no link, keep those pairs few:
     sizes must be close; each one's size less the places only it has marked must reach the overlap that the threshold asks of
@@ -168,17 +169,26 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, short: int, sets_of
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
 
-    mate = F.struct("node", "size", "marks")
+    first = mates.groupBy("bucket").agg(F.max_by(F.struct("node", "size", "marks"), F.struct("mass", F.xxhash64("node"))).alias("r"))
+    one = mates.join(first, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb"))
+    tried_first = scratch.keep(ordered(one.where("x <> y").where(close(short))))
+    edges_first = scratch.keep(verified(tried_first))
+    comp = components(scratch, edges_first)
+
+    placed = mates.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    mate = F.struct("node", "size", "marks", "c")
     heavy = [F.max_by(mate, F.when(F.pmod(F.xxhash64("node"), F.lit(STARS)) == k, F.struct("mass", F.xxhash64("node", F.lit(k))))).alias(f"r{k}") for k in range(STARS)]
-    stars = mates.groupBy("bucket").agg(*heavy)
-    star = mates.join(stars, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.explode(F.array_compact(F.array(*[f"r{k}" for k in range(STARS)]))).alias("r"))
-    tried = scratch.keep(ordered(star.select("x", "sa", "ma", F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb")).where("x <> y").where(close(short))))
-    edges = scratch.keep(verified(tried))
+    stars = placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *heavy).where("lo <> hi").drop("lo", "hi")
+    star = placed.join(stars, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.col("c").alias("cx"), F.explode(F.array_compact(F.array(*[f"r{k}" for k in range(STARS)]))).alias("r"))
+    apart = star.where(F.col("cx") != F.col("r.c")).select("x", "sa", "ma", F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb"))
+    tried_next = scratch.keep(ordered(apart.where(close(short))).join(tried_first, ["a", "b"], "left_anti"))
+    edges_next = scratch.keep(verified(tried_next))
+    tried, edges = tried_first.union(tried_next), edges_first.union(edges_next)
     comp = components(scratch, edges)
 
     named = mates.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     head = F.min_by("c", F.xxhash64("node", F.lit(0)))
-    # where all nodes but one at most were medoids, each pair has been tried
+    # where all nodes but one at most were medoids, each pair has been tried or is in one component
     medoids = F.expr(f"bit_count(bit_or(shiftleft(1, int(pmod(xxhash64(node), {STARS})))))")
     mixed = named.groupBy("bucket").agg(head.alias("head"), F.min("c").alias("lo"), F.max("c").alias("hi"), (F.count("*") - medoids).alias("others")).where("lo <> hi and others > 1").select("bucket", "head")
     inside = scratch.keep(named.join(mixed, "bucket"))
@@ -193,5 +203,5 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, short: int, sets_of
     rest = left.join(right, "bucket").where(F.col("main") | (F.col("cx") < F.col("cy"))).where(close(SLOTS) & enough(F.least("oa", "ob")))
     more = scratch.keep(verified(ordered(rest).join(tried, ["a", "b"], "left_anti")))
     out = components(scratch, edges.union(more)) if not more.isEmpty() else comp
-    scratch.drop(mates, sets, left_sets, tried, inside, edges, more)
+    scratch.drop(mates, sets, left_sets, tried_first, tried_next, inside, edges_first, edges_next, more)
     return out

@@ -225,3 +225,19 @@ def test_units_of_near_copies_are_counted_before_they_are_sent(spark):
             for r in got:
                 seen[r.unit] += r.k
             assert len(seen) == want and seen[1000] == 300 and {r.node for r in got if r.unit == -5} == {4}
+
+
+def test_large_group_of_near_copies_is_compared_about_once_a_row(spark, monkeypatch):
+    from lumenfold.llm import linededup as ld
+
+    texts = [f"one very common line of quite some length, seen again and again, copy number {k:04d}" for k in range(400)]
+    made, plain = [], ld.line_links
+
+    def watched(pairs, threshold):
+        made.append(pairs.count())
+        return plain(pairs, threshold)
+
+    monkeypatch.setattr(ld, "line_links", watched)
+    got = ld.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.text for r in got) == [""] * 399 + [texts[0]]
+    assert sum(made) < 3 * len(texts), made
