@@ -170,8 +170,9 @@ def linked(scratch: Scratch, items: DataFrame, n_bands: int, short: int, sets_of
         return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
 
     first = mates.groupBy("bucket").agg(F.max_by(F.struct("node", "size", "marks"), F.struct("mass", F.xxhash64("node"))).alias("r"))
-    one = mates.join(first, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb"))
-    tried_first = scratch.keep(ordered(one.where("x <> y").where(close(short))))
+    one = mates.join(first, "bucket").select(F.col("node").alias("x"), F.col("size").alias("sa"), F.col("marks").alias("ma"), F.explode(F.array("r")).alias("r"))
+    met = one.select("x", "sa", "ma", F.col("r.node").alias("y"), F.col("r.size").alias("sb"), F.col("r.marks").alias("mb"))
+    tried_first = scratch.keep(ordered(met.where("x <> y").where(close(short))))
     edges_first = scratch.keep(verified(tried_first))
     comp = components(scratch, edges_first)
 
