@@ -137,19 +137,46 @@ def bag_minhash(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> np.ndarr
 def one_permutation(doc: np.ndarray, h: np.ndarray, n_docs: int, bits: int) -> np.ndarray:
     """MinHash signatures, n_docs x 2^bits, by one permutation: the least hash in each of the bins its leading bits choose;
     an empty bin copies a full one, found by the same probes everywhere. Repeated hashes change nothing."""
-    full, k = U(0xFFFFFFFFFFFFFFFF), 1 << bits
-    sig = np.full(n_docs * k, full, dtype=U)
-    np.minimum.at(sig, doc * k + (h >> U(64 - bits)).astype(np.int64), h)
-    sig = sig.reshape(n_docs, k)
-    filled = sig != full
-    rows = np.flatnonzero(filled.any(axis=1) & ~filled.all(axis=1))
+    sig = np.full(n_docs << bits, 0xFFFFFFFFFFFFFFFF, dtype=U)
+    np.minimum.at(sig, (doc << bits) + (h >> U(64 - bits)).astype(np.int64), h)
+    sig = sig.reshape(n_docs, 1 << bits)
+    return filled(sig, sig != U(0xFFFFFFFFFFFFFFFF))
+
+
+def filled(sig: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """The signatures, their empty bins filled; full tells the others, and a row without any stays."""
+    k = sig.shape[1]
+    rows = np.flatnonzero(full.any(axis=1) & ~full.all(axis=1))
     columns = np.arange(k, dtype=U)
-    r, c = np.nonzero(~filled[rows])
+    r, c = np.nonzero(~full[rows])
     r, probe = rows[r], 0
     while len(r) and probe <= 64 * k:  # each probe is random; a full bin is met long before
         probe += 1
         src = (mix64(columns * U(0x10001) + U(probe)) & U(k - 1)).astype(np.int64)[c]
-        met = filled[r, src]
+        met = full[r, src]
         sig[r[met], c[met]] = sig[r[met], src[met]] ^ mix64(np.full(1, probe, dtype=U))
         r, c = r[~met], c[~met]
     return sig
+
+
+def sliding_minima(texts: list[str], n: int, bits: int) -> np.ndarray:
+    """The bins of ``one_permutation`` before empty ones are filled, by 32-bit hashes of the runs of n characters of each text;
+    the greatest number stands for an empty bin. Every text has at least n characters."""
+    full, sizes = np.uint32(0xFFFFFFFF), np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    m = len(flat) - n + 1
+    h = flat[:m] * np.uint32(0x9E3779B1)
+    for k in range(1, n):
+        h += flat[k : m + k]
+        h *= np.uint32(0x01000193)
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h ^= h >> np.uint32(shift)
+        h *= np.uint32(by)
+    h ^= h >> np.uint32(16)
+    for k in range(1, n):  # runs across two texts
+        h[np.cumsum(sizes)[:-1] - k] = full
+    at = np.repeat(np.arange(len(texts), dtype=np.int64) << bits, sizes)[:m]
+    at += h >> np.uint32(32 - bits)
+    sig = np.full(len(texts) << bits, full, dtype=np.uint32)
+    np.minimum.at(sig, at, h)
+    return sig.reshape(len(texts), 1 << bits)

@@ -241,3 +241,34 @@ def test_large_group_of_near_copies_is_compared_about_once_a_row(spark, monkeypa
     got = ld.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert sorted(r.text for r in got) == [""] * 399 + [texts[0]]
     assert sum(made) < 3 * len(texts), made
+
+
+def test_small_buckets_are_pairs_and_large_ones_are_whole(spark):
+    from lumenfold.llm import similar
+    from lumenfold.llm.common import Scratch
+
+    groups = {10: [1, 2], 20: [2, 3, 5], 30: list(range(100, 100 + similar.PAIRED)), 40: list(range(200, 201 + similar.PAIRED)), 50: [-7], 60: list(range(300, 600))}
+    rows = [(n, k.to_bytes(6, "little")) for k, nodes in groups.items() for n in nodes for _ in range(2)] + [(9, b""), (9, None)]
+    items = spark.createDataFrame(rows, "node long, bands binary").repartition(3)
+    pairs, found = similar.bucket_mates(Scratch(spark, "test"), items, 1)
+    small = [sorted(groups[k]) for k in (10, 20, 30)]
+    assert {(r.a, r.b, r.star) for r in pairs.collect()} == {(x, y, x == g[0] or (x, y) == (1, 2)) for g in small for x in g for y in g if x < y}
+    assert sorted(tuple(r) for r in found.select("node", "bucket").collect()) == sorted((n, k) for k in (40, 60) for n in groups[k])
+    assert similar.bucket_mates(Scratch(spark, "test"), items.where("node < 150"), 1)[1] is None
+
+
+def test_plain_lines_stay_and_white_space_collapses():
+    for line in ("A b", " a b", "a b ", "a  b", "a\tb", "a\u00a0b", "a\u2028b", "a\x1fb", "Ünï \u3000 日本", "", " ", "ΑΣ ΑΣ"):
+        assert linededup.normal(line) == " ".join(line.lower().split())
+
+
+def test_bins_of_lines_are_those_of_each_line_alone():
+    lines = [prose(k, 3 + k % 40) for k in range(300)] + ["日本語" * 9, "abcde"]
+    found = linededup.line_bands(lines)
+    assert found.shape == (302, linededup.BANDS) and all((linededup.line_bands([x]) == found[k]).all() for k, x in enumerate(lines))
+    r, n, total = np.random.default_rng(5), 3000, 49
+    made = r.integers(97, 97 + 4000, (n, total + 4))
+    texts = ["".join(map(chr, x)) for x in made]
+    near = [x[:-5] + "".join(map(chr, r.integers(97, 4097, 5))) for x in texts]
+    a, b = linededup.line_bands(texts), linededup.line_bands(near)  # 44 of 54 shingles in common: 0.815
+    assert (a == b).any(axis=1).mean() > 0.993
