@@ -19,7 +19,7 @@ ATTEMPT_COUNTERS = ("batches", "requests", "normal_requests", "recovery_requests
 
 def sound_lines(lines: Column) -> Column:
     """Three lines, none blank, trimmed; else null."""
-    return F.when((F.size(lines) == 3) & F.forall(lines, lambda x: F.trim(x) != ""), F.transform(lines, F.trim))
+    return F.when((F.size(lines) == 3) & F.forall(lines, lambda x: F.trim(x) != ""), F.transform(lines, lambda x: F.trim(x)))  # F.trim itself would take the index as the characters to trim
 
 
 def summary_state(lines: Column, rejection: Column) -> Column:

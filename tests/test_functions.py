@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions import text as tx
 from lumenfold.functions.terms import Profile, ko_finance
-from lumenfold.operators import articles, contracts, events, labels, relevance, summaries
+from lumenfold.operators import articles, contracts, events, labels, relevance, runs, summaries
 
 
 def one(spark, make, *values):
@@ -173,3 +173,9 @@ def test_stratified_takes_turns(spark):
     df = spark.createDataFrame([(k, "big" if k < 90 else "small") for k in range(100)], "k long, s string")
     got = [r.s for r in labels.stratified(df, ["s"], "k", 10).collect()]
     assert got.count("small") == 5
+
+
+def test_shown_lines_keep_their_digits(spark):
+    three = F.split(F.lit("0 first 0| 11 second 1|2 third 2 "), "[|]")
+    row = spark.range(1).select(runs.sound_lines(three).alias("l"), runs.display_text(three, F.lit(""), F.lit(None), F.lit("t")).alias("t")).first()
+    assert row.l == ["0 first 0", "11 second 1", "2 third 2"] and row.t == "0 first 0 11 second 1 2 third 2"
