@@ -179,3 +179,10 @@ def test_shown_lines_keep_their_digits(spark):
     three = F.split(F.lit("0 first 0| 11 second 1|2 third 2 "), "[|]")
     row = spark.range(1).select(runs.sound_lines(three).alias("l"), runs.display_text(three, F.lit(""), F.lit(None), F.lit("t")).alias("t")).first()
     assert row.l == ["0 first 0", "11 second 1", "2 third 2"] and row.t == "0 first 0 11 second 1 2 third 2"
+
+
+def test_sentences_keep_their_digits(spark):
+    text = "0 of the first sentence 0. 11 of the second sentence 11. 2 of the third sentence here 2"
+    assert one(spark, tx.sentences, text) == ["0 of the first sentence 0.", "11 of the second sentence 11.", "2 of the third sentence here 2"]
+    rows = summaries.term_frequency(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {(r.term, r.n) for r in rows} >= {("11", 2), ("sentence", 3)}
