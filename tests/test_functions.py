@@ -1,6 +1,7 @@
 """Text functions and term matching on sentinel strings."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,19 @@ def test_ratio_blocking_loses_no_pair(spark, data):
     assert got == want
 
 
+def test_similar_titles_meet_few_others(spark):
+    rng = random.Random(5)
+    words = [f"w{k:03}" for k in range(120)]  # every word is in a tenth of the titles
+    sets = [rng.sample(words, rng.randint(8, 16)) for _ in range(900)]
+    sets += [[*s[:-2], "new"] for s in sets[:60]]
+    rows = [(k, " ".join(s)) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "doc_id long, title string")
+    met = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if met(sets[i], sets[j]) >= 0.5}
+    assert {(r.doc_a, r.doc_b) for r in events.title_pairs(df, 0.5).collect()} == want and len(want) >= 50
+    assert events.overlapping(df.select(F.col("doc_id").alias("id"), F.split("title", " ").alias("s")), 0.5).count() <= 3000
+
+
 def test_line_contract(spark):
     df = spark.createDataFrame([(["A says so.", "B says 2026. 8. 4. so.", "C says so."], "T"), (["- A.", "B.", "C."], "T"), (["A. B.", "B.", "C."], "T"), (["A.", "a.", "C."], "T"), (["A.", "B."], "T"), (None, "T"), (["A is it.", "B.", "C."], "a is it")], "l array<string>, t string")
     assert [r.x for r in df.select(contracts.valid_lines(F.col("l"), F.col("t")).alias("x")).collect()] == [True, False, False, False, False, False, False]
