@@ -137,6 +137,33 @@ def test_ratio_pairs_with_many_insertions(spark):
     assert got == {(a, b) for a in norm for b in norm if a < b and events.ratio(norm[b], norm[a]) >= 0.88} and len(got) > 20
 
 
+def shuffled(spark):
+    """Bytes that all stages so far have written for shuffles."""
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None).iterator()
+    total = 0
+    while stages.hasNext():
+        total += stages.next().shuffleWriteBytes()
+    return total
+
+
+def test_long_titles_are_shuffled_a_few_times(spark):
+    r = random.Random(4)
+    rows = []
+    for k in range(120):
+        base = "".join(r.choice("abcdefghijklmnopqrstuvwxyz  .,0123456789éöß") for _ in range(r.randrange(150, 2500)))
+        more = list(base)
+        for _ in range(r.randrange(1, 8)):
+            more[r.randrange(len(more))] = r.choice("xyz0")
+        rows += [(2 * k, base), (2 * k + 1, "".join(more))]
+    norm = {k: t for t, k in reversed({" ".join(t.split()): k for k, t in reversed(rows)}.items())}
+    before = shuffled(spark)
+    got = {(x.doc_a, x.doc_b) for x in events.ratio_pairs(spark.createDataFrame(rows, "doc_id long, title string")).collect()}
+    assert shuffled(spark) - before < 20 * sum(len(t) for t in norm.values())
+    near = lambda a, b: 2 * min(len(a), len(b)) >= 0.88 * (len(a) + len(b))
+    assert got == {(a, b) for a in norm for b in norm if a < b and near(norm[a], norm[b]) and events.ratio(norm[b], norm[a]) >= 0.88} and len(got) > 5
+
+
 def test_capped_top_matches_picks_over_all_rows(spark):
     r = random.Random(9)
     rows = [(k, f"title {r.randrange(30) if k % 2 else 0}", f"c{r.randrange(40)}", r.choice(["big", "big", "soft", "misc", "b"]), r.random(), r.choice([[], ["romance"]]), 0.9, 9) for k in range(600)]
