@@ -16,7 +16,7 @@ from ..operators import ranking as rk
 from ..operators import relevance as rv
 from ..operators import reports as rp
 from ..operators import runs as rn
-from ..sources.tables import read
+from ..sources.tables import read, written
 from .queries import ART, GROUPS, LINES, SCORED, SECTORS, SIGNALS, SPACE, TAGGED, anywhere, articles, query, scored, some, tagged  # noqa: F401
 
 _LINES3 = "string_split(text, chr(10))[1:3]"
@@ -234,6 +234,10 @@ def cluster_representatives(spark, d):
 
 @query()
 def metrics_record(spark, d):
-    """The nested record of a run's metrics."""
-    df = sized(spark, d)
-    return ql.metrics_record(decisions=ql.decision_metrics(rv.decide(scored(spark, d), P)), sectors=df.groupBy("sector").agg(F.count("*").alias("n")), sizes=ev.size_percentiles(df.where("cluster_size > 0").select("cluster_size")), mega=ql.mega_samples(df, 3))
+    """The nested record of a run's metrics: every document is scored and tagged once, into a table of what the parts count."""
+    decided = rv.decide(tagged(spark, d), P)
+    rows = written(ar.with_key(decided).select(F.md5(F.col("cluster_key").cast("binary")).alias("key"), "ingest_seq", "title", "link", "sector", "score", "prob", "keep", "decision_reason"))
+    sizes = written(rows.groupBy("key").agg(F.count("*").alias("cluster_size")))
+    each = rows.select("key").join(sizes, "key").select("cluster_size")
+    largest = rows.join(sizes.where("cluster_size >= 3"), "key")
+    return ql.metrics_record(decisions=ql.decision_metrics(rows), sectors=rows.groupBy("sector").agg(F.count("*").alias("n")), sizes=ev.size_percentiles(each), mega=ql.mega_samples(largest, 3))

@@ -54,3 +54,11 @@ def test_order_of_rows_does_not_matter(spark, data, tmp_path):
     for name in ("dedup_title_representative", "decision_hybrid", "topic_assignment", "title_pair_jaccard", "event_clusters", "capped_top_10", "extractive_summary"):
         a, b = (canon(q.QUERIES[name](spark, d).collect(), q.QUERIES[name](spark, d).columns) for d in (data, str(tmp_path)))
         assert a == b, name
+
+
+def test_metrics_record_reads_documents_once(spark, data):
+    df = q.QUERIES["metrics_record"](spark, data)
+    assert not any("documents" in f for f in df.inputFiles())  # each part reads the table of what was scored and tagged before
+    row = df.first()
+    sizes, parts = row.sizes[0], {x.sector: x.n for x in row.sectors}
+    assert row.decisions[0].input_count == sum(parts.values()) == sizes.clusters and 1 <= sizes.p50 <= sizes.p95 <= sizes.largest
